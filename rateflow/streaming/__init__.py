@@ -1,0 +1,7 @@
+"""Streaming.
+
+The rating workload is batch only: it has no stream source, watermark,
+window or state.  The batch operators accept any DataFrame, so a
+``readStream`` of rating files can feed the stateless ones (parsing,
+filters) directly; nothing streaming-specific is built here.
+"""
