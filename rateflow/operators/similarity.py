@@ -60,21 +60,129 @@ def _cosine(dot, s1, s2) -> F.Column:
     return F.when(den != 0, dot / den).otherwise(F.lit(0.0))
 
 
+def _sum_aggs(ru: str, rv: str) -> list[F.Column]:
+    return [F.sum(F.col(ru) * F.col(rv)).alias("dot"),
+            F.sum(F.col(ru) * F.col(ru)).alias("s1"),
+            F.sum(F.col(rv) * F.col(rv)).alias("s2"),
+            F.count(F.lit(1)).alias("n")]
+
+
+def sums_from_pairs(pairs: DataFrame, by: Sequence[str] = (), min_common: int = 1) -> DataFrame:
+    """Per-pair sums ``*by, u, v, dot, s1, s2, n`` from co-rating rows."""
+    agg = pairs.groupBy(*by, "u", "v").agg(*_sum_aggs("ru", "rv"))
+    if min_common > 1:
+        agg = agg.filter(F.col("n") >= F.lit(min_common))
+    return agg
+
+
+# Rows of ratings per user block in the block-pair strategy.
+DEFAULT_BLOCK_ROWS = 40_000
+MIN_BLOCKS = 4
+MAX_BLOCKS = 256
+
+
+def block_pair_sums(ratings: DataFrame, blocks: int, by: Sequence[str] = (),
+                    min_common: int = 1, partitions: int | None = None) -> DataFrame:
+    """Per-pair sums with the aggregation done where the pairs are formed.
+
+    Users are hashed into ``blocks`` blocks.  A rating of a user in block p
+    is sent, as the left side, to every block pair (p, q) with q >= p, and as
+    the right side to every (q', p) with q' <= p.  Both sides are
+    hash-partitioned on ``(*by, p, q)``; the equi-join on ``(*by, p, q,
+    item_id)`` and the ``(u, v)`` aggregate then run in the same task, so
+    pair rows are never shuffled, only the ratings (about ``blocks/2 + 1``
+    copies).  Off the diagonal every unordered pair is formed once; on it,
+    ``u < v``.  A hot item's raters are spread over all block pairs, and a
+    hot user's pairs are linear in its ratings.
+
+    Needs ``spark.sql.requireAllClusterKeysForCoPartition=false`` so the
+    join accepts the ``(p, q)`` partitioning instead of re-shuffling on all
+    its keys; this function sets it on the session.
+    """
+    by = list(by)
+    spark = ratings.sparkSession
+    spark.conf.set("spark.sql.requireAllClusterKeysForCoPartition", "false")
+    nparts = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    own = F.pmod(F.xxhash64("user_id"), F.lit(blocks)).cast("int")
+    base = ratings.select(*by, "item_id", "user_id", "rating", own.alias("_b"))
+    left = base.select(*by, "item_id", F.col("user_id").alias("u"), F.col("rating").alias("ru"),
+                       F.col("_b").alias("p"),
+                       F.explode(F.sequence(F.col("_b"), F.lit(blocks - 1))).alias("q"))
+    right = base.select(*by, "item_id", F.col("user_id").alias("v"), F.col("rating").alias("rv"),
+                        F.explode(F.sequence(F.lit(0), F.col("_b"))).alias("p"),
+                        F.col("_b").alias("q"))
+    left = left.repartition(nparts, *by, "p", "q")
+    right = right.repartition(nparts, *by, "p", "q")
+    pairs = (left.join(right, [*by, "p", "q", "item_id"])
+             .filter((F.col("p") < F.col("q")) | (F.col("u") < F.col("v"))))
+    agg = pairs.groupBy(*by, "p", "q", "u", "v").agg(*_sum_aggs("ru", "rv"))
+    if min_common > 1:
+        agg = agg.filter(F.col("n") >= F.lit(min_common))
+    lower = F.col("u") < F.col("v")
+    return agg.select(
+        *by,
+        F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v"), "dot",
+        F.when(lower, F.col("s1")).otherwise(F.col("s2")).alias("s1"),
+        F.when(lower, F.col("s2")).otherwise(F.col("s1")).alias("s2"),
+        "n")
+
+
+def choose_strategy(ratings: DataFrame, by: Sequence[str] = (),
+                    block_rows: int = DEFAULT_BLOCK_ROWS) -> tuple[str, int]:
+    """Pick ``('blocks', B)`` or ``('pairs', 0)`` from two counts.
+
+    One small job over per-item rater counts gives R (ratings) and P (pair
+    rows, sum of c*(c-1)/2).  The block strategy moves about R*(B+1) rating
+    rows through the shuffle; the pair strategy about P pair rows.  Blocks
+    win whenever R*(B+1) <= P, which holds while items have more raters than
+    there are user blocks.
+    """
+    per_item = ratings.groupBy(*by, "item_id").agg(F.count(F.lit(1)).alias("c"))
+    groups = F.count_distinct(*[F.col(c) for c in by]) if by else F.lit(1)
+    row = per_item.agg(F.sum("c").alias("r"),
+                       F.sum(F.col("c") * (F.col("c") - 1) / 2).alias("p"),
+                       groups.alias("g")).first()
+    r, p, g = int(row["r"] or 0), float(row["p"] or 0.0), int(row["g"] or 1)
+    blocks = max(MIN_BLOCKS, min(MAX_BLOCKS, -(-r // max(1, block_rows * max(g, 1)))))
+    if r * (blocks + 1) <= p:
+        return "blocks", blocks
+    return "pairs", 0
+
+
+def co_rating_sums(ratings: DataFrame, by: Sequence[str] = (), min_common: int = 1,
+                   strategy: str = "auto", blocks: int | None = None,
+                   block_rows: int = DEFAULT_BLOCK_ROWS,
+                   salt_above: int | None = DEFAULT_SALT_ABOVE) -> DataFrame:
+    """``*by, u, v, dot, s1, s2, n`` over co-rated items, u < v.
+
+    ``strategy``: ``'blocks'`` (:func:`block_pair_sums`), ``'pairs'``
+    (salted equi-join, then a shuffled aggregate) or ``'auto'``
+    (:func:`choose_strategy`).  All give the same rows; the sums of half
+    stars are exact in any order.
+    """
+    if strategy == "auto":
+        strategy, auto_blocks = choose_strategy(ratings, by, block_rows)
+        blocks = blocks or auto_blocks
+    if strategy == "blocks":
+        return block_pair_sums(ratings, blocks or MIN_BLOCKS, by, min_common)
+    if strategy == "pairs":
+        return sums_from_pairs(co_ratings(ratings, by, salt_above), by, min_common)
+    raise ValueError(f"unknown strategy {strategy!r}")
+
+
+def similarity_from_sums(sums: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    return sums.select(*by, "u", "v", _cosine(F.col("dot"), F.col("s1"), F.col("s2")).alias("sim"), "n")
+
+
 def similarity_from_pairs(pairs: DataFrame, by: Sequence[str] = (),
                           min_common: int = 1) -> DataFrame:
     """Cosine over co-rated items: ``*by, u, v, sim, n``."""
-    agg = pairs.groupBy(*by, "u", "v").agg(
-        F.sum(F.col("ru") * F.col("rv")).alias("_dot"),
-        F.sum(F.col("ru") * F.col("ru")).alias("_s1"),
-        F.sum(F.col("rv") * F.col("rv")).alias("_s2"),
-        F.count(F.lit(1)).alias("n"))
-    if min_common > 1:
-        agg = agg.filter(F.col("n") >= F.lit(min_common))
-    return agg.select(*by, "u", "v", _cosine(F.col("_dot"), F.col("_s1"), F.col("_s2")).alias("sim"), "n")
+    return similarity_from_sums(sums_from_pairs(pairs, by, min_common), by)
 
 
 def user_similarity(ratings: DataFrame, by: Sequence[str] = (), min_common: int = 1,
-                    salt_above: int | None = DEFAULT_SALT_ABOVE) -> DataFrame:
+                    salt_above: int | None = DEFAULT_SALT_ABOVE,
+                    strategy: str = "auto") -> DataFrame:
     """Cosine similarity of every user pair with a co-rated item.
 
     Norms run over the co-rated items only.  Pairs with no common item are
@@ -85,7 +193,8 @@ def user_similarity(ratings: DataFrame, by: Sequence[str] = (), min_common: int
         active = (ratings.groupBy(*by, "user_id").agg(F.count(F.lit(1)).alias("_c"))
                   .filter(F.col("_c") >= F.lit(min_common)).select(*by, "user_id"))
         ratings = ratings.join(active, [*by, "user_id"], "left_semi")
-    return similarity_from_pairs(co_ratings(ratings, by, salt_above), by, min_common)
+    sums = co_rating_sums(ratings, by, min_common, strategy, salt_above=salt_above)
+    return similarity_from_sums(sums, by)
 
 
 def directed(sim: DataFrame, by: Sequence[str] = ()) -> DataFrame:
@@ -110,12 +219,13 @@ def rank_neighbours(directed_sim: DataFrame, k: int = 200, by: Sequence[str] = (
 
 def top_neighbours(ratings: DataFrame, k: int = 200, min_common: int = 10,
                    by: Sequence[str] = (),
-                   salt_above: int | None = DEFAULT_SALT_ABOVE) -> DataFrame:
+                   salt_above: int | None = DEFAULT_SALT_ABOVE,
+                   strategy: str = "auto") -> DataFrame:
     """``*by, user_id, nb, sim, n, rk``: the ``k`` most similar users with at
     least ``min_common`` co-rated items (the count filter comes first)."""
     if min_common < 1:
         raise ValueError("min_common must be >= 1")
-    sim = user_similarity(ratings, by, min_common, salt_above)
+    sim = user_similarity(ratings, by, min_common, salt_above, strategy)
     return rank_neighbours(directed(sim, by), k, by)
 
 
