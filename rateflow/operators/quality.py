@@ -41,27 +41,29 @@ def user_rating_distribution(ratings: DataFrame, user_id: int) -> DataFrame:
     return rating_distribution(ratings.filter(F.col("user_id") == F.lit(user_id)))
 
 
-def activity_histogram(ratings: DataFrame, key: str, buckets: int = 20) -> DataFrame:
-    """Equal-width histogram of ratings-per-``key``.
+def histogram(values: DataFrame, col: str, buckets: int = 20) -> DataFrame:
+    """Equal-width histogram of a numeric column.
 
     Same buckets as ``RDD.histogram(buckets)``: width ``(max-min)/buckets``,
-    bucket ``floor((c-min)/width)`` with the maximum in the last bucket, and
-    a single bucket ``[min, max]`` when all counts are equal.  Empty buckets
-    are returned with ``n = 0``.  Output ``bucket, lo, hi, n``.
+    bucket ``floor((x-min)/width)`` with the maximum in the last bucket, and
+    a single bucket ``[min, max]`` when all values are equal.  Empty buckets
+    are returned with ``n = 0``.  Output ``bucket, lo, hi, n``.  Min and max
+    are scalar subqueries, so the plan has no join against a one-row table.
     """
     if buckets < 1:
         raise ValueError("buckets must be >= 1")
-    counts = ratings.groupBy(key).agg(F.count(F.lit(1)).alias("c"))
-    mn = counts.select(F.min("c")).scalar()
-    mx = counts.select(F.max("c")).scalar()
+    c = F.col(col)
+    vals = values.select(c.alias("x")).filter(F.col("x").isNotNull())
+    mn = vals.select(F.min("x")).scalar()
+    mx = vals.select(F.max("x")).scalar()
     nb = F.when(mx == mn, F.lit(1)).otherwise(F.lit(buckets))
     inc = (mx - mn).cast("double") / nb
     bucket = F.when(mx == mn, F.lit(0)).otherwise(
-        F.least(F.floor((F.col("c") - mn) / inc), nb - 1)).cast("int")
-    filled = counts.select(bucket.alias("bucket")).groupBy("bucket").agg(
+        F.least(F.floor((F.col("x") - mn) / inc), nb - 1)).cast("int")
+    filled = vals.select(bucket.alias("bucket")).groupBy("bucket").agg(
         F.count(F.lit(1)).alias("n"))
     # The bucket frame comes from the one-row min/max aggregate.
-    frame = counts.agg(F.min("c").alias("mn"), F.max("c").alias("mx")).select(
+    frame = vals.agg(F.min("x").alias("mn"), F.max("x").alias("mx")).select(
         "mn", "mx", F.explode(F.sequence(F.lit(0), nb - 1)).alias("bucket"))
     frame = frame.select(
         F.col("bucket").cast("int").alias("bucket"),
@@ -72,6 +74,12 @@ def activity_histogram(ratings: DataFrame, key: str, buckets: int = 20) -> DataF
             .select("bucket", "lo", "hi", F.coalesce("n", F.lit(0)).cast("bigint").alias("n")))
 
 
+def activity_histogram(ratings: DataFrame, key: str, buckets: int = 20) -> DataFrame:
+    """Histogram of the number of ratings per ``key`` (item or user)."""
+    counts = ratings.groupBy(key).agg(F.count(F.lit(1)).alias("c"))
+    return histogram(counts, "c", buckets)
+
+
 def _with_previous(rows: DataFrame, line: str, num_blocks: int) -> DataFrame:
     # The row before the first one is (0, 0).
     return previous_row(rows, line, ["user_id", "item_id"], default=0, num_blocks=num_blocks)
