@@ -76,7 +76,7 @@ def sums_from_pairs(pairs: DataFrame, by: Sequence[str] = (), min_common: int =
 
 
 # Rows of ratings per user block in the block-pair strategy.
-DEFAULT_BLOCK_ROWS = 40_000
+DEFAULT_BLOCK_ROWS = 18_000
 MIN_BLOCKS = 4
 MAX_BLOCKS = 256
 
@@ -102,7 +102,9 @@ def block_pair_sums(ratings: DataFrame, blocks: int, by: Sequence[str] = (),
     by = list(by)
     spark = ratings.sparkSession
     spark.conf.set("spark.sql.requireAllClusterKeysForCoPartition", "false")
-    nparts = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    # One partition per block pair (and key group), so a task holds about one
+    # block pair's hash table.
+    nparts = partitions or max(1, blocks * (blocks + 1) // 2)
     own = F.pmod(F.xxhash64("user_id"), F.lit(blocks)).cast("int")
     base = ratings.select(*by, "item_id", "user_id", "rating", own.alias("_b"))
     left = base.select(*by, "item_id", F.col("user_id").alias("u"), F.col("rating").alias("ru"),
@@ -128,8 +130,8 @@ def block_pair_sums(ratings: DataFrame, blocks: int, by: Sequence[str] = (),
 
 
 def choose_strategy(ratings: DataFrame, by: Sequence[str] = (),
-                    block_rows: int = DEFAULT_BLOCK_ROWS) -> tuple[str, int]:
-    """Pick ``('blocks', B)`` or ``('pairs', 0)`` from two counts.
+                    block_rows: int = DEFAULT_BLOCK_ROWS) -> tuple[str, int, int]:
+    """Pick ``('blocks', B, groups)`` or ``('pairs', 0, groups)`` from two counts.
 
     One small job over per-item rater counts gives R (ratings) and P (pair
     rows, sum of c*(c-1)/2).  The block strategy moves about R*(B+1) rating
@@ -145,8 +147,8 @@ def choose_strategy(ratings: DataFrame, by: Sequence[str] = (),
     r, p, g = int(row["r"] or 0), float(row["p"] or 0.0), int(row["g"] or 1)
     blocks = max(MIN_BLOCKS, min(MAX_BLOCKS, -(-r // max(1, block_rows * max(g, 1)))))
     if r * (blocks + 1) <= p:
-        return "blocks", blocks
-    return "pairs", 0
+        return "blocks", blocks, g
+    return "pairs", 0, g
 
 
 def co_rating_sums(ratings: DataFrame, by: Sequence[str] = (), min_common: int = 1,
@@ -160,11 +162,14 @@ def co_rating_sums(ratings: DataFrame, by: Sequence[str] = (), min_common: int =
     (:func:`choose_strategy`).  All give the same rows; the sums of half
     stars are exact in any order.
     """
+    groups = 1
     if strategy == "auto":
-        strategy, auto_blocks = choose_strategy(ratings, by, block_rows)
+        strategy, auto_blocks, groups = choose_strategy(ratings, by, block_rows)
         blocks = blocks or auto_blocks
     if strategy == "blocks":
-        return block_pair_sums(ratings, blocks or MIN_BLOCKS, by, min_common)
+        b = blocks or MIN_BLOCKS
+        return block_pair_sums(ratings, b, by, min_common,
+                               partitions=max(1, b * (b + 1) // 2) * max(1, groups))
     if strategy == "pairs":
         return sums_from_pairs(co_ratings(ratings, by, salt_above), by, min_common)
     raise ValueError(f"unknown strategy {strategy!r}")
