@@ -1,16 +1,22 @@
 """User-user cosine similarity over co-rated items and top-K neighbours.
 
-The pair set is built by a self equi-join of the ratings on ``item_id``
-(only pairs of users that share an item are ever formed) rather than a
-cartesian product of all users followed by a filter.  The per-pair sums are
-ordinary aggregates, combined map-side; no rating list is materialised.
-
-Cost is the sum over items of raters squared, so one very popular item
-dominates.  Items with more than ``salt_above`` raters are split: each side
-of the join is cut into ``S = ceil(raters / salt_above)`` rater blocks by a
-hash of the user id, the left side is copied over the right's blocks and
-vice versa, and the join key becomes ``(item_id, p, q)``.  Every pair still
-meets exactly once, in one of ``S*S`` tasks of bounded size.
+Pairs of users are only ever formed through a shared item (an equi-join on
+``item_id``), never as a cartesian product of all users.  Two plans compute
+the per-pair sums ``dot, s1, s2, n``; :func:`choose_strategy` picks one
+from the number of ratings R and of pair rows P = sum of c*(c-1)/2 over
+items:
+
+* block pairs (:func:`block_pair_sums`): users are hashed into B blocks
+  and the join and the aggregate run co-partitioned on the block pair, so
+  only about R*(B+1) rating rows are shuffled and no pair row is;
+* salted pair join (:func:`co_ratings` + shuffled aggregate), when
+  R*(B+1) > P: items with more than ``salt_above`` raters are split into
+  ``S = ceil(raters / salt_above)`` rater blocks per side, the left side
+  copied over the right's blocks and vice versa, join key ``(item_id, p,
+  q)``; every pair still meets exactly once, in one of S*S bounded tasks.
+
+The sums of half-star ratings are exact in any order, so both plans give
+bit-identical similarities.
 """
 
 from __future__ import annotations
