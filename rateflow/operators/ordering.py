@@ -24,12 +24,13 @@ DEFAULT_BLOCKS = 1024
 
 
 def _block_expr(df: DataFrame, order_col: str, num_blocks: int) -> F.Column:
-    # Scalar subqueries: evaluated once, then used as constants; no driver
-    # round trip and no join against a one-row table.
-    lo = df.select(F.min(order_col)).scalar()
-    hi = df.select(F.max(order_col)).scalar()
-    width = F.greatest(F.lit(1), F.ceil((hi - lo + F.lit(1)) / F.lit(num_blocks)))
-    return F.floor((F.col(order_col) - lo) / width).cast("bigint")
+    # Range of the order key from one small aggregate job (two numbers).
+    row = df.agg(F.min(order_col).alias("lo"), F.max(order_col).alias("hi")).first()
+    lo, hi = (row["lo"], row["hi"]) if row is not None else (None, None)
+    if lo is None:
+        return F.lit(0).cast("bigint")
+    width = max(1, -(-(int(hi) - int(lo) + 1) // num_blocks))
+    return F.floor((F.col(order_col) - F.lit(int(lo))) / F.lit(width)).cast("bigint")
 
 
 def number_rows(df: DataFrame, order_col: str, group_cols: Sequence[str] = (),

@@ -47,30 +47,33 @@ def histogram(values: DataFrame, col: str, buckets: int = 20) -> DataFrame:
     Same buckets as ``RDD.histogram(buckets)``: width ``(max-min)/buckets``,
     bucket ``floor((x-min)/width)`` with the maximum in the last bucket, and
     a single bucket ``[min, max]`` when all values are equal.  Empty buckets
-    are returned with ``n = 0``.  Output ``bucket, lo, hi, n``.  Min and max
-    are scalar subqueries, so the plan has no join against a one-row table.
+    are returned with ``n = 0``.  Output ``bucket, lo, hi, n``.
+
+    Min and max come from one aggregate job (two numbers to the driver); the
+    histogram itself is then a single map-side-combined aggregate.
     """
     if buckets < 1:
         raise ValueError("buckets must be >= 1")
-    c = F.col(col)
-    vals = values.select(c.alias("x")).filter(F.col("x").isNotNull())
-    mn = vals.select(F.min("x")).scalar()
-    mx = vals.select(F.max("x")).scalar()
-    nb = F.when(mx == mn, F.lit(1)).otherwise(F.lit(buckets))
-    inc = (mx - mn).cast("double") / nb
-    bucket = F.when(mx == mn, F.lit(0)).otherwise(
-        F.least(F.floor((F.col("x") - mn) / inc), nb - 1)).cast("int")
-    filled = vals.select(bucket.alias("bucket")).groupBy("bucket").agg(
+    vals = values.select(F.col(col).alias("x")).filter(F.col("x").isNotNull())
+    spark = values.sparkSession
+    stats = vals.agg(F.min("x").alias("mn"), F.max("x").alias("mx")).first()
+    if stats is None or stats["mn"] is None:
+        return spark.createDataFrame([], "bucket int, lo double, hi double, n bigint")
+    mn, mx = stats["mn"], stats["mx"]
+    nb = 1 if mx == mn else buckets
+    inc = float(mx - mn) / nb
+    if nb == 1:
+        bucket = F.lit(0)
+    else:
+        bucket = F.least(F.floor((F.col("x") - F.lit(mn)) / F.lit(inc)), F.lit(nb - 1))
+    filled = vals.select(bucket.cast("int").alias("bucket")).groupBy("bucket").agg(
         F.count(F.lit(1)).alias("n"))
-    # The bucket frame comes from the one-row min/max aggregate.
-    frame = vals.agg(F.min("x").alias("mn"), F.max("x").alias("mx")).select(
-        "mn", "mx", F.explode(F.sequence(F.lit(0), nb - 1)).alias("bucket"))
-    frame = frame.select(
-        F.col("bucket").cast("int").alias("bucket"),
-        (F.col("bucket") * inc + F.col("mn")).alias("lo"),
-        F.when(F.col("bucket") == nb - 1, F.col("mx").cast("double"))
-         .otherwise((F.col("bucket") + 1) * inc + F.col("mn")).alias("hi"))
-    return (frame.join(F.broadcast(filled), "bucket", "left")  # <= buckets rows
+    i = F.col("id").cast("int")
+    frame = spark.range(nb).select(   # the nb bucket indices
+        i.alias("bucket"),
+        (i * F.lit(inc) + F.lit(mn)).alias("lo"),
+        F.when(i == nb - 1, F.lit(float(mx))).otherwise((i + 1) * F.lit(inc) + F.lit(mn)).alias("hi"))
+    return (frame.join(F.broadcast(filled), "bucket", "left")  # <= buckets rows each
             .select("bucket", "lo", "hi", F.coalesce("n", F.lit(0)).cast("bigint").alias("n")))
 
 

@@ -65,3 +65,42 @@ def test_query_matches_oracle(spark, duck, name):
 def test_rows_only_query_runs(spark, name):
     df = QUERIES[name](spark, SF_SMALL)
     assert df.count() > 0
+
+
+@pytest.mark.parametrize("name", sorted(n for n in QUERIES if not n.startswith("als_")))
+def test_plan_has_no_cartesian_product(spark, name):
+    import contextlib
+    import io
+
+    df = QUERIES[name](spark, SF_SMALL)
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        df.explain()
+    plan = buf.getvalue()
+    assert "CartesianProduct" not in plan
+    assert "BroadcastNestedLoopJoin" not in plan
+
+
+def test_top_k_plans_partial_window_limit(spark):
+    import contextlib
+    import io
+
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        QUERIES["top_neighbours"](spark, SF_SMALL).explain()
+    assert "WindowGroupLimit" in buf.getvalue()
+
+
+def test_ratings_scan_is_pruned_and_filtered(spark):
+    import contextlib
+    import io
+
+    from rateflow.sources.tables import tpch_ratings
+
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        tpch_ratings(spark, SF_SMALL, persist=False).explain()
+    plan = buf.getvalue()
+    assert "ReadSchema: struct<l_orderkey:bigint,l_partkey:bigint,l_suppkey:bigint,l_linenumber:int,l_quantity:double" in plan
+    assert "l_extendedprice" not in plan
+    assert "PushedFilters: [IsNotNull(l_orderkey)]" in plan
