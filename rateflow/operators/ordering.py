@@ -23,14 +23,15 @@ from pyspark.sql import functions as F
 DEFAULT_BLOCKS = 1024
 
 
-def _block_expr(df: DataFrame, order_col: str, num_blocks: int) -> F.Column:
+def _block_expr(df: DataFrame, order_col: str, num_blocks: int) -> F.Column | None:
+    """Block of each row, or None when ``df`` has no rows."""
     # Range of the order key from one small aggregate job (two numbers).
     row = df.agg(F.min(order_col).alias("lo"), F.max(order_col).alias("hi")).first()
-    lo, hi = (row["lo"], row["hi"]) if row is not None else (None, None)
-    if lo is None:
-        return F.lit(0).cast("bigint")
-    width = max(1, -(-(int(hi) - int(lo) + 1) // num_blocks))
-    return F.floor((F.col(order_col) - F.lit(int(lo))) / F.lit(width)).cast("bigint")
+    if row is None or row["lo"] is None:
+        return None
+    lo, hi = int(row["lo"]), int(row["hi"])
+    width = max(1, -(-(hi - lo + 1) // num_blocks))
+    return F.floor((F.col(order_col) - F.lit(lo)) / F.lit(width)).cast("bigint")
 
 
 def number_rows(df: DataFrame, order_col: str, group_cols: Sequence[str] = (),
@@ -42,7 +43,10 @@ def number_rows(df: DataFrame, order_col: str, group_cols: Sequence[str] = (),
     ``num_blocks`` tasks.
     """
     group_cols = list(group_cols)
-    d = df.withColumn("_blk", _block_expr(df, order_col, num_blocks))
+    blk = _block_expr(df, order_col, num_blocks)
+    if blk is None:  # no rows
+        return df.withColumn(out_col, F.lit(None).cast("bigint"))
+    d = df.withColumn("_blk", blk)
     counts = d.groupBy(*group_cols, "_blk").agg(F.count(F.lit(1)).alias("_cnt"))
     before = (Window.partitionBy(*group_cols).orderBy("_blk")
               .rowsBetween(Window.unboundedPreceding, -1))
@@ -67,7 +71,13 @@ def previous_row(df: DataFrame, order_col: str, value_cols: Sequence[str],
     """
     value_cols = list(value_cols)
     vals = F.struct(*[F.col(c) for c in value_cols])
-    d = df.withColumn("_blk", _block_expr(df, order_col, num_blocks))
+    blk = _block_expr(df, order_col, num_blocks)
+    if blk is None:  # no rows
+        out = df
+        for c in value_cols:
+            out = out.withColumn(prefix + c, F.lit(default))
+        return out
+    d = df.withColumn("_blk", blk)
     inner = F.lag(vals, 1).over(Window.partitionBy("_blk").orderBy(order_col))
     # Last row of every non-empty block, then the last row of the previous
     # non-empty block: a window over <= num_blocks rows.
