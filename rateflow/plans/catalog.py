@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from rateflow.operators import als, quality, sampling
 from rateflow.operators.aggregates import item_counts, item_stats, user_histories, user_means
-from rateflow.operators.evaluate import best_setting, errors, mean_over_seeds
+from rateflow.operators.evaluate import best_setting, errors_of, mean_over_seeds
 from rateflow.operators.predict import knn_errors_by_k, predict_mean, predict_user_knn
 from rateflow.operators.recommend import (
     attach_titles,
@@ -212,21 +212,19 @@ def q_user_histories(spark, d):
 # -- baseline ----------------------------------------------------------------
 
 def _baseline(spark, d, seeds):
+    # Predictions carry the actual rating, so the errors need no second join.
     s = _split(spark, d, seeds)
     train = _part(s, "train", "validation")
     test = _part(s, "test")
-    pred = predict_mean(sampling.keys_only(test, ["seed"]), user_means(train, ["seed"]), ["seed"])
-    return pred, test
+    return predict_mean(test, user_means(train, ["seed"]), ["seed"], keep=["rating"])
 
 
 def q_baseline_predictions(spark, d):
-    pred, _ = _baseline(spark, d, SEED)
-    return pred.drop("seed")
+    return _baseline(spark, d, SEED).drop("seed", "rating")
 
 
 def q_baseline_errors(spark, d):
-    pred, test = _baseline(spark, d, BASELINE_SEEDS)
-    return mean_over_seeds(errors(pred, test, ["seed"]), (), DIGITS)
+    return mean_over_seeds(errors_of(_baseline(spark, d, BASELINE_SEEDS), ["seed"]), (), DIGITS)
 
 
 # -- user kNN ----------------------------------------------------------------
@@ -273,9 +271,8 @@ def q_knn_errors_by_k(spark, d):
 
 def q_knn_test_errors(spark, d):
     s, train, nbrs, means = _knn_setup(spark, d, KNN_SEEDS)
-    test = _part(s, "test")
-    pred = predict_user_knn(sampling.keys_only(test, ["seed"]), nbrs, train, means, K, ["seed"])
-    return mean_over_seeds(errors(pred, test, ["seed"]), (), DIGITS)
+    pred = predict_user_knn(_part(s, "test"), nbrs, train, means, K, ["seed"], keep=["rating"])
+    return mean_over_seeds(errors_of(pred, ["seed"]), (), DIGITS)
 
 
 def q_best_k(spark, d):
