@@ -1,7 +1,9 @@
 """Benchmark the headline queries on whole tables.
 
 Environment: ``BENCH_SF_DIR`` (default /root/testdata/sf0.1), ``BENCH_CPUS``
-(default 8), ``BENCH_QUERIES`` (comma list, default the headline set).
+(default 8), ``BENCH_QUERIES`` (comma list, default the headline set),
+``BENCH_EVENT_LOG_DIR`` (if set, Spark's event log is written there for
+stage and task times; the UI stays off).
 Each query is run to completion with the ``noop`` sink (the full plan
 executes, nothing is collected).  Prints one JSON line.
 """
@@ -46,10 +48,13 @@ def main() -> None:
     from rateflow.plans.catalog import QUERIES
     from rateflow.session import build_session, checkpoint_dir
 
-    spark = build_session(
-        f"local[{cpus}]", shuffle_partitions=max(8, 4 * cpus), app_name="rateflow-bench",
-        extra={"spark.driver.memory": os.environ.get("BENCH_DRIVER_MEMORY", "20g"),
-               "spark.sql.files.maxPartitionBytes": str(64 * 1024 * 1024)})
+    extra = {"spark.driver.memory": os.environ.get("BENCH_DRIVER_MEMORY", "20g"),
+             "spark.sql.files.maxPartitionBytes": str(64 * 1024 * 1024)}
+    if os.environ.get("BENCH_EVENT_LOG_DIR"):
+        extra.update({"spark.eventLog.enabled": "true",
+                      "spark.eventLog.dir": os.environ["BENCH_EVENT_LOG_DIR"]})
+    spark = build_session(f"local[{cpus}]", shuffle_partitions=max(8, 4 * cpus),
+                          app_name="rateflow-bench", extra=extra)
     checkpoint_dir(spark)
 
     def run(name: str, d: str) -> float:

@@ -104,3 +104,16 @@ def test_ratings_scan_is_pruned_and_filtered(spark):
     assert "ReadSchema: struct<l_orderkey:bigint,l_partkey:bigint,l_suppkey:bigint,l_linenumber:int,l_quantity:double" in plan
     assert "l_extendedprice" not in plan
     assert "PushedFilters: [IsNotNull(l_orderkey)]" in plan
+
+
+def test_single_entity_filters_reach_the_scan(spark):
+    import contextlib
+    import io
+
+    for name, pushed in (("item_rating_distribution", "(l_suppkey#"),
+                         ("user_rating_distribution", "(o_custkey#")):
+        buf = io.StringIO()
+        with contextlib.redirect_stdout(buf):
+            QUERIES[name](spark, SF_SMALL).explain()
+        scans = [ln for ln in buf.getvalue().splitlines() if "FileScan parquet" in ln]
+        assert any(pushed in ln and "DataFilters" in ln for ln in scans), name
