@@ -59,6 +59,17 @@ def attach_titles(recs: DataFrame, items: DataFrame) -> DataFrame:
     return recs.join(items.select("item_id", "title"), "item_id", "left")
 
 
+def recommendation_lists(recs: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """One row per user with the titles in rank order: ``*by, user_id, titles``.
+
+    Only for output: each list holds at most the ``n`` ranked rows of one
+    user, so the collected group is bounded by ``n``, not by the data.
+    """
+    ordered = F.array_sort(F.collect_list(F.struct("rk", "title")))
+    return recs.groupBy(*by, "user_id").agg(
+        F.transform(ordered, lambda x: x["title"]).alias("titles"))
+
+
 def unrated_items(ratings: DataFrame, items: DataFrame, user_id: int) -> DataFrame:
     """``user_id, item_id`` for catalogue items the user has not rated."""
     own = ratings.filter(F.col("user_id") == F.lit(user_id)).select("item_id")

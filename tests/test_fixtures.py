@@ -232,3 +232,13 @@ def test_split_disjoint_and_complete(spark):
     # the same rows after a repartition
     again = sampling.with_split(r.repartition(5), [0, 1])
     assert rows_of(s) == rows_of(again)
+
+
+def test_recommendation_lists_keep_rank_order(spark):
+    from rateflow.operators.recommend import recommendation_lists
+
+    recs = spark.createDataFrame(
+        [(1, 2, 20, "b"), (1, 1, 10, "a"), (1, 3, 30, "c"), (2, 1, 10, "a")],
+        "user_id long, rk int, item_id long, title string")
+    got = {r["user_id"]: list(r["titles"]) for r in recommendation_lists(recs).collect()}
+    assert got == {1: ["a", "b", "c"], 2: ["a"]}
