@@ -371,9 +371,6 @@ QUERIES: dict[str, Query] = {
     "user_histories": q_user_histories,
     "baseline_predictions": q_baseline_predictions,
     "baseline_errors": q_baseline_errors,
-    "co_rating_pairs": q_co_rating_pairs,
-    "user_similarity": q_user_similarity,
-    "directed_similarity": q_directed_similarity,
     "top_neighbours": q_top_neighbours,
     "knn_predictions": q_knn_predictions,
     "knn_errors_by_k": q_knn_errors_by_k,
@@ -389,4 +386,9 @@ QUERIES: dict[str, Query] = {
     "als_errors_by_iterations": q_als_errors_by_iterations,
     "als_test_errors": q_als_test_errors,
     "als_recommendations": q_als_recommendations,
+    # Whole pair sets, the largest outputs (about 1.1M, 2.2M and 11.8M rows
+    # at sf0.01), last.
+    "user_similarity": q_user_similarity,
+    "directed_similarity": q_directed_similarity,
+    "co_rating_pairs": q_co_rating_pairs,
 }
