@@ -142,3 +142,22 @@ def last_row_facts(rows: DataFrame, line: str = "line") -> DataFrame:
 def item_catalog(items: DataFrame) -> DataFrame:
     """Distinct item ids of the catalogue."""
     return items.select("item_id").distinct()
+
+
+def check_file_order(rows: DataFrame, line: str = "line",
+                     num_blocks: int = DEFAULT_BLOCKS) -> dict[str, DataFrame]:
+    """The whole sort-order and value check of a rating file in one place.
+
+    ``rows``: ``line, user_id, item_id, rating`` (see
+    ``sources.read_rating_lines``).  Returns DataFrames: ``flags`` (one row),
+    ``user_steps`` and ``item_order`` (offenders with line numbers),
+    ``values`` (rows per rating value) and ``last`` (last user id, last line,
+    row count).
+    """
+    return {
+        "flags": order_check(rows, line, num_blocks),
+        "user_steps": user_step_violations(rows, line, num_blocks),
+        "item_order": item_order_violations(rows, line, num_blocks),
+        "values": rating_distribution(rows),
+        "last": last_row_facts(rows, line),
+    }

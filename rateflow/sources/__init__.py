@@ -1,6 +1,12 @@
 """Sources and sinks: rating/item files and the driver-table views."""
 
-from rateflow.sources.files import item_genres, read_items, read_ratings
+from rateflow.sources.files import (
+    item_genres,
+    read_items,
+    read_lines,
+    read_rating_lines,
+    read_ratings,
+)
 from rateflow.sources.sinks import reuse_or_build, write_ratings
 from rateflow.sources.tables import (
     event_rows,
@@ -12,7 +18,8 @@ from rateflow.sources.tables import (
 )
 
 __all__ = [
-    "event_rows", "item_genres", "read_items", "read_ratings", "read_table",
+    "event_rows", "item_genres", "read_items", "read_lines", "read_rating_lines",
+    "read_ratings", "read_table",
     "reuse_or_build", "tpch_items", "tpch_items_with_genres", "tpch_ratings",
     "tpch_users", "write_ratings",
 ]

@@ -86,6 +86,32 @@ def _valid_rating_raw() -> F.Column:
             & (F.abs(r) != F.lit(float("inf"))))
 
 
+def read_lines(spark: SparkSession, path: str) -> DataFrame:
+    """Lines of one text file with their 1-based line number: ``line, value``.
+
+    ``monotonically_increasing_id`` grows in file order within one file;
+    the dense numbering is the blocked ``number_rows`` (no one-task window).
+    """
+    from rateflow.operators.ordering import number_rows
+
+    raw = spark.read.text(path).withColumn("_k", F.monotonically_increasing_id())
+    return number_rows(raw, "_k", out_col="line").drop("_k").select("line", "value")
+
+
+def read_rating_lines(spark: SparkSession, path: str) -> DataFrame:
+    """Rating rows of a CSV file with their line numbers.
+
+    ``line, user_id, item_id, rating``; a line whose user id is not an
+    integer (the header) is skipped but still counted in the numbering.
+    """
+    return (read_lines(spark, path)
+            .select("line",
+                    F.expr("try_cast(trim(split(value, ',')[0]) AS BIGINT)").alias("user_id"),
+                    F.expr("try_cast(trim(split(value, ',')[1]) AS BIGINT)").alias("item_id"),
+                    F.expr("try_cast(trim(split(value, ',')[2]) AS DOUBLE)").alias("rating"))
+            .filter(F.col("user_id").isNotNull()))
+
+
 def read_items(spark: SparkSession, path: str, naive: bool = False) -> DataFrame:
     """Read ``item_id,title,genres`` rows of a CSV catalogue.
 

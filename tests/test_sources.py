@@ -71,3 +71,36 @@ def test_dedupe_latest_wins(spark):
     df = spark.createDataFrame([(1, 1, 2.0, 10), (1, 1, 4.0, 20), (1, 1, 5.0, 15), (2, 1, 1.0, 1)],
                                "user_id long, item_id long, rating double, rated_at long")
     assert rows_of(dedupe_ratings(df), "user_id", "item_id", "rating") == [(1, 1, 4.0), (2, 1, 1.0)]
+
+
+def test_check_rating_file_like_the_line_loop(spark, scratch):
+    from rateflow.operators.quality import check_file_order
+    from rateflow.sources import read_rating_lines
+
+    text = ("userId,movieId,rating,timestamp\n"
+            "1,2,3.5,1\n1,29,3.5,1\n1,10,4.0,1\n2,5,3.0,1\n4,1,5.0,1\n3,7,1.0,1\n3,8,2.0,1\n")
+    p = _write(os.path.join(scratch, "ratings.csv"), text)
+    got = check_file_order(read_rating_lines(spark, p))
+    # the same loop as the original script, for comparison
+    last_u = last_m = 0
+    steps, items, counts = [], [], {}
+    for line_num, line in enumerate(text.splitlines(), 1):
+        f = line.split(",")
+        try:
+            u = int(f[0])
+        except ValueError:
+            continue
+        m = int(f[1])
+        if u not in (last_u, last_u + 1):
+            steps.append((last_u, u, line_num))
+        if u == last_u and m < last_m:
+            items.append((last_m, m, line_num))
+        counts[float(f[2])] = counts.get(float(f[2]), 0) + 1
+        last_u, last_m, last_line = u, m, line_num
+    assert rows_of(got["user_steps"], "prev_user_id", "user_id", "line") == steps
+    assert rows_of(got["item_order"], "prev_item_id", "item_id", "line") == items
+    assert dict(rows_of(got["values"], "rating", "n")) == counts
+    last = got["last"].collect()[0]
+    assert (last["last_user_id"], last["last_line"], last["n_rows"]) == (3, 8, 7)
+    flags = got["flags"].collect()[0]
+    assert (flags["user_order_ok"], flags["user_step_ok"], flags["item_order_ok"]) == (False, False, False)
