@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -151,13 +152,29 @@ def check_file_order(rows: DataFrame, line: str = "line",
     ``rows``: ``line, user_id, item_id, rating`` (see
     ``sources.read_rating_lines``).  Returns DataFrames: ``flags`` (one row),
     ``user_steps`` and ``item_order`` (offenders with line numbers),
-    ``values`` (rows per rating value) and ``last`` (last user id, last line,
-    row count).
+    ``values`` (rows per rating value), ``last`` (last user id, last line,
+    row count) and ``rows`` (the shared, persisted rows with their previous
+    row; ``unpersist()`` it when done).  The file is read and lagged once for
+    all five results.
     """
+    rows = rows.persist(StorageLevel.MEMORY_AND_DISK)
+    p = _with_previous(rows, line, num_blocks)
+    user_down = F.col("user_id") < F.col("prev_user_id")
+    flags = p.agg(
+        F.coalesce(~F.bool_or(user_down), F.lit(True)).alias("user_order_ok"),
+        F.coalesce(~F.bool_or(_step_bad()), F.lit(True)).alias("user_step_ok"),
+        F.coalesce(~F.bool_or(_item_bad()), F.lit(True)).alias("item_order_ok"),
+        F.count_if(_step_bad()).alias("n_user_step_violations"),
+        F.count_if(_item_bad()).alias("n_item_order_violations"),
+        F.count(F.lit(1)).alias("n_rows"),
+        F.max_by("user_id", line).alias("last_user_id"),
+        F.max(line).alias("last_line"))
+    p = p.persist(StorageLevel.MEMORY_AND_DISK)
     return {
-        "flags": order_check(rows, line, num_blocks),
-        "user_steps": user_step_violations(rows, line, num_blocks),
-        "item_order": item_order_violations(rows, line, num_blocks),
+        "flags": flags,
+        "user_steps": p.filter(_step_bad()).select("prev_user_id", "user_id", line),
+        "item_order": p.filter(_item_bad()).select("prev_item_id", "item_id", line),
         "values": rating_distribution(rows),
-        "last": last_row_facts(rows, line),
+        "last": flags.select("last_user_id", "last_line", "n_rows"),
+        "rows": p,
     }

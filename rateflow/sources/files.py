@@ -9,7 +9,7 @@ same way.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
@@ -89,13 +89,22 @@ def _valid_rating_raw() -> F.Column:
 def read_lines(spark: SparkSession, path: str) -> DataFrame:
     """Lines of one text file with their 1-based line number: ``line, value``.
 
-    ``monotonically_increasing_id`` grows in file order within one file;
-    the dense numbering is the blocked ``number_rows`` (no one-task window).
+    ``monotonically_increasing_id`` holds the input split in its upper bits
+    and the row within the split in its lower 33 bits.  A count per split
+    (one small aggregate) gives each split's offset, and ``line = offset +
+    row + 1``: no shuffle or sort of the lines.  The offset table has one row
+    per input split, so broadcasting it is safe.  Lines are in file order
+    for a single file.
     """
-    from rateflow.operators.ordering import number_rows
-
-    raw = spark.read.text(path).withColumn("_k", F.monotonically_increasing_id())
-    return number_rows(raw, "_k", out_col="line").drop("_k").select("line", "value")
+    raw = (spark.read.text(path)
+           .withColumn("_id", F.monotonically_increasing_id())
+           .withColumn("_split", F.shiftright("_id", 33))
+           .withColumn("_row", F.col("_id").bitwiseAND(F.lit((1 << 33) - 1))))
+    per_split = raw.groupBy("_split").agg(F.count(F.lit(1)).alias("_n"))
+    before = Window.orderBy("_split").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = per_split.select("_split", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
+    return (raw.join(F.broadcast(offsets), "_split")
+            .select((F.col("_off") + F.col("_row") + 1).alias("line"), "value"))
 
 
 def read_rating_lines(spark: SparkSession, path: str) -> DataFrame:
