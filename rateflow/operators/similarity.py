@@ -26,6 +26,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from rateflow.session import write_and_read
+
 # Items with more raters than this are salted (see module doc).
 DEFAULT_SALT_ABOVE = 20_000
 
@@ -87,30 +89,19 @@ MIN_BLOCKS = 4
 MAX_BLOCKS = 256
 
 
-def block_pair_sums(ratings: DataFrame, blocks: int, by: Sequence[str] = (),
-                    min_common: int = 1, partitions: int | None = None) -> DataFrame:
-    """Per-pair sums with the aggregation done where the pairs are formed.
+def block_sides(ratings: DataFrame, blocks: int, by: Sequence[str] = (),
+                partitions: int | None = None) -> tuple[DataFrame, DataFrame, int]:
+    """The two sides of the block-pair join, hash-partitioned on ``(*by, p, q)``.
 
-    Users are hashed into ``blocks`` blocks.  A rating of a user in block p
-    is sent, as the left side, to every block pair (p, q) with q >= p, and as
-    the right side to every (q', p) with q' <= p.  Both sides are
-    hash-partitioned on ``(*by, p, q)``; the equi-join on ``(*by, p, q,
-    item_id)`` and the ``(u, v)`` aggregate then run in the same task, so
-    pair rows are never shuffled, only the ratings (about ``blocks/2 + 1``
-    copies).  Off the diagonal every unordered pair is formed once; on it,
-    ``u < v``.  A hot item's raters are spread over all block pairs, and a
-    hot user's pairs are linear in its ratings.
-
-    Needs ``spark.sql.requireAllClusterKeysForCoPartition=false`` so the
-    join accepts the ``(p, q)`` partitioning instead of re-shuffling on all
-    its keys; this function sets it on the session.
+    A rating of a user in block b goes left to the block pairs (b, q >= b)
+    and right to (p <= b, b).  Returns ``(left, right, partitions)``.
     """
     by = list(by)
     spark = ratings.sparkSession
-    spark.conf.set("spark.sql.requireAllClusterKeysForCoPartition", "false")
-    # One partition per block pair (and key group), so a task holds about one
-    # block pair's hash table.
-    nparts = partitions or max(1, blocks * (blocks + 1) // 2)
+    # At least the session's shuffle partitions: with fewer, the planner
+    # re-shuffles both sides on all join keys to gain parallelism.
+    nparts = max(partitions or max(1, blocks * (blocks + 1) // 2),
+                 int(spark.conf.get("spark.sql.shuffle.partitions")))
     own = F.pmod(F.xxhash64("user_id"), F.lit(blocks)).cast("int")
     base = ratings.select(*by, "item_id", "user_id", "rating", own.alias("_b"))
     left = base.select(*by, "item_id", F.col("user_id").alias("u"), F.col("rating").alias("ru"),
@@ -119,20 +110,50 @@ def block_pair_sums(ratings: DataFrame, blocks: int, by: Sequence[str] = (),
     right = base.select(*by, "item_id", F.col("user_id").alias("v"), F.col("rating").alias("rv"),
                         F.explode(F.sequence(F.lit(0), F.col("_b"))).alias("p"),
                         F.col("_b").alias("q"))
-    left = left.repartition(nparts, *by, "p", "q")
-    right = right.repartition(nparts, *by, "p", "q")
+    return (left.repartition(nparts, *by, "p", "q"),
+            right.repartition(nparts, *by, "p", "q"), nparts)
+
+
+# Planner setting under which the join keeps the (p, q) partitioning.
+CO_PARTITION_ON_BLOCKS = {"spark.sql.requireAllClusterKeysForCoPartition": "false"}
+
+
+def block_pair_sums(ratings: DataFrame, blocks: int, by: Sequence[str] = (),
+                    min_common: int = 1, partitions: int | None = None) -> DataFrame:
+    """Per-pair sums with the aggregation done where the pairs are formed.
+
+    Users are hashed into ``blocks`` blocks (:func:`block_sides`).  Both
+    sides are hash-partitioned on ``(*by, p, q)``; the equi-join on ``(*by,
+    p, q, item_id)`` and the ``(u, v)`` aggregate then run in the same task,
+    so pair rows are never shuffled, only the ratings (about ``blocks/2 + 1``
+    copies).  Off the diagonal every unordered pair is formed once; on it,
+    ``u < v``.  A hot item's raters are spread over all block pairs, and a
+    hot user's pairs are linear in its ratings.
+
+    The join keeps the ``(p, q)`` partitioning only with
+    ``spark.sql.requireAllClusterKeysForCoPartition=false``.  That setting is
+    scoped to this job: the sums are computed at once under it and written as
+    a parquet table in the checkpoint directory (the lineage cut), and the
+    session's value is restored, so no other join is planned with it.
+    Without a checkpoint directory the plan is returned lazily under the
+    session's own setting (same rows; the pairs may then be shuffled).
+    """
+    by = list(by)
+    left, right, _ = block_sides(ratings, blocks, by, partitions)
     pairs = (left.join(right, [*by, "p", "q", "item_id"])
              .filter((F.col("p") < F.col("q")) | (F.col("u") < F.col("v"))))
     agg = pairs.groupBy(*by, "p", "q", "u", "v").agg(*_sum_aggs("ru", "rv"))
     if min_common > 1:
         agg = agg.filter(F.col("n") >= F.lit(min_common))
     lower = F.col("u") < F.col("v")
-    return agg.select(
+    out = agg.select(
         *by,
         F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v"), "dot",
         F.when(lower, F.col("s1")).otherwise(F.col("s2")).alias("s1"),
         F.when(lower, F.col("s2")).otherwise(F.col("s1")).alias("s2"),
         "n")
+    stored = write_and_read(out, "co_rating_sums", CO_PARTITION_ON_BLOCKS)
+    return out if stored is None else stored
 
 
 def choose_strategy(ratings: DataFrame, by: Sequence[str] = (),

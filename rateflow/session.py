@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -80,3 +82,35 @@ def cut_lineage(df: DataFrame) -> DataFrame:
 
 def sf_path(sf_dir: str, table: str) -> str:
     return os.path.join(sf_dir, f"{table}.parquet")
+
+
+@contextmanager
+def scoped_conf(spark: SparkSession, settings: dict[str, str]):
+    """Set SQL confs for the block, then restore the previous values."""
+    old = {k: spark.conf.get(k, None) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        yield
+    finally:
+        for k, v in old.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
+
+
+def write_and_read(df: DataFrame, name: str, settings: dict[str, str] | None = None) -> DataFrame | None:
+    """Run ``df`` now, store it as parquet under the checkpoint directory and
+    read it back (a lineage cut that survives executor loss).
+
+    ``settings`` are SQL confs in force while the job is planned and run,
+    then restored.  Returns None when no checkpoint directory is available.
+    """
+    base = checkpoint_dir(df.sparkSession)
+    if base is None:
+        return None
+    path = os.path.join(base, "rateflow", f"{name}-{uuid.uuid4().hex}")
+    with scoped_conf(df.sparkSession, settings or {}):
+        df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.parquet(path)

@@ -46,8 +46,46 @@ def test_salted_join_splits_hot_item(spark):
 
 
 def test_block_pairs_spread_hot_item(spark):
+    from rateflow.operators.similarity import block_sides
+
     r = ratings_df(spark, hot_item_ratings())
+    left, right, _ = block_sides(r, 6)
+    pairs = (left.join(right, ["p", "q", "item_id"])
+             .filter((F.col("p") < F.col("q")) | (F.col("u") < F.col("v"))))
+    per = pairs.groupBy("p", "q").count().collect()
+    total = sum(x["count"] for x in per)
+    assert total == co_ratings(r, salt_above=None).count()
+    assert len(per) == 21 and max(x["count"] for x in per) / total < 0.15
     sums = block_pair_sums(r, blocks=6)
-    share, parts = _max_share(sums)
-    assert parts >= 10 and share < 0.25
-    assert sums.agg(F.sum("n")).first()[0] == co_ratings(r, salt_above=None).count()
+    assert sums.agg(F.sum("n")).first()[0] == total
+
+
+def test_block_pairs_leave_session_conf_alone(spark):
+    key = "spark.sql.requireAllClusterKeysForCoPartition"
+    before = spark.conf.get(key)
+    r = ratings_df(spark, hot_item_ratings(n_users=30))
+    sums = block_pair_sums(r, blocks=3)
+    assert spark.conf.get(key) == before
+    assert sums.count() > 0
+
+
+def test_block_pair_plan_shuffles_ratings_only(spark):
+    # Under the scoped setting the join and the (u, v) aggregate reuse the
+    # (p, q) partitioning: the only exchanges are the two explicit ones.
+    import contextlib
+    import io
+
+    from rateflow.operators.similarity import CO_PARTITION_ON_BLOCKS, block_sides
+    from rateflow.session import scoped_conf
+
+    r = ratings_df(spark, hot_item_ratings(n_users=30))
+    left, right, _ = block_sides(r, 3)
+    agg = (left.join(right, ["p", "q", "item_id"])
+           .groupBy("p", "q", "u", "v").count())
+    settings = dict(CO_PARTITION_ON_BLOCKS, **{"spark.sql.autoBroadcastJoinThreshold": "-1"})
+    with scoped_conf(spark, settings):
+        buf = io.StringIO()
+        with contextlib.redirect_stdout(buf):
+            agg.explain()
+    plan = buf.getvalue()
+    assert plan.count("Exchange") == 2 and plan.count("REPARTITION_BY_NUM") == 2
