@@ -195,7 +195,7 @@ def _histogram(key: str) -> str:
 FROM frame f LEFT JOIN filled fl ON f.bucket = fl.bucket"""
 
 
-def _sample(table_cte: str, table: str, col: str, n: int) -> str:
+def _sample(table: str, col: str, n: int) -> str:
     return (f"SELECT {col} FROM (SELECT DISTINCT {col} FROM {table}) d "
             f"ORDER BY {_hash(str(C.SAMPLE_SEED), col)}, {col} LIMIT {n}")
 
@@ -203,8 +203,8 @@ def _sample(table_cte: str, table: str, col: str, n: int) -> str:
 _SAMPLE_CTES = [
     RATINGS, ITEMS,
     "users AS (SELECT c_custkey AS user_id FROM customer)",
-    f"su AS ({_sample('', 'users', 'user_id', C.SAMPLE_USERS)})",
-    f"si AS ({_sample('', 'items', 'item_id', C.SAMPLE_ITEMS)})",
+    f"su AS ({_sample('users', 'user_id', C.SAMPLE_USERS)})",
+    f"si AS ({_sample('items', 'item_id', C.SAMPLE_ITEMS)})",
     """restricted AS (
   SELECT user_id, item_id, rating FROM ratings
   WHERE user_id IN (SELECT user_id FROM su) AND item_id IN (SELECT item_id FROM si))""",

@@ -34,19 +34,17 @@ def _read_csv_strings(spark: SparkSession, path: str, names) -> DataFrame:
 
 
 def _rating_columns(raw: DataFrame) -> DataFrame:
-    rating = F.expr("try_cast(trim(rating) AS DOUBLE)")
     return raw.select(
         F.expr("try_cast(user_id AS BIGINT)").alias("user_id"),
         F.expr("try_cast(item_id AS BIGINT)").alias("item_id"),
-        rating.alias("rating"),
+        F.expr("try_cast(trim(rating) AS DOUBLE)").alias("rating"),
         F.expr("try_cast(rated_at AS BIGINT)").alias("rated_at"),
     )
 
 
-def _valid_rating() -> F.Column:
-    r = F.col("rating")
-    return (F.col("user_id").isNotNull() & F.col("item_id").isNotNull() & r.isNotNull()
-            & ~F.isnan(r) & (F.abs(r) != F.lit(float("inf"))))
+def _valid_rating(user_id: F.Column, item_id: F.Column, rating: F.Column) -> F.Column:
+    return (user_id.isNotNull() & item_id.isNotNull() & rating.isNotNull()
+            & ~F.isnan(rating) & (F.abs(rating) != F.lit(float("inf"))))
 
 
 def read_ratings(spark: SparkSession, path: str, fmt: str = "csv",
@@ -69,23 +67,16 @@ def read_ratings(spark: SparkSession, path: str, fmt: str = "csv",
         raw = _read_csv_strings(spark, path, _RATING_FIELDS)
     else:
         raise ValueError(f"unsupported format {fmt!r}")
-    typed = _rating_columns(raw)
-    good = typed.filter(_valid_rating())
+    good = _rating_columns(raw).filter(
+        _valid_rating(F.col("user_id"), F.col("item_id"), F.col("rating")))
     if not with_rejects:
         return good
-    bad = (raw.withColumn("_ok", F.coalesce(_valid_rating_raw(), F.lit(False)))
-           .filter(~F.col("_ok")).drop("_ok"))
+    ok = _valid_rating(F.expr("try_cast(user_id AS BIGINT)"), F.expr("try_cast(item_id AS BIGINT)"),
+                       F.expr("try_cast(trim(rating) AS DOUBLE)"))
+    bad = raw.filter(~F.coalesce(ok, F.lit(False)))
     return good, bad
 
 
-def _valid_rating_raw() -> F.Column:
-    u = F.expr("try_cast(user_id AS BIGINT)")
-    i = F.expr("try_cast(item_id AS BIGINT)")
-    r = F.expr("try_cast(trim(rating) AS DOUBLE)")
-    return (u.isNotNull() & i.isNotNull() & r.isNotNull() & ~F.isnan(r)
-            & (F.abs(r) != F.lit(float("inf"))))
-
-
 def read_lines(spark: SparkSession, path: str) -> DataFrame:
     """Lines of one text file with their 1-based line number: ``line, value``.
 
