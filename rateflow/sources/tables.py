@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from rateflow.session import sf_path
 
 # Parsed rating views kept per (session, directory, columns), like the
-# cached parsed rating set the notebook reuses across all its analyses.
+# cached parsed rating set reused across all the analyses of a session.
 # MEMORY_AND_DISK: a lost executor's blocks are rebuilt from the lineage.
 _PERSISTED: dict[tuple, DataFrame] = {}
 
