@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from rateflow.functions.columns import hash_bucket, split_part, stable_hash_key
@@ -18,16 +18,62 @@ from rateflow.operators.ordering import DEFAULT_BLOCKS, number_rows
 PARTS = ("train", "validation", "test")
 
 
-def sample_ids(df: DataFrame, id_col: str, n: int, seed: int = 0) -> DataFrame:
+# Above this sample size the threshold search replaces the top-n plan.
+TOP_N_LIMIT = 100_000
+
+
+def sample_ids(df: DataFrame, id_col: str, n: int, seed: int = 0,
+               method: str = "auto") -> DataFrame:
     """Exact-size sample of ``n`` distinct ids without replacement.
 
-    The ``n`` ids with the smallest ``md5(seed|id)`` (ties broken by id).
-    Planned as a top-n (``TakeOrderedAndProject``): each task keeps its
-    ``n`` best candidates, so no full sort happens.
+    The ``n`` ids with the smallest ``md5(seed|id)`` key (ties broken by id).
+    ``method='topn'`` plans a top-n (``TakeOrderedAndProject``): each task
+    keeps its ``n`` best candidates, fine for thousands.  ``'threshold'``
+    finds the n-th key by two histogram passes and then filters, so nothing
+    of size ``n`` meets in one task; ``'auto'`` uses it above
+    ``TOP_N_LIMIT``.  Both return the same ids.
     """
     ids = df.select(id_col).distinct()
-    key = stable_hash_key(F.lit(seed), F.col(id_col))
-    return ids.orderBy(key, F.col(id_col)).limit(n)
+    if n <= 0:
+        return ids.limit(0)
+    if method == "auto":
+        method = "threshold" if n > TOP_N_LIMIT else "topn"
+    if method == "topn":
+        key = stable_hash_key(F.lit(seed), F.col(id_col))
+        return ids.orderBy(key, F.col(id_col)).limit(n)
+    if method != "threshold":
+        raise ValueError(f"unknown method {method!r}")
+    return _sample_by_threshold(ids, id_col, n, seed)
+
+
+def _nth_bucket(counts: DataFrame, bucket: str, need: int):
+    """(bucket holding the need-th row, rows in smaller buckets), from a
+    table of at most 65,536 bucket counts."""
+    before = Window.orderBy(bucket).rowsBetween(Window.unboundedPreceding, -1)
+    row = (counts.select(bucket, "c", F.coalesce(F.sum("c").over(before), F.lit(0)).alias("below"))
+           .filter((F.col("below") < F.lit(need)) & (F.col("below") + F.col("c") >= F.lit(need)))
+           .first())
+    return (None, None) if row is None else (row[bucket], row["below"])
+
+
+def _sample_by_threshold(ids: DataFrame, id_col: str, n: int, seed: int) -> DataFrame:
+    keyed = ids.select(id_col, stable_hash_key(F.lit(seed), F.col(id_col)).alias("_key"))
+    hi = F.shiftright("_key", 16)
+    hi_counts = keyed.groupBy(hi.alias("_hi")).agg(F.count(F.lit(1)).alias("c"))
+    hi_star, below_hi = _nth_bucket(hi_counts, "_hi", n)
+    if hi_star is None:  # fewer than n ids: all of them
+        return ids
+    lo = F.col("_key").bitwiseAND(F.lit(0xFFFF))
+    lo_counts = (keyed.filter(hi == F.lit(hi_star))
+                 .groupBy(lo.alias("_lo")).agg(F.count(F.lit(1)).alias("c")))
+    lo_star, below_lo = _nth_bucket(lo_counts, "_lo", n - below_hi)
+    key_star = (hi_star << 16) | lo_star
+    # ids with key below key*, plus the smallest ids among those with key*
+    # (equal 32-bit keys are rare; their count is what is sorted)
+    take_at = n - below_hi - below_lo
+    at = keyed.filter(F.col("_key") == F.lit(key_star)).orderBy(id_col).limit(take_at)
+    return (keyed.filter(F.col("_key") < F.lit(key_star)).select(id_col)
+            .unionByName(at.select(id_col)))
 
 
 def restrict(ratings: DataFrame, users: DataFrame | None = None,

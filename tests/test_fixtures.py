@@ -242,3 +242,17 @@ def test_recommendation_lists_keep_rank_order(spark):
         "user_id long, rk int, item_id long, title string")
     got = {r["user_id"]: list(r["titles"]) for r in recommendation_lists(recs).collect()}
     assert got == {1: ["a", "b", "c"], 2: ["a"]}
+
+
+@pytest.mark.parametrize("n", [1, 37, 500, 999, 1000, 1500])
+def test_threshold_sample_equals_top_n(spark, n):
+    ids = spark.range(1000).withColumnRenamed("id", "item_id")
+    top = rows_of(sampling.sample_ids(ids, "item_id", n, seed=5, method="topn"))
+    thr = rows_of(sampling.sample_ids(ids, "item_id", n, seed=5, method="threshold"))
+    assert thr == top and len(thr) == min(n, 1000)
+
+
+def test_sample_of_zero(spark):
+    ids = spark.range(10).withColumnRenamed("id", "item_id")
+    assert sampling.sample_ids(ids, "item_id", 0, method="threshold").count() == 0
+    assert sampling.sample_ids(ids, "item_id", 0, method="topn").count() == 0
