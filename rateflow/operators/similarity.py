@@ -49,11 +49,15 @@ def co_ratings(ratings: DataFrame, by: Sequence[str] = (),
                      F.ceil(F.col("_n") / F.lit(salt_above))).otherwise(F.lit(1)).cast("int"))
     own = F.pmod(F.xxhash64("user_id"), F.col("_s")).cast("int")
     every = F.explode(F.sequence(F.lit(0), F.col("_s") - 1))
+    keys = [*by, "item_id", "_p", "_q"]
+    # Partition explicitly on all join keys, so the salt takes effect even if
+    # the session lets joins reuse a partitioning on a subset of them.
+    nparts = int(ratings.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     a = s.select(*by, "item_id", F.col("user_id").alias("u"), F.col("rating").alias("ru"),
-                 own.alias("_p"), every.alias("_q"))
+                 own.alias("_p"), every.alias("_q")).repartition(nparts, *keys)
     b = s.select(*by, "item_id", F.col("user_id").alias("v"), F.col("rating").alias("rv"),
-                 every.alias("_p"), own.alias("_q"))
-    return (a.join(b, [*by, "item_id", "_p", "_q"])
+                 every.alias("_p"), own.alias("_q")).repartition(nparts, *keys)
+    return (a.join(b, keys)
             .filter(F.col("u") < F.col("v"))
             .drop("_p", "_q"))
 

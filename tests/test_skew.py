@@ -2,6 +2,7 @@
 
 import random
 
+import pytest
 from conftest import ratings_df
 from pyspark.sql import functions as F
 
@@ -23,12 +24,14 @@ def _max_share(df):
     return max(r["count"] for r in per) / total, len(per)
 
 
-def test_salted_join_splits_hot_item(spark):
+@pytest.mark.parametrize("subset_copartition", ["true", "false"])
+def test_salted_join_splits_hot_item(spark, subset_copartition):
     r = ratings_df(spark, hot_item_ratings())
     # On data this small AQE would broadcast one side and coalesce the
     # shuffle into one partition; look at the shuffled join used at scale.
     confs = {"spark.sql.adaptive.coalescePartitions.enabled": "false",
-             "spark.sql.autoBroadcastJoinThreshold": "-1"}
+             "spark.sql.autoBroadcastJoinThreshold": "-1",
+             "spark.sql.requireAllClusterKeysForCoPartition": subset_copartition}
     old = {k: spark.conf.get(k) for k in confs}
     for k, v in confs.items():
         spark.conf.set(k, v)
