@@ -124,16 +124,25 @@ def renumber_users(ratings: DataFrame, num_blocks: int = DEFAULT_BLOCKS) -> Data
 
 def sample_ratings(ratings: DataFrame, users: DataFrame, items: DataFrame,
                    n_users: int = 3000, n_items: int = 10000, min_count: int = 20,
-                   seed: int = 0) -> DataFrame:
+                   seed: int = 0, drop_first: bool = False) -> DataFrame:
     """Small rating set: sampled users and items, active users, dense ids.
 
     Draws ``n_users`` from the whole user domain and ``n_items`` from the
     catalogue, keeps ratings whose user and item were both drawn, keeps users
     with at least ``min_count`` kept ratings and renumbers them 1..n.
+
+    ``drop_first=True`` reproduces a slip of the original line-by-line
+    sampler: each sampled user's first rating in file order (the smallest
+    item id, the file being sorted by user and item) is lost before the item
+    filter.  Off by default.
     """
     su = sample_ids(users, "user_id", n_users, seed)
     si = sample_ids(items, "item_id", n_items, seed)
-    kept = min_activity(restrict(ratings, su, si), min_count)
+    mine = restrict(ratings, su)
+    if drop_first:
+        mine = (number_rows(mine, "item_id", ["user_id"], out_col="_pos")
+                .filter(F.col("_pos") > 1).drop("_pos"))
+    kept = min_activity(restrict(mine, items=si), min_count)
     return renumber_users(kept)
 
 

@@ -256,3 +256,16 @@ def test_sample_of_zero(spark):
     ids = spark.range(10).withColumnRenamed("id", "item_id")
     assert sampling.sample_ids(ids, "item_id", 0, method="threshold").count() == 0
     assert sampling.sample_ids(ids, "item_id", 0, method="topn").count() == 0
+
+
+def test_sample_ratings_drop_first(spark):
+    # two users with 21 ratings each on items 0..20; every id is drawn
+    r = ratings_df(spark, [(u, i, 3.0) for u in (5, 9) for i in range(21)])
+    users = spark.createDataFrame([(5,), (9,)], "user_id long")
+    items = spark.createDataFrame([(i,) for i in range(21)], "item_id long")
+    keep = sampling.sample_ratings(r, users, items, 2, 21, min_count=21)
+    assert rows_of(keep.groupBy("user_id").count()) == [(1, 21), (2, 21)]
+    # losing each user's first rating leaves 20 < 21: nobody passes
+    assert sampling.sample_ratings(r, users, items, 2, 21, min_count=21, drop_first=True).count() == 0
+    slipped = sampling.sample_ratings(r, users, items, 2, 21, min_count=20, drop_first=True)
+    assert rows_of(slipped.groupBy("user_id").agg(F.min("item_id"))) == [(1, 1), (2, 1)]
