@@ -247,12 +247,21 @@ def q_top_neighbours(spark, d):
     return top_neighbours(_r(spark, d), K, MIN_COMMON)
 
 
+# Neighbour tables per (session, tables, seeds): their co-rating sums are
+# written once to the checkpoint folder and reused by the kNN queries of the
+# same split, as the rating view is.
+_KNN_SETUPS: dict[tuple, tuple] = {}
+
+
 def _knn_setup(spark, d, seeds):
-    s = _split(spark, d, seeds)
-    train = _part(s, "train")
-    nbrs = top_neighbours(train, K_GRID[-1], MIN_COMMON, by=["seed"])
-    means = user_means(train, ["seed"])
-    return s, train, nbrs, means
+    key = (id(spark), spark.sparkContext.applicationId, d, seeds)
+    if key not in _KNN_SETUPS:
+        s = _split(spark, d, seeds)
+        train = _part(s, "train")
+        nbrs = top_neighbours(train, K_GRID[-1], MIN_COMMON, by=["seed"])
+        means = user_means(train, ["seed"])
+        _KNN_SETUPS[key] = (s, train, nbrs, means)
+    return _KNN_SETUPS[key]
 
 
 def q_knn_predictions(spark, d):
