@@ -64,6 +64,12 @@ DIGITS = 6
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+# Neighbour tables per (session, tables, seeds): their co-rating sums are
+# written once to the checkpoint folder and reused by the kNN queries of the
+# same split, as the rating view is.
+_KNN_SETUPS: dict[tuple, object] = {}
+
+
 def _r(spark, d):
     return tpch_ratings(spark, d)
 
@@ -243,14 +249,17 @@ def q_directed_similarity(spark, d):
     return directed(user_similarity(_r(spark, d)))
 
 
-def q_top_neighbours(spark, d):
-    return top_neighbours(_r(spark, d), K, MIN_COMMON)
+def _whole_neighbours(spark, d):
+    # Whole-data neighbours, shared by the neighbour and recommendation queries
+    # of a session (their co-rating sums are written once).
+    key = (id(spark), spark.sparkContext.applicationId, d, None)
+    if key not in _KNN_SETUPS:
+        _KNN_SETUPS[key] = top_neighbours(_r(spark, d), K, MIN_COMMON)
+    return _KNN_SETUPS[key]
 
 
-# Neighbour tables per (session, tables, seeds): their co-rating sums are
-# written once to the checkpoint folder and reused by the kNN queries of the
-# same split, as the rating view is.
-_KNN_SETUPS: dict[tuple, tuple] = {}
+def q_top_neighbours(spark, d):
+    return _whole_neighbours(spark, d)
 
 
 def _knn_setup(spark, d, seeds):
@@ -291,8 +300,7 @@ def q_best_k(spark, d):
 
 
 def q_knn_recommendations(spark, d):
-    r = _r(spark, d)
-    return recommend_user_knn(top_neighbours(r, K, MIN_COMMON), r, K, REC_N, digits=DIGITS)
+    return recommend_user_knn(_whole_neighbours(spark, d), _r(spark, d), K, REC_N, digits=DIGITS)
 
 
 def q_knn_recommendations_titled(spark, d):
