@@ -21,6 +21,7 @@ bit-identical similarities.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window
@@ -87,10 +88,11 @@ def sums_from_pairs(pairs: DataFrame, by: Sequence[str] = (), min_common: int =
     return agg
 
 
-# Rows of ratings per user block in the block-pair strategy.
-DEFAULT_BLOCK_ROWS = 18_000
+# Co-rating rows per block pair the block count aims at: it bounds each
+# task's (u, v) hash table (measured best near 330k rows at sf0.1, B = 33).
+DEFAULT_PAIRS_PER_BLOCK_PAIR = 330_000
 MIN_BLOCKS = 4
-MAX_BLOCKS = 256
+MAX_BLOCKS = 4096
 
 
 def block_sides(ratings: DataFrame, blocks: int, by: Sequence[str] = (),
@@ -161,14 +163,16 @@ def block_pair_sums(ratings: DataFrame, blocks: int, by: Sequence[str] = (),
 
 
 def choose_strategy(ratings: DataFrame, by: Sequence[str] = (),
-                    block_rows: int = DEFAULT_BLOCK_ROWS) -> tuple[str, int, int]:
+                    pairs_per_block_pair: int = DEFAULT_PAIRS_PER_BLOCK_PAIR
+                    ) -> tuple[str, int, int]:
     """Pick ``('blocks', B, groups)`` or ``('pairs', 0, groups)`` from two counts.
 
     One small job over per-item rater counts gives R (ratings) and P (pair
-    rows, sum of c*(c-1)/2).  The block strategy moves about R*(B+1) rating
-    rows through the shuffle; the pair strategy about P pair rows.  Blocks
-    win whenever R*(B+1) <= P, which holds while items have more raters than
-    there are user blocks.
+    rows, sum of c*(c-1)/2).  B is chosen so a block pair holds about
+    ``pairs_per_block_pair`` pair rows: ``B = ceil(sqrt(2 P / g / target))``
+    per key group, which bounds each task's work at any scale.  The block
+    strategy moves about R*(B+1) rating rows through the shuffle, the pair
+    strategy about P pair rows; blocks are used when R*(B+1) <= P.
     """
     per_item = ratings.groupBy(*by, "item_id").agg(F.count(F.lit(1)).alias("c"))
     groups = F.count_distinct(*[F.col(c) for c in by]) if by else F.lit(1)
@@ -176,7 +180,9 @@ def choose_strategy(ratings: DataFrame, by: Sequence[str] = (),
                        F.sum(F.col("c") * (F.col("c") - 1) / 2).alias("p"),
                        groups.alias("g")).first()
     r, p, g = int(row["r"] or 0), float(row["p"] or 0.0), int(row["g"] or 1)
-    blocks = max(MIN_BLOCKS, min(MAX_BLOCKS, -(-r // max(1, block_rows * max(g, 1)))))
+    per_group = p / max(g, 1)
+    blocks = math.ceil(math.sqrt(2.0 * per_group / max(1, pairs_per_block_pair)))
+    blocks = max(MIN_BLOCKS, min(MAX_BLOCKS, blocks))
     if r * (blocks + 1) <= p:
         return "blocks", blocks, g
     return "pairs", 0, g
@@ -184,7 +190,7 @@ def choose_strategy(ratings: DataFrame, by: Sequence[str] = (),
 
 def co_rating_sums(ratings: DataFrame, by: Sequence[str] = (), min_common: int = 1,
                    strategy: str = "auto", blocks: int | None = None,
-                   block_rows: int = DEFAULT_BLOCK_ROWS,
+                   pairs_per_block_pair: int = DEFAULT_PAIRS_PER_BLOCK_PAIR,
                    salt_above: int | None = DEFAULT_SALT_ABOVE) -> DataFrame:
     """``*by, u, v, dot, s1, s2, n`` over co-rated items, u < v.
 
@@ -195,7 +201,7 @@ def co_rating_sums(ratings: DataFrame, by: Sequence[str] = (), min_common: int =
     """
     groups = 1
     if strategy == "auto":
-        strategy, auto_blocks, groups = choose_strategy(ratings, by, block_rows)
+        strategy, auto_blocks, groups = choose_strategy(ratings, by, pairs_per_block_pair)
         blocks = blocks or auto_blocks
     if strategy == "blocks":
         b = blocks or MIN_BLOCKS
