@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from rateflow.llm import exact_dedup
+from rateflow.llm import exact_dedup, packing
 
 QUERIES = {
+    "op1_pack": packing.q_pack,
     "op4_exact_dedup": exact_dedup.q_exact_dedup,
 }
 
