@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from rateflow.llm import exact_dedup, packing
+from rateflow.llm import exact_dedup, packing, vector_search
 
 QUERIES = {
     "op1_pack": packing.q_pack,
     "op4_exact_dedup": exact_dedup.q_exact_dedup,
+    "op10_top_k": vector_search.q_top_k,
 }
 
 ORACLE_SQL = {
     "op4_exact_dedup": exact_dedup.SQL,
+    "op10_top_k": vector_search.SQL,
 }
