@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import json
 import os
 import tempfile
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, DataType
 
 _SCRATCH: dict[str, list[str]] = {}
 
@@ -59,6 +61,13 @@ def release(spark: SparkSession) -> None:
         p.getFileSystem(conf).delete(p, True)
 
 
+def local_table(spark: SparkSession, rows: list, ddl: str) -> DataFrame:
+    """A small table made on the driver, without Python on the executors."""
+    schema = DataType.fromDDL(ddl)
+    text = json.dumps([dict(zip(schema.names, row)) for row in rows])
+    return spark.range(1).select(F.inline(F.from_json(F.lit(text), ArrayType(schema))))
+
+
 def text_of(df: DataFrame, column: str = "text") -> Column:
     """The text column, a null being the empty text."""
     return F.coalesce(df[column].cast("string"), F.lit(""))

@@ -23,7 +23,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from rateflow.llm.common import documents, shuffle_partitions, text_of
+from rateflow.llm.common import documents, local_table, shuffle_partitions, text_of
 
 HOT_SHARES = 1000
 
@@ -45,7 +45,7 @@ def exact_groups(docs: DataFrame, keep_columns: tuple[str, ...] = ()) -> DataFra
            .select(F.col("_sha").alias("_hot"),
                    F.ceil(F.col("_n") * HOT_SHARES / F.col("_total")).alias("_parts")))
     # At most HOT_SHARES rows, counted once over the whole table.
-    hot = docs.sparkSession.createDataFrame(hot.collect(), hot.schema)
+    hot = local_table(docs.sparkSession, hot.collect(), "_hot string, _parts long")
     dealt = (rows.join(F.broadcast(hot), F.col("_sha") == F.col("_hot"), "left")
              .withColumn("_part", F.when(F.col("_hot").isNull(), F.lit(None).cast("long"))
                          .otherwise(F.pmod(F.xxhash64("_id"), F.col("_parts"))))

@@ -23,7 +23,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from rateflow.llm.common import documents, lower_ascii, text_of
+from rateflow.llm.common import documents, local_table, lower_ascii, text_of
 
 SLACK = 8
 COVER = 0.6
@@ -70,7 +70,7 @@ def _grams(words: Column, n_words: Column, k: int) -> Column:
 def template_grams(spark: SparkSession, phrases=PHRASES, passages=PASSAGES) -> DataFrame:
     rows = [(n, label, base, text.split(" "), k) for n, (label, text, base, k) in enumerate(
         [(*p, True, PHRASE_GRAM) for p in phrases] + [(*p, False, PASSAGE_GRAM) for p in passages])]
-    texts = spark.createDataFrame(rows, "template int, label string, base boolean, words array<string>, k int")
+    texts = local_table(spark, rows, "template int, label string, base boolean, words array<string>, k int")
     by_k = [texts.where(F.col("k") == k).withColumn("n", F.size("words"))
             .select("template", "label", "base", (F.col("n") - k + 1).alias("n_grams"),
                     F.explode(_grams(F.col("words"), F.col("n"), k)).alias("g"))

@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from rateflow.llm.common import documents, map_batches, text_of, written
+from rateflow.llm.common import documents, local_table, map_batches, text_of, written
 
 MAX_TOKENS = 1024
 END = 2
@@ -182,8 +182,8 @@ def placed(pieces: DataFrame, max_tokens: int = MAX_TOKENS) -> DataFrame:
     per_part = pieces.groupBy("_part", "length").agg(F.count("*").alias("_n"))
     # One row per length, at most max_tokens.
     counts = {r["length"]: r["n"] for r in per_part.groupBy("length").agg(F.sum("_n").alias("n")).collect()}
-    steps = spark.createDataFrame(
-        plan_bins(counts, max_tokens),
+    steps = local_table(
+        spark, plan_bins(counts, max_tokens),
         "_length long, _from long, _to long, _each long, _bin long, _at long")
     before = Window.partitionBy("length").orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = per_part.select("_part", "length", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))

@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from rateflow.llm import exact_dedup, language, licenses, packing, secrets, sharding, vector_search
+from rateflow.llm import exact_dedup, language, licenses, near_dedup, packing, secrets, sharding, vector_search
 
 QUERIES = {
     "op1_pack": packing.q_pack,
     "op3_language": language.q_language,
     "op4_exact_dedup": exact_dedup.q_exact_dedup,
     "op6_secrets": secrets.q_secrets,
+    "op7_near_dedup": near_dedup.q_near_dedup,
     "op8_licenses": licenses.q_licenses,
     "op9_shards": sharding.q_shards,
     "op10_top_k": vector_search.q_top_k,

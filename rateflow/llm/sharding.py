@@ -24,7 +24,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from rateflow.llm.common import documents, text_of, written
+from rateflow.llm.common import documents, local_table, text_of, written
 
 SHARDS = 24
 BINS = 4096
@@ -77,7 +77,7 @@ def kd_shards(docs: DataFrame, shards: int = SHARDS) -> DataFrame:
                          if n in facts else 0) for n in level}
         aims = {n: (facts[n]["_bytes"] if n in facts else 0) * (level[n][1] // 2) / level[n][1] for n in level}
         split = _quantiles(dealt, widest, aims, max(1, total // shards // TOLERANCE))
-        splits = spark.createDataFrame([(n, widest[n], split[n]) for n in level], "_node int, _dim int, _split long")
+        splits = local_table(spark, [(n, widest[n], split[n]) for n in level], "_node int, _dim int, _split long")
         dealt = (dealt.join(F.broadcast(splits), "_node", "left")
                  .withColumn("_node", F.when(F.col("_split").isNull(), F.col("_node"))
                              .otherwise(2 * F.col("_node") + (_key() >= F.col("_split")).cast("int")))
@@ -85,7 +85,7 @@ def kd_shards(docs: DataFrame, shards: int = SHARDS) -> DataFrame:
         level = {child: x for n, (first, s) in level.items()
                  for child, x in ((2 * n, (first, s // 2)), (2 * n + 1, (first + s // 2, s - s // 2)))}
 
-    names = spark.createDataFrame(leaves, "_node int, shard int")
+    names = local_table(spark, leaves, "_node int, shard int")
     dealt = dealt.join(F.broadcast(names), "_node").withColumn("_part", F.shiftright("_row", 33))
     counts = dealt.groupBy("shard", "_part").agg(F.count("*").alias("_n"))
     before = Window.partitionBy("shard").orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
@@ -107,9 +107,9 @@ def _quantiles(rows: DataFrame, dimension: dict[int, int], aims: dict[int, float
     ranges = {n: (0, 2**63 - 1, 0) for n in aims}      # from key, to key, bytes below
     found: dict[int, int] = {}
     while ranges:
-        grid = spark.createDataFrame(
-            [(n, dimension[n], lo, max(1, -(-(hi - lo + 1) // BINS)), hi, float(aims[n] - below))
-             for n, (lo, hi, below) in ranges.items()],
+        grid = local_table(
+            spark, [(n, dimension[n], lo, max(1, -(-(hi - lo + 1) // BINS)), hi, float(aims[n] - below))
+                    for n, (lo, hi, below) in ranges.items()],
             "_node int, _dim int, _lo long, _step long, _hi long, _aim double")
         bins = (rows.join(F.broadcast(grid), "_node").withColumn("_key", _key())
                 .where((F.col("_key") >= F.col("_lo")) & (F.col("_key") <= F.col("_hi")))
