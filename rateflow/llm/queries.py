@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from rateflow.llm import exact_dedup, language, licenses, near_dedup, packing, secrets, sharding, suffix_dedup, vector_search
+from rateflow.llm import exact_dedup, language, licenses, near_dedup, packing, secrets, sentence_pieces, sharding, suffix_dedup, vector_search
 
 QUERIES = {
     "op1_pack": packing.q_pack,
     "op2_suffix_dedup": suffix_dedup.q_suffix_dedup,
     "op3_language": language.q_language,
     "op4_exact_dedup": exact_dedup.q_exact_dedup,
+    "op5_sentence_pieces": sentence_pieces.q_sentence_pieces,
     "op6_secrets": secrets.q_secrets,
     "op7_near_dedup": near_dedup.q_near_dedup,
     "op8_licenses": licenses.q_licenses,
