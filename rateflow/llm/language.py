@@ -29,6 +29,7 @@ from collections.abc import Iterable, Iterator
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from rateflow.llm.common import documents, map_batches, text_of
 
@@ -132,7 +133,8 @@ def identify(docs: DataFrame, model: list[tuple[str, bytes]] | None = None) -> D
 def identified(docs: DataFrame, model: list[tuple[str, bytes]] | None = None) -> DataFrame:
     """The rows of ``docs`` that are not rejected, with all their columns."""
     row = docs.select(F.struct(*[F.col(c) for c in docs.columns]).alias("_row"), text_of(docs).alias("text"))
-    schema = (row.schema.add("lang_pred", "string").add("score", "double").add("rejected", "boolean"))
+    schema = StructType(list(row.schema.fields))
+    schema.add("lang_pred", "string").add("score", "double").add("rejected", "boolean")
     kept = _classified(row, fit(docs) if model is None else model, schema).where(~F.col("rejected"))
     return kept.select("_row.*")
 
