@@ -1,0 +1,39 @@
+import re
+
+from rateflow.llm.licenses import PASSAGES, license_labels, q_licenses
+
+PHRASES = {"cc by": "cc-by", "general public license": "gpl", "all rights reserved": "reserved"}
+WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
+
+
+def base(text):
+    words = WORD.findall(re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
+    hits = sorted((i, label) for phrase, label in PHRASES.items() for p in [phrase.split()]
+                  for i in range(len(words)) if words[i:i + len(p)] == p)
+    return (len(words), len(hits), hits[0][0] if hits else None, hits[-1][0] if hits else None,
+            ",".join(sorted({label for _, label in hits})))
+
+
+def digest(r):
+    return r["n_words"], r["n_base"], r["first_word"], r["last_word"], r["base_labels"]
+
+
+def test_whole_table_equals_plain_search(spark):
+    sf = "/root/testdata/sf0.01"
+    texts = {r["doc_id"]: r["text"] for r in spark.read.parquet(f"{sf}/documents.parquet").collect()}
+    assert {r["doc_id"]: digest(r) for r in q_licenses(spark, sf).collect()} == {i: base(t) for i, t in texts.items()}
+
+
+def test_phrases_passages_and_slack(frame):
+    mit, apache = dict(PASSAGES)["mit"], dict(PASSAGES)["apache-2.0"]
+    words = mit.split()
+    texts = {
+        1: "CC-BY cc by, all rights RESERVED. All Rights Reserved", 2: f"Header. {mit.upper()}!",
+        3: " ".join(words[:8] + ["really", "very"] + words[8:]), 4: " ".join(words[:6]),
+        5: f"{apache} and the General Public License", 6: "ccby cc by rights reserved", 7: None, 8: "",
+        9: "all rights all rights reserved reserved", 10: "word " * 5000 + "cc by",
+    }
+    out = {r["doc_id"]: r for r in license_labels(frame(list(texts.items()))).collect()}
+    assert {i: digest(r) for i, r in out.items()} == {i: base(t) for i, t in texts.items()}
+    assert [out[i]["labels"] for i in range(1, 7)] == ["cc-by,reserved", "mit", "mit", "", "apache-2.0,gpl", ""]
+    assert out[2]["score"] == 1.0 and 0.6 <= out[3]["score"] < 1 and out[4]["score"] == 0.0

@@ -1,0 +1,75 @@
+import random
+import zlib
+from bisect import bisect_left, insort
+
+import numpy as np
+import pytest
+
+from rateflow.llm import packing
+from rateflow.llm.packing import OpenBins, pack, plan_bins, sequences, token_ids
+
+
+def best_fit(lengths, capacity):
+    """Best-fit decreasing, one piece at a time."""
+    rooms = []
+    for n in sorted(lengths, reverse=True):
+        at = bisect_left(rooms, n)
+        room = rooms.pop(at) if at < len(rooms) else capacity
+        insort(rooms, room - n)
+    return rooms
+
+
+@pytest.mark.parametrize("seed", range(12))
+def test_plan_equals_best_fit_decreasing(seed):
+    r = random.Random(seed)
+    capacity = r.choice([1, 7, 64, 1000])
+    lengths = [r.randint(1, capacity) for _ in range(r.randint(0, 400))]
+    counts = {n: lengths.count(n) for n in set(lengths)}
+    steps = plan_bins(counts, capacity)
+    filled = {}
+    for n, lo, hi, each, first, at in steps:
+        for rank in range(lo, hi):
+            k = rank - lo
+            filled.setdefault(first + k // each, []).append((at + k % each * n, n))
+    assert sorted(n for own in filled.values() for _, n in own) == sorted(lengths)
+    for own in filled.values():
+        end = 0
+        for at, n in sorted(own):
+            assert at == end
+            end += n
+        assert end <= capacity
+    assert sorted(capacity - sum(n for _, n in own) for own in filled.values()) == best_fit(lengths, capacity)
+
+
+def test_tightest_open_bin():
+    bins = OpenBins(10)
+    bins.put(4, 0, 1)
+    bins.put(9, 1, 2)
+    assert [bins.tightest(n) for n in (1, 4, 5, 9, 10)] == [4, 4, 9, 9, None]
+    assert bins.take(4) == (0, 1) and bins.tightest(1) == 9
+
+
+def test_ids_equal_the_tokenizers_library(texts):
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    reference = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    path = packing.default_vocabulary()
+    for text in [*texts.values(), "", " ", "a <|endoftext|> b", " x\n\n  y", "日本 ﬁ 🙂", "x" * 5000]:
+        want = reference.encode(text or "", add_special_tokens=False).ids + [2]
+        assert token_ids(text or "", path).tolist() == want
+
+
+def test_pieces_and_sequences(frame, odd_rows):
+    docs = frame(odd_rows)
+    rows = pack(docs, max_tokens=256, with_ids=True).collect()
+    own = {}
+    for r in rows:
+        assert zlib.crc32(np.array(r["ids"], dtype="<u4").tobytes()) == r["ids_crc32"] and len(r["ids"]) == r["length"]
+        assert r["length"] == 256 or r["piece"] == 0
+        own.setdefault(r["sequence_id"], []).append((r["offset"], r["length"]))
+    for parts in own.values():
+        assert [a for a, _ in sorted(parts)] == [sum(n for _, n in sorted(parts)[:i]) for i in range(len(parts))]
+    packed = sequences(docs, max_tokens=256).collect()
+    assert len(packed) == len(own) and max(len(r["ids"]) for r in packed) <= 256
+    assert sum(len(r["ids"]) for r in packed) == sum(r["length"] for r in rows)

@@ -1,0 +1,42 @@
+import corpus_pipeline
+from rateflow.llm.common import documents, written
+from llm.test_near_dedup import groups
+
+SF = "/root/testdata/sf0.001"
+
+
+def test_stages_do_what_their_operators_say(spark):
+    docs = documents(spark, SF)
+    columns, seen = docs.dtypes, []
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        docs = written(stage(spark, docs, SF), f"test-{name}")
+        assert docs.dtypes == columns
+        seen.append({r["doc_id"]: r["text"] for r in docs.collect()})
+    start = {r["doc_id"]: r["text"] for r in documents(spark, SF).collect()}
+    language, exact, near, clean = seen
+    assert len(start) - len(language) <= 0.01 * len(start)
+    last = {}
+    for i, t in sorted(language.items()):
+        last[t] = i
+    assert exact == {i: t for t, i in last.items()}
+    assert set(near) == {i for i, (_, c) in groups(exact).items() if i == c}
+    from rateflow.llm.secrets import redacted
+    assert clean == {i: redacted(t) for i, t in near.items()}
+    packed = corpus_pipeline.STAGES[-1][1](spark, docs, SF).collect()
+    assert {r["doc_id"] for r in packed} == set(clean)
+
+
+def test_run_equals_its_stages(spark):
+    out = corpus_pipeline.run(spark, SF)
+    assert out.where("piece = 0").count() == out.select("doc_id").distinct().count() > 0
+
+
+def test_odd_rows_pass(spark, frame, odd_rows):
+    docs = frame(odd_rows)
+    for name, stage in corpus_pipeline.STAGES:
+        docs = written(stage(spark, docs, SF), f"odd-{name}")
+    assert {r["doc_id"] for r in docs.collect()} >= {4}
+    empty = frame([])
+    for name, stage in corpus_pipeline.STAGES:
+        empty = written(stage(spark, empty, SF), f"none-{name}")
+    assert empty.count() == 0

@@ -1,0 +1,61 @@
+import random
+import struct
+
+import numpy as np
+
+from rateflow.llm.sentence_pieces import Model, decode, default_model, digests, encode, model
+
+ODD = ["", " ", "a\nb", "Hello  world ", "\ta", "é日本 ﷽ x", "1234 56", "<s> hi </s><unk>", "\x00a", "a" * 300,
+       "=====----=====    x", "🙂🙂 q", "thethethe" * 40, "the theatre then"]
+
+
+def test_ids_and_text_equal_the_library(texts):
+    import sentencepiece
+
+    library = sentencepiece.SentencePieceProcessor(model_file=default_model())
+    own = model(default_model())
+    some = [t or "" for t in texts.values()] + ODD
+    for text, ids in zip(some, own.encode(some)):
+        assert ids.tolist() == library.encode(text)
+        assert own.decode(ids.astype(np.int64)) == library.decode(ids.tolist()) == text
+
+
+def unigram(pieces):
+    """A unigram model file of the given pieces and scores, without table."""
+    def field(n, data):
+        return bytes([n << 3 | 2, len(data)]) + data
+
+    def piece(text, score, kind):
+        return field(1, field(1, text.encode()) + b"\x15" + struct.pack("<f", score) + bytes([0x18, kind]))
+
+    return b"".join([piece("<unk>", 0, 2), piece("<s>", 0, 3), piece("</s>", 0, 3),
+                     *[piece(t, s, 1) for t, s in pieces],
+                     field(2, b"\x18\x01"), field(3, field(1, b"identity") + b"\x18\x01\x20\x00")])
+
+
+def test_unigram_equals_all_segmentations():
+    r = random.Random(1)
+    pieces = {"▁": -3.0, "a": -2.5, "b": -2.75, "▁a": -3.25, "ab": -3.5, "ba": -4.75, "aba": -5.125, "▁ab": -4.5, "bb": -6.5}
+    own = Model(unigram(list(pieces.items())))
+
+    def best(word):
+        top = {0: (0.0, [])}
+        for i in range(len(word)):
+            score, parts = top[i]
+            for j in range(i + 1, len(word) + 1):
+                if word[i:j] in pieces and (j not in top or score + pieces[word[i:j]] > top[j][0]):
+                    top[j] = score + pieces[word[i:j]], parts + [word[i:j]]
+        return top[len(word)][0]
+
+    words = ["▁" + "".join(r.choices("ab", k=r.randint(0, 9))) for _ in range(80)]
+    for word, ids in own.encode_words(words).items():
+        assert "".join(own.pieces[i] for i in ids) == word
+        assert abs(sum(pieces[own.pieces[i]] for i in ids) - best(word)) < 1e-6
+    assert own.encode(["a??b"])[0].tolist().count(own.unknown) == 1
+
+
+def test_frames_round_trip(frame, odd_rows):
+    docs = frame(odd_rows)
+    back = decode(encode(docs)).collect()
+    assert sorted((str(r["doc_id"]), r["text"]) for r in back) == sorted((str(r[0]), r[1] or "") for r in odd_rows)
+    assert all(r["round_trip"] for r in digests(docs).collect())
