@@ -6,12 +6,12 @@ is one group.  Equal sets are first made one class, so copies cost nothing.
 
 In each of ``TREES`` independent trees a node picks minwise coordinates by a
 hash of its path, 4/3 on average (1 / similarity), and its documents branch by
-their minwise tokens there: a linked pair keeps one common path per tree on
-average at any depth, and unrelated documents part.  A node of at most
-``LIMIT`` documents is compared exhaustively by signatures; larger nodes offer
-each document to the node's smallest one and branch on.  Nodes that are still
-large after ``MAX_DEPTH`` levels hold almost equal sets; they are compared in
-pieces of ``LIMIT`` beside the star.
+their minwise tokens there, so unrelated documents part.  A node of at most ``LIMIT``
+documents is compared exhaustively by signatures; larger nodes branch on (by
+one coordinate a level, so that a group of near copies does not grow) and, in
+the first ``STAR_TREES`` trees, offer each document to the node's smallest one.
+Nodes that are still large after ``MAX_DEPTH`` levels hold almost equal sets;
+they are compared in pieces of at most about ``LIMIT``.
 
 What the signatures let pass (an estimate of at least ``LEAST``, more than
 three standard errors below the threshold) is confirmed on the full sets.  A
@@ -21,15 +21,16 @@ components are confirmed, so a group of copies never emits all its pairs.
 
 Edge cases: a null or empty text, or one of white space, has no shingle and is
 linked with nothing.  A row without ``doc_id`` is linked with nothing and
-stays (its ``component_id`` is null).  Rows that share a ``doc_id`` are one
-document with several texts.  An empty table gives an empty result; extra
-columns are ignored by :func:`near_groups` and kept by :func:`near_dedup`.
+stays (its ``component_id`` is null).  Rows that share a ``doc_id`` are linked
+each by its own text.  An empty table gives an empty result; extra columns are
+ignored by :func:`near_groups` and kept by :func:`near_dedup`.
 """
 
 from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterable, Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -42,7 +43,9 @@ from rateflow.llm.shingles import batch_bytes, shingle_sets, signature
 
 PERCENT = 75
 TREES = 16
-LIMIT = 256
+STAR_TREES = 4
+LIMIT = 1024
+LEVELS = 3     # levels that a large node is branched at a time
 MAX_DEPTH = 25
 COORDINATES = 128
 LEAST = 0.62
@@ -51,7 +54,7 @@ SPARSE = 8     # pairs per document up to which a node offers them all
 
 def described(docs: DataFrame) -> DataFrame:
     """``doc_id, n_shingles, digest, sig`` of every row (null for empty sets);
-    ``sig`` is 128 minwise values of 16 bits."""
+    ``sig`` is 128 minwise values of 32 bits."""
     names = ["doc_id", "n_shingles", "digest", "sig"]
 
     def rows(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -62,32 +65,37 @@ def described(docs: DataFrame) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([
                     some.column(0), pa.array([len(s) for s in sets], pa.int64()),
                     pa.array([hashlib.md5(s.tobytes()).digest() if len(s) else None for s in sets], pa.binary()),
-                    pa.array([signature(s).astype("<u2").tobytes() if len(s) else None for s in sets], pa.binary()),
+                    pa.array([signature(s).astype("<u4").tobytes() if len(s) else None for s in sets], pa.binary()),
                 ], names=names)
 
     return map_batches(docs.select(F.col("doc_id").cast("long"), text_of(docs)), rows,
                        "doc_id long, n_shingles long, digest binary, sig binary")
 
 
-def _branches(key: Column, sig: Column) -> Column:
-    """Keys of the children that a document with ``sig`` has below node ``key``."""
-    def child(salt: int) -> Column:
-        at = F.pmod(F.xxhash64(key, F.lit(salt)), F.lit(COORDINATES))
-        return F.xxhash64(key, at, F.substring(sig, (2 * at + 1).cast("int"), F.lit(2)))
+def _child(key: Column, sig: Column, salt: int = 1) -> Column:
+    """The node below ``key`` that a document goes to by a coordinate drawn there."""
+    at = F.pmod(F.xxhash64(key, F.lit(salt)), F.lit(COORDINATES))
+    return F.xxhash64(key, at, F.substring(sig, (4 * at + 1).cast("int"), F.lit(4)))
 
-    second = F.pmod(F.xxhash64(key, F.lit(0)), F.lit(3)) == 0
-    return F.array_distinct(F.when(second, F.array(child(1), child(2))).otherwise(F.array(child(1))))
+
+def _first_level(reps: DataFrame) -> DataFrame:
+    """``key, id, tree``: each tree's root branches by 4/3 coordinates on average."""
+    key, sig = F.xxhash64("tree"), F.col("sig")
+    both = F.array_distinct(F.array(_child(key, sig), _child(key, sig, 2)))
+    rows = reps.select("id", "sig", F.explode(F.array(*[F.lit(t) for t in range(TREES)])).alias("tree"))
+    return rows.select(F.explode(F.when(F.col("tree") % 3 == 0, both).otherwise(F.array(_child(key, sig))))
+                       .alias("key"), "id", "tree")
 
 
 def _below(rows: DataFrame, levels: int) -> DataFrame:
-    """``(key, id)`` of the nodes ``levels`` below those of ``(key, id, sig)``."""
+    """``key, id, tree`` of the nodes ``levels`` below those of ``key, id, tree, sig``."""
     for _ in range(levels):
-        rows = rows.select("id", "sig", F.explode(_branches(F.col("key"), F.col("sig"))).alias("key"))
-    return rows.select("key", "id")
+        rows = rows.withColumn("key", _child(F.col("key"), F.col("sig")))
+    return rows.select("key", "id", "tree")
 
 
 def _sized(rows: DataFrame) -> DataFrame:
-    """Nodes of two documents or more: ``key, id, n, pivot``."""
+    """Nodes of two documents or more: ``key, id, tree, n, pivot``."""
     sizes = rows.groupBy("key").agg(F.count("*").alias("n"), F.min("id").alias("pivot")).where("n > 1")
     return rows.join(sizes, "key")
 
@@ -95,27 +103,23 @@ def _sized(rows: DataFrame) -> DataFrame:
 def small_nodes(reps: DataFrame) -> tuple[DataFrame, DataFrame]:
     """All nodes of at most ``LIMIT`` documents (``key, id, n``) and the star
     pairs ``a, b`` of the larger ones."""
-    roots = reps.select("id", "sig", F.explode(F.array(*[F.xxhash64(F.lit(t)) for t in range(TREES)])).alias("key"))
-    nodes, depth = written(_sized(_below(roots, 1)), "nodes"), 1
+    nodes, depth = written(_sized(_first_level(reps)), "nodes"), 1
     small, stars = [], []
     while True:
         small.append(nodes.where(F.col("n") <= LIMIT).select("key", "id", "n"))
         large = nodes.where(F.col("n") > LIMIT)
         if large.isEmpty():
             break
-        stars.append(large.select(F.col("pivot").alias("a"), F.col("id").alias("b")).where("a < b"))
+        stars.append(large.where((F.col("tree") < STAR_TREES) & (F.col("pivot") < F.col("id")))
+                     .select(F.col("pivot").alias("a"), F.col("id").alias("b")))
         if depth >= MAX_DEPTH:
             piece = F.xxhash64("key", F.pmod(F.xxhash64("id"), F.ceil(2 * F.col("n") / LIMIT)))
             small.append(large.select(piece.alias("key"), "id", F.lit(LIMIT).cast("long").alias("n")))
             break
-        nodes = written(_sized(_below(large.select("key", "id").join(reps, "id"), 2)), "nodes")
-        depth += 2
-    all_small, all_stars = small[0], reps.select(F.col("id").alias("a"), F.col("id").alias("b")).limit(0)
-    for part in small[1:]:
-        all_small = all_small.unionAll(part)
-    for part in stars:
-        all_stars = all_stars.unionAll(part)
-    return all_small, all_stars.distinct()
+        nodes = written(_sized(_below(large.select("key", "id", "tree").join(reps, "id"), LEVELS)), "nodes")
+        depth += LEVELS
+    all_stars = reps.select(F.col("id").alias("a"), F.col("id").alias("b")).limit(0)
+    return reduce(DataFrame.unionAll, small), reduce(DataFrame.unionAll, stars, all_stars).distinct()
 
 
 def _by_key(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.Table]:
@@ -162,7 +166,7 @@ def _compared(batches: Iterable[pa.RecordBatch], first: bool) -> Iterator[pa.Rec
         if node.num_rows < 2:
             continue
         ids, labels = node.column(1).to_numpy(), node.column(2).to_numpy()
-        sigs = np.frombuffer(b"".join(node.column(3).to_pylist()), dtype="<u2").reshape(len(ids), COORDINATES)
+        sigs = np.frombuffer(b"".join(node.column(3).to_pylist()), dtype="<u4").reshape(len(ids), COORDINATES)
         at, to, same = [], [], []
         for i in range(len(ids) - 1):
             equal = np.count_nonzero(sigs[i + 1:] == sigs[i], axis=1)
@@ -200,18 +204,21 @@ def node_pairs(nodes: DataFrame, reps: DataFrame, labels: DataFrame | None = Non
     return map_batches(sorted_rows, lambda batches: _compared(batches, first), "a long, b long").distinct()
 
 
-def full_sets(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """``id, shingles`` (sorted 64-bit hashes) of the documents in ``ids``."""
+def full_sets(docs: DataFrame, classes: DataFrame) -> DataFrame:
+    """``id, shingles`` (sorted 64-bit hashes) of classes ``id, doc_id, digest``."""
     def rows(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
                 some = batch.slice(at, 256)
-                sets = shingle_sets(*batch_bytes(some.column(1)))
-                yield pa.RecordBatch.from_arrays(
-                    [some.column(0), pa.array([s.tobytes() for s in sets], pa.binary())], names=["id", "shingles"])
+                sets = [s.tobytes() for s in shingle_sets(*batch_bytes(some.column(1)))]
+                # Another text under the same doc_id has another digest.
+                own = [hashlib.md5(s).digest() == d.as_py() for s, d in zip(sets, some.column(2))]
+                yield pa.RecordBatch.from_arrays([some.column(0), pa.array(sets, pa.binary())],
+                                                 names=["id", "shingles"]).filter(pa.array(own, pa.bool_()))
 
-    texts = docs.select(F.col("doc_id").cast("long").alias("id"), text_of(docs).alias("text"))
-    return map_batches(texts.join(ids, "id", "left_semi"), rows, "id long, shingles binary")
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of(docs).alias("text"))
+    return map_batches(texts.join(classes, "doc_id").select("id", "text", "digest"), rows,
+                       "id long, shingles binary")
 
 
 def confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -235,34 +242,48 @@ def confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return map_batches(pairs.join(a, "a").join(b, "b").select("a", "b", "sa", "sb"), rows, "a long, b long")
 
 
-def links(docs: DataFrame, reps: DataFrame) -> DataFrame:
-    """Confirmed links ``a, b`` that connect every component of ``reps``."""
+def class_components(docs: DataFrame, classes: DataFrame) -> DataFrame:
+    """``id, component`` of the linked ones of ``classes`` (``id, doc_id, digest, sig``)."""
+    reps = classes.select("id", "sig")
     nodes, stars = small_nodes(reps)
     a = reps.select(F.col("id").alias("a"), F.col("sig").alias("sa"))
     b = reps.select(F.col("id").alias("b"), F.col("sig").alias("sb"))
     equal = F.size(F.filter(F.sequence(F.lit(0), F.lit(COORDINATES - 1)), lambda i: F.substring(
-        F.col("sa"), 2 * i + 1, F.lit(2)) == F.substring(F.col("sb"), 2 * i + 1, F.lit(2))))
+        F.col("sa"), 4 * i + 1, F.lit(4)) == F.substring(F.col("sb"), 4 * i + 1, F.lit(4))))
     near_stars = stars.join(a, "a").join(b, "b").where(equal >= LEAST * COORDINATES).select("a", "b")
     pairs = written(node_pairs(nodes, reps).unionAll(near_stars).distinct(), "pairs")
     ids = pairs.select(F.col("a").alias("id")).unionAll(pairs.select(F.col("b").alias("id"))).distinct()
-    sets = written(full_sets(docs, ids), "sets")
-    found = written(confirmed(pairs, sets), "links")
-    more = node_pairs(nodes, reps, components(found)).join(pairs, ["a", "b"], "left_anti")
-    return found.unionAll(written(confirmed(more, sets), "links"))
+    sets = written(full_sets(docs, classes.join(ids, "id").select("id", "doc_id", "digest")), "sets")
+    labels = components(written(confirmed(pairs, sets), "links"))
+    # What dense nodes held back: pairs between components, whose links join these.
+    rest = node_pairs(nodes, reps, labels).join(pairs, ["a", "b"], "left_anti")
+    more = written(confirmed(rest, sets), "links")
+    if more.isEmpty():
+        return labels
+    of = lambda c: labels.select(F.col("id").alias(c), F.col("component").alias(f"_{c}"))
+    bridges = more.join(of("a"), "a", "left").join(of("b"), "b", "left").select(
+        F.coalesce("_a", "a").alias("a"), F.coalesce("_b", "b").alias("b"))
+    joined = components(bridges).select(F.col("id").alias("component"), F.col("component").alias("_top"))
+    alone = joined.select(F.col("component").alias("id"), "component").join(labels, "id", "left_anti")
+    return (labels.unionAll(alone.select("id", "component")).join(joined, "component", "left")
+            .select("id", F.coalesce("_top", "component").alias("component")))
 
 
 def near_groups(docs: DataFrame) -> DataFrame:
     """``doc_id, n_shingles, component_id, kept`` of every row."""
     rows = written(described(docs), "signatures")
-    usable = rows.where("digest IS NOT NULL AND doc_id IS NOT NULL")
-    classes = usable.groupBy("digest").agg(F.min("doc_id").alias("id"), F.first("sig").alias("sig"))
-    reps = written(classes, "classes")
-    # A doc_id with several texts is in several classes; it connects them.
-    shared = usable.join(reps.drop("sig"), "digest").select(F.col("doc_id").alias("a"), F.col("id").alias("b"))
-    found = links(docs, reps.select("id", "sig"))
-    labels = components(found.unionAll(shared.where("a <> b")))
-    own = F.coalesce("component", "doc_id")
-    return (rows.join(labels.withColumnRenamed("id", "doc_id"), "doc_id", "left")
+    # A class has the texts of one set; its id is a hash of the set's digest.
+    classes = written(
+        rows.where("digest IS NOT NULL AND doc_id IS NOT NULL").groupBy("digest")
+        .agg(F.min("doc_id").alias("doc_id"), F.first("sig").alias("sig")).withColumn("id", F.xxhash64("digest")),
+        "classes")
+    least = classes.join(class_components(docs, classes), "id", "left").select(
+        "digest", F.coalesce("component", "id").alias("component"), "doc_id")
+    smallest = least.groupBy("component").agg(F.min("doc_id").alias("_own"))
+    of_class = least.select("digest", "component").join(smallest, "component").select("digest", "_own")
+    own = F.coalesce("_own", "doc_id")
+    return (rows.select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.col("digest")).alias("digest"))
+            .join(of_class, "digest", "left")
             .select("doc_id", "n_shingles", own.alias("component_id"),
                     F.coalesce(F.col("doc_id") == own, F.lit(True)).alias("kept")))
 

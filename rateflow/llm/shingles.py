@@ -97,8 +97,8 @@ MULTIPLIERS = np.random.default_rng(7).integers(0, 2**64, 128, dtype=np.uint64)
 
 
 def signature(shingles: np.ndarray) -> np.ndarray:
-    """128 minwise values (the upper 32 bits of each) of a non-empty set."""
+    """128 minwise values (a 32-bit hash of each) of a non-empty set."""
     low = np.full(len(MULTIPLIERS), MASK, dtype=np.uint64)
     for at in range(0, len(shingles), 256):
         np.minimum(low, (MULTIPLIERS[:, None] * shingles[None, at:at + 256]).min(axis=1), out=low)
-    return (low >> np.uint64(32)).astype(np.uint32)
+    return (mixed(low) >> np.uint64(32)).astype(np.uint32)
