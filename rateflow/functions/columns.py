@@ -48,14 +48,18 @@ def split_part(bucket: Column, weights: Sequence[int] = (6, 2, 2),
 
 def error_aggs(prediction: str | Column = "prediction", actual: str | Column = "rating",
                digits: int | None = None) -> list[Column]:
-    """RMSE, MAE and the number of scored pairs as aggregate columns.
+    """RMSE, MAE, the number of scored pairs and their share of all pairs as
+    aggregate columns.
 
-    One pass instead of separate sum, sum and count jobs.  With no rows the
-    errors are null and ``n`` is 0.
+    One pass instead of separate sum, sum and count jobs.  A pair without a
+    prediction counts in ``coverage`` only.  With no scored pair the errors
+    are null and ``n`` is 0; with no pair the coverage is null.
     """
     d = _col(prediction) - _col(actual)
     rmse = F.sqrt(F.avg(d * d))
     mae = F.avg(F.abs(d))
     if digits is not None:
         rmse, mae = F.round(rmse, digits), F.round(mae, digits)
-    return [rmse.alias("rmse"), mae.alias("mae"), F.count(F.lit(1)).alias("n")]
+    scored = F.count(d)
+    return [rmse.alias("rmse"), mae.alias("mae"), scored.alias("n"),
+            F.try_divide(scored, F.count(F.lit(1))).alias("coverage")]

@@ -1,16 +1,18 @@
 """Global row order without a one-task window.
 
 A window with no ``partitionBy`` (``lag`` over the whole file, a global
-``dense_rank``) moves every row into a single task.  Instead the order key
-is cut into equal-width blocks: rows are numbered (or lagged) within their
-block by an ordinary partitioned window, and the block edges are stitched
-with a table of at most ``num_blocks`` rows.  That table is the only thing
-handled by one task, and its size is bounded by the parameter, not by the
-data, so broadcasting it is safe.
+``dense_rank``) moves every row into a single task.  Instead:
 
-The order key must be an integer column that is unique (within a group,
-when groups are given).  For dense keys such as line numbers the blocks hold
-equally many rows; a block never holds more than its width in rows.
+* :func:`number_rows` range-partitions the rows on the order key (Spark
+  samples the quantiles, so skewed keys still give even partitions), sorts
+  each partition, stores the result and adds the offset of the partitions
+  before;
+* :func:`previous_row` cuts dense keys such as line numbers into blocks of
+  ``ROWS_PER_BLOCK``, lags inside each block and carries the last row of a
+  block over to the next.  Keys with gaps are numbered first.
+
+The number of partitions and blocks follows from the number of rows; the
+only tables handled by one task have one row per partition or block.
 """
 
 from __future__ import annotations
@@ -20,72 +22,56 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-DEFAULT_BLOCKS = 1024
-
+from rateflow.session import write_and_read
 
-def _block_expr(df: DataFrame, order_col: str, num_blocks: int) -> F.Column | None:
-    """Block of each row, or None when ``df`` has no rows."""
-    # Range of the order key from one small aggregate job (two numbers).
-    row = df.agg(F.min(order_col).alias("lo"), F.max(order_col).alias("hi")).first()
-    if row is None or row["lo"] is None:
-        return None
-    lo, hi = int(row["lo"]), int(row["hi"])
-    width = max(1, -(-(hi - lo + 1) // num_blocks))
-    return F.floor((F.col(order_col) - F.lit(lo)) / F.lit(width)).cast("bigint")
+ROWS_PER_BLOCK = 250_000
 
 
-def number_rows(df: DataFrame, order_col: str, group_cols: Sequence[str] = (),
-                out_col: str = "rn", num_blocks: int = DEFAULT_BLOCKS) -> DataFrame:
+def number_rows(df: DataFrame, order_col: str, out_col: str = "rn",
+                rows_per_block: int = ROWS_PER_BLOCK) -> DataFrame:
     """Add ``out_col`` = 1-based position of the row by ``order_col``.
 
-    Equal to ``row_number() OVER (PARTITION BY group_cols ORDER BY
-    order_col)`` but a hot group (or no group at all) is spread over up to
-    ``num_blocks`` tasks.
+    Equal to ``row_number() OVER (ORDER BY order_col)``.  The sorted rows are
+    written to the checkpoint directory first, so that counts and positions
+    see the same partitions.
     """
-    group_cols = list(group_cols)
-    blk = _block_expr(df, order_col, num_blocks)
-    if blk is None:  # no rows
-        return df.withColumn(out_col, F.lit(None).cast("bigint"))
-    d = df.withColumn("_blk", blk)
-    counts = d.groupBy(*group_cols, "_blk").agg(F.count(F.lit(1)).alias("_cnt"))
-    before = (Window.partitionBy(*group_cols).orderBy("_blk")
-              .rowsBetween(Window.unboundedPreceding, -1))
-    offsets = counts.select(*group_cols, "_blk",
-                            F.coalesce(F.sum("_cnt").over(before), F.lit(0)).alias("_off"))
-    if not group_cols:
-        offsets = F.broadcast(offsets)  # at most num_blocks rows
-    within = Window.partitionBy(*group_cols, "_blk").orderBy(order_col)
-    numbered = d.withColumn("_r", F.row_number().over(within))
-    return (numbered.join(offsets, [*group_cols, "_blk"])
-            .withColumn(out_col, (F.col("_r") + F.col("_off")).cast("bigint"))
-            .drop("_blk", "_r", "_off"))
+    parts = max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-df.count() // rows_per_block))
+    ranged = (df.repartitionByRange(parts, order_col).sortWithinPartitions(order_col)
+              .withColumn("_id", F.monotonically_increasing_id()))
+    d = write_and_read(ranged, "numbered").withColumn("_blk", F.shiftright("_id", 33))
+    counts = d.groupBy("_blk").agg(F.count(F.lit(1)).alias("_cnt"))
+    before = Window.orderBy("_blk").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select("_blk", F.coalesce(F.sum("_cnt").over(before), F.lit(0)).alias("_off"))
+    row = F.col("_id").bitwiseAND(F.lit((1 << 33) - 1))
+    return d.join(offsets, "_blk").withColumn(out_col, F.col("_off") + row + 1).drop("_blk", "_id", "_off")
 
 
 def previous_row(df: DataFrame, order_col: str, value_cols: Sequence[str],
                  default=0, prefix: str = "prev_",
-                 num_blocks: int = DEFAULT_BLOCKS) -> DataFrame:
+                 rows_per_block: int = ROWS_PER_BLOCK) -> DataFrame:
     """Add ``prev_<c>`` = value of ``c`` on the row just before in order.
 
     Equal to ``lag(c, 1, default) OVER (ORDER BY order_col)`` over the whole
     table.  The first row gets ``default``.
     """
     value_cols = list(value_cols)
-    vals = F.struct(*[F.col(c) for c in value_cols])
-    blk = _block_expr(df, order_col, num_blocks)
-    if blk is None:  # no rows
+    lo, hi, n = df.agg(F.min(order_col), F.max(order_col), F.count(order_col)).first()
+    if not n:
         out = df
         for c in value_cols:
             out = out.withColumn(prefix + c, F.lit(default))
         return out
-    d = df.withColumn("_blk", blk)
-    inner = F.lag(vals, 1).over(Window.partitionBy("_blk").orderBy(order_col))
-    # Last row of every non-empty block, then the last row of the previous
-    # non-empty block: a window over <= num_blocks rows.
-    last = d.groupBy("_blk").agg(F.max_by(vals, F.col(order_col)).alias("_last"))
+    key = order_col
+    if hi - lo + 1 > 2 * n:  # not dense: blocks by position
+        df, key, lo = number_rows(df, order_col, "_line", rows_per_block), "_line", 1
+    vals = F.struct(*[F.col(c) for c in value_cols])
+    d = df.withColumn("_blk", F.floor((F.col(key) - F.lit(lo)) / F.lit(rows_per_block)).cast("bigint"))
+    inner = F.lag(vals, 1).over(Window.partitionBy("_blk").orderBy(key))
+    # Last row of every non-empty block, then the last row of the block before.
+    last = d.groupBy("_blk").agg(F.max_by(vals, F.col(key)).alias("_last"))
     carry = last.select("_blk", F.lag("_last", 1).over(Window.orderBy("_blk")).alias("_carry"))
-    out = (d.withColumn("_inner", inner)
-           .join(F.broadcast(carry), "_blk", "left")
+    out = (d.withColumn("_inner", inner).join(carry, "_blk", "left")
            .withColumn("_prev", F.coalesce("_inner", "_carry")))
     for c in value_cols:
         out = out.withColumn(prefix + c, F.coalesce(F.col("_prev")[c], F.lit(default)))
-    return out.drop("_blk", "_inner", "_carry", "_prev")
+    return out.drop("_blk", "_inner", "_carry", "_prev", *([] if key == order_col else [key]))

@@ -8,7 +8,7 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rateflow.operators.ordering import DEFAULT_BLOCKS, previous_row
+from rateflow.operators.ordering import previous_row
 
 
 def row_counts(ratings: DataFrame, items: DataFrame) -> DataFrame:
@@ -84,9 +84,9 @@ def activity_histogram(ratings: DataFrame, key: str, buckets: int = 20) -> DataF
     return histogram(counts, "c", buckets)
 
 
-def _with_previous(rows: DataFrame, line: str, num_blocks: int) -> DataFrame:
+def _with_previous(rows: DataFrame, line: str) -> DataFrame:
     # The row before the first one is (0, 0).
-    return previous_row(rows, line, ["user_id", "item_id"], default=0, num_blocks=num_blocks)
+    return previous_row(rows, line, ["user_id", "item_id"], default=0)
 
 
 def _step_bad() -> F.Column:
@@ -98,30 +98,27 @@ def _item_bad() -> F.Column:
     return (F.col("user_id") == F.col("prev_user_id")) & (F.col("item_id") < F.col("prev_item_id"))
 
 
-def user_step_violations(rows: DataFrame, line: str = "line",
-                         num_blocks: int = DEFAULT_BLOCKS) -> DataFrame:
+def user_step_violations(rows: DataFrame, line: str = "line") -> DataFrame:
     """Rows whose user id is neither the previous one nor that plus 1.
 
     Output ``prev_user_id, user_id, line``.
     """
-    p = _with_previous(rows, line, num_blocks)
+    p = _with_previous(rows, line)
     return p.filter(_step_bad()).select("prev_user_id", "user_id", line)
 
 
-def item_order_violations(rows: DataFrame, line: str = "line",
-                          num_blocks: int = DEFAULT_BLOCKS) -> DataFrame:
+def item_order_violations(rows: DataFrame, line: str = "line") -> DataFrame:
     """Rows where, for an unchanged user, the item id falls.
 
     Output ``prev_item_id, item_id, line``.
     """
-    p = _with_previous(rows, line, num_blocks)
+    p = _with_previous(rows, line)
     return p.filter(_item_bad()).select("prev_item_id", "item_id", line)
 
 
-def order_check(rows: DataFrame, line: str = "line",
-                num_blocks: int = DEFAULT_BLOCKS) -> DataFrame:
+def order_check(rows: DataFrame, line: str = "line") -> DataFrame:
     """One row of flags and offender counts over rows in ``line`` order."""
-    p = _with_previous(rows, line, num_blocks)
+    p = _with_previous(rows, line)
     user_down = F.col("user_id") < F.col("prev_user_id")
     return p.agg(
         F.coalesce(~F.bool_or(user_down), F.lit(True)).alias("user_order_ok"),
@@ -145,20 +142,19 @@ def item_catalog(items: DataFrame) -> DataFrame:
     return items.select("item_id").distinct()
 
 
-def check_file_order(rows: DataFrame, line: str = "line",
-                     num_blocks: int = DEFAULT_BLOCKS) -> dict[str, DataFrame]:
+def check_file_order(rows: DataFrame, line: str = "line") -> dict[str, DataFrame]:
     """The whole sort-order and value check of a rating file in one place.
 
     ``rows``: ``line, user_id, item_id, rating`` (see
     ``sources.read_rating_lines``).  Returns DataFrames: ``flags`` (one row),
     ``user_steps`` and ``item_order`` (offenders with line numbers),
     ``values`` (rows per rating value), ``last`` (last user id, last line,
-    row count) and ``rows`` (the shared, persisted rows with their previous
-    row; ``unpersist()`` it when done).  The file is read and lagged once for
-    all five results.
+    row count), and the two persisted tables that they share: ``lines`` (the
+    rows) and ``rows`` (with their previous row); ``unpersist()`` both when
+    done.  The file is read and lagged once for all five results.
     """
     rows = rows.persist(StorageLevel.MEMORY_AND_DISK)
-    p = _with_previous(rows, line, num_blocks)
+    p = _with_previous(rows, line)
     user_down = F.col("user_id") < F.col("prev_user_id")
     flags = p.agg(
         F.coalesce(~F.bool_or(user_down), F.lit(True)).alias("user_order_ok"),
@@ -176,5 +172,6 @@ def check_file_order(rows: DataFrame, line: str = "line",
         "item_order": p.filter(_item_bad()).select("prev_item_id", "item_id", line),
         "values": rating_distribution(rows),
         "last": flags.select("last_user_id", "last_line", "n_rows"),
+        "lines": rows,
         "rows": p,
     }

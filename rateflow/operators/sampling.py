@@ -13,31 +13,24 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from rateflow.functions.columns import hash_bucket, split_part, stable_hash_key
-from rateflow.operators.ordering import DEFAULT_BLOCKS, number_rows
+from rateflow.operators.ordering import number_rows
 
 PARTS = ("train", "validation", "test")
 
 
-# Above this sample size the threshold search replaces the top-n plan.
-TOP_N_LIMIT = 100_000
-
-
 def sample_ids(df: DataFrame, id_col: str, n: int, seed: int = 0,
-               method: str = "auto") -> DataFrame:
+               method: str = "threshold") -> DataFrame:
     """Exact-size sample of ``n`` distinct ids without replacement.
 
     The ``n`` ids with the smallest ``md5(seed|id)`` key (ties broken by id).
-    ``method='topn'`` plans a top-n (``TakeOrderedAndProject``): each task
-    keeps its ``n`` best candidates, fine for thousands.  ``'threshold'``
-    finds the n-th key by two histogram passes and then filters, so nothing
-    of size ``n`` meets in one task; ``'auto'`` uses it above
-    ``TOP_N_LIMIT``.  Both return the same ids.
+    ``method='threshold'`` finds the n-th key by two histogram passes and
+    then filters, so nothing of size ``n`` meets in one task.  ``'topn'``,
+    for small ``n``, plans a top-n (``TakeOrderedAndProject``).  Both return
+    the same ids.
     """
     ids = df.select(id_col).distinct()
     if n <= 0:
         return ids.limit(0)
-    if method == "auto":
-        method = "threshold" if n > TOP_N_LIMIT else "topn"
     if method == "topn":
         key = stable_hash_key(F.lit(seed), F.col(id_col))
         return ids.orderBy(key, F.col(id_col)).limit(n)
@@ -103,20 +96,19 @@ def kept_users(ratings: DataFrame) -> DataFrame:
     return ratings.select("user_id").distinct()
 
 
-def dense_ids(ratings: DataFrame, col: str = "user_id", out_col: str = "new_id",
-              num_blocks: int = DEFAULT_BLOCKS) -> DataFrame:
+def dense_ids(ratings: DataFrame, col: str = "user_id", out_col: str = "new_id") -> DataFrame:
     """Mapping ``col -> out_col`` numbering the distinct ids 1..n ascending.
 
     Same ids as ``dense_rank() OVER (ORDER BY col)`` without moving all ids
     into one task (see :mod:`rateflow.operators.ordering`).
     """
     distinct = ratings.select(col).distinct()
-    return number_rows(distinct, col, out_col=out_col, num_blocks=num_blocks)
+    return number_rows(distinct, col, out_col=out_col)
 
 
-def renumber_users(ratings: DataFrame, num_blocks: int = DEFAULT_BLOCKS) -> DataFrame:
+def renumber_users(ratings: DataFrame) -> DataFrame:
     """Ratings with ``user_id`` replaced by its dense 1..n id."""
-    mapping = dense_ids(ratings, "user_id", "_new", num_blocks)
+    mapping = dense_ids(ratings, "user_id", "_new")
     return (ratings.join(mapping, "user_id")
             .withColumn("user_id", F.col("_new")).drop("_new")
             .select("user_id", "item_id", "rating"))
@@ -140,7 +132,8 @@ def sample_ratings(ratings: DataFrame, users: DataFrame, items: DataFrame,
     si = sample_ids(items, "item_id", n_items, seed)
     mine = restrict(ratings, su)
     if drop_first:
-        mine = (number_rows(mine, "item_id", ["user_id"], out_col="_pos")
+        first = Window.partitionBy("user_id").orderBy("item_id")  # at most a catalogue of rows
+        mine = (mine.withColumn("_pos", F.row_number().over(first))
                 .filter(F.col("_pos") > 1).drop("_pos"))
     kept = min_activity(restrict(mine, items=si), min_count)
     return renumber_users(kept)

@@ -1,22 +1,19 @@
 """User-user cosine similarity over co-rated items and top-K neighbours.
 
 Pairs of users are only ever formed through a shared item (an equi-join on
-``item_id``), never as a cartesian product of all users.  Two plans compute
-the per-pair sums ``dot, s1, s2, n``; :func:`choose_strategy` picks one
-from the number of ratings R and of pair rows P = sum of c*(c-1)/2 over
-items:
-
-* block pairs (:func:`block_pair_sums`): users are hashed into B blocks
-  and the join and the aggregate run co-partitioned on the block pair, so
-  only about R*(B+1) rating rows are shuffled and no pair row is;
-* salted pair join (:func:`co_ratings` + shuffled aggregate), when
-  R*(B+1) > P: items with more than ``salt_above`` raters are split into
-  ``S = ceil(raters / salt_above)`` rater blocks per side, the left side
-  copied over the right's blocks and vice versa, join key ``(item_id, p,
-  q)``; every pair still meets exactly once, in one of S*S bounded tasks.
-
-The sums of half-star ratings are exact in any order, so both plans give
-bit-identical similarities.
+``item_id``), never as a cartesian product of all users.
+
+The per-pair sums ``dot, s1, s2, n`` have one plan at every size
+(:func:`block_pair_sums`): users are hashed into B blocks and the join and
+the aggregate run co-partitioned on the block pair, so ratings are shuffled
+(about B/2 + 1 copies) and pair rows never are.  B follows from the numbers
+of ratings R and pair rows P alone (:func:`block_count`): about
+``pairs_per_block_pair`` pair rows in a block pair, and never more copies of
+ratings than there are pair rows.
+
+:func:`co_ratings` gives the pair rows themselves, for bounded inputs such
+as given users; a hot item's raters are split there into blocks on both
+sides of the join (a salt).
 """
 
 from __future__ import annotations
@@ -24,7 +21,7 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from rateflow.session import write_and_read
@@ -44,10 +41,12 @@ def co_ratings(ratings: DataFrame, by: Sequence[str] = (),
         return a.join(b, [*by, "item_id"]).filter(F.col("u") < F.col("v"))
     if salt_above < 1:
         raise ValueError("salt_above must be >= 1")
-    raters = base.groupBy(*by, "item_id").agg(F.count(F.lit(1)).alias("_n"))
-    s = base.join(raters, [*by, "item_id"]).withColumn(
-        "_s", F.when(F.col("_n") > F.lit(salt_above),
-                     F.ceil(F.col("_n") / F.lit(salt_above))).otherwise(F.lit(1)).cast("int"))
+    # Only the hot items come back to the ratings (at most R / salt_above
+    # rows); the join's skew handling splits a hot item's side.
+    hot = (base.groupBy(*by, "item_id").agg(F.count(F.lit(1)).alias("_n"))
+           .filter(F.col("_n") > F.lit(salt_above)))
+    s = base.join(hot, [*by, "item_id"], "left").withColumn(
+        "_s", F.ceil(F.coalesce("_n", F.lit(1)) / F.lit(salt_above)).cast("int"))
     own = F.pmod(F.xxhash64("user_id"), F.col("_s")).cast("int")
     every = F.explode(F.sequence(F.lit(0), F.col("_s") - 1))
     keys = [*by, "item_id", "_p", "_q"]
@@ -88,19 +87,40 @@ def sums_from_pairs(pairs: DataFrame, by: Sequence[str] = (), min_common: int =
     return agg
 
 
-# Co-rating rows per block pair the block count aims at: it bounds each
-# task's (u, v) hash table (measured best near 330k rows at sf0.1, B = 33).
+# Co-rating rows per block pair the block count aims at: it bounds the
+# (u, v) hash table (measured best near 330k rows at sf0.1, B = 33).
 DEFAULT_PAIRS_PER_BLOCK_PAIR = 330_000
-MIN_BLOCKS = 4
-MAX_BLOCKS = 4096
+
+
+def block_count(ratings: int, pairs: float, pairs_per_block_pair: int = DEFAULT_PAIRS_PER_BLOCK_PAIR) -> int:
+    """Blocks for one key group of ``ratings`` rows and ``pairs`` pair rows.
+
+    ``sqrt(2 * pairs / target)``, but at most ``pairs / ratings``, so that
+    the copies of the ratings stay below the pair rows; past that point a
+    block pair's table grows and may spill.
+    """
+    wanted = math.ceil(math.sqrt(2.0 * pairs / max(1, pairs_per_block_pair)))
+    return max(1, min(wanted, int(pairs // max(1, ratings))))
+
+
+def placement_keys(spark: SparkSession, partitions: int) -> list[int]:
+    """For each partition a number that hash partitioning sends there.
+
+    Block pairs are dealt out by these, one after the other, so that none
+    of the ``partitions`` gets two while another has none.
+    """
+    slot = F.pmod(F.hash("id"), F.lit(partitions))
+    found = dict(spark.range(32 * partitions).groupBy(slot.alias("slot")).agg(F.min("id")).collect())
+    return [found.get(i, i) for i in range(partitions)]
 
 
 def block_sides(ratings: DataFrame, blocks: int, by: Sequence[str] = (),
                 partitions: int | None = None) -> tuple[DataFrame, DataFrame, int]:
-    """The two sides of the block-pair join, hash-partitioned on ``(*by, p, q)``.
+    """The two sides of the block-pair join, partitioned by block pair.
 
     A rating of a user in block b goes left to the block pairs (b, q >= b)
-    and right to (p <= b, b).  Returns ``(left, right, partitions)``.
+    and right to (p <= b, b).  The column ``place`` sends the pairs of a key
+    group to consecutive partitions.  Returns ``(left, right, partitions)``.
     """
     by = list(by)
     spark = ratings.sparkSession
@@ -108,6 +128,11 @@ def block_sides(ratings: DataFrame, blocks: int, by: Sequence[str] = (),
     # re-shuffles both sides on all join keys to gain parallelism.
     nparts = max(partitions or max(1, blocks * (blocks + 1) // 2),
                  int(spark.conf.get("spark.sql.shuffle.partitions")))
+    keys = F.lit(placement_keys(spark, nparts)).cast("array<bigint>")
+    # Number of the pair (p, q >= p), row by row.
+    number = F.expr(f"p * {blocks}L - (p * (p - 1)) div 2 + (q - p)")
+    group = F.xxhash64(*by) if by else F.lit(0).cast("bigint")
+    place = F.element_at(keys, (F.pmod(F.pmod(group, F.lit(nparts)) + number, F.lit(nparts)) + 1).cast("int"))
     own = F.pmod(F.xxhash64("user_id"), F.lit(blocks)).cast("int")
     base = ratings.select(*by, "item_id", "user_id", "rating", own.alias("_b"))
     left = base.select(*by, "item_id", F.col("user_id").alias("u"), F.col("rating").alias("ru"),
@@ -116,11 +141,11 @@ def block_sides(ratings: DataFrame, blocks: int, by: Sequence[str] = (),
     right = base.select(*by, "item_id", F.col("user_id").alias("v"), F.col("rating").alias("rv"),
                         F.explode(F.sequence(F.lit(0), F.col("_b"))).alias("p"),
                         F.col("_b").alias("q"))
-    return (left.repartition(nparts, *by, "p", "q"),
-            right.repartition(nparts, *by, "p", "q"), nparts)
+    return (left.withColumn("place", place).repartition(nparts, "place"),
+            right.withColumn("place", place).repartition(nparts, "place"), nparts)
 
 
-# Planner setting under which the join keeps the (p, q) partitioning.
+# Planner setting under which the join keeps the partitioning by ``place``.
 CO_PARTITION_ON_BLOCKS = {"spark.sql.requireAllClusterKeysForCoPartition": "false"}
 
 
@@ -129,26 +154,25 @@ def block_pair_sums(ratings: DataFrame, blocks: int, by: Sequence[str] = (),
     """Per-pair sums with the aggregation done where the pairs are formed.
 
     Users are hashed into ``blocks`` blocks (:func:`block_sides`).  Both
-    sides are hash-partitioned on ``(*by, p, q)``; the equi-join on ``(*by,
-    p, q, item_id)`` and the ``(u, v)`` aggregate then run in the same task,
-    so pair rows are never shuffled, only the ratings (about ``blocks/2 + 1``
+    sides are partitioned by block pair; the equi-join on ``(*by, place, p,
+    q, item_id)`` and the ``(u, v)`` aggregate then run in the same task, so
+    pair rows are never shuffled, only the ratings (about ``blocks/2 + 1``
     copies).  Off the diagonal every unordered pair is formed once; on it,
     ``u < v``.  A hot item's raters are spread over all block pairs, and a
     hot user's pairs are linear in its ratings.
 
-    The join keeps the ``(p, q)`` partitioning only with
-    ``spark.sql.requireAllClusterKeysForCoPartition=false``.  That setting is
-    scoped to this job: the sums are computed at once under it and written as
-    a parquet table in the checkpoint directory (the lineage cut), and the
-    session's value is restored, so no other join is planned with it.
-    Without a checkpoint directory the plan is returned lazily under the
-    session's own setting (same rows; the pairs may then be shuffled).
+    The join keeps that partitioning only with
+    ``spark.sql.requireAllClusterKeysForCoPartition=false``.  The sums are
+    computed at once under it and written as a parquet table in the
+    checkpoint directory (the lineage cut), and the session's value is
+    restored.  Without a checkpoint directory this is an error.  Sums of half-star ratings are exact in any order;
+    others can differ in the last bits with the order of rows.
     """
     by = list(by)
     left, right, _ = block_sides(ratings, blocks, by, partitions)
-    pairs = (left.join(right, [*by, "p", "q", "item_id"])
+    pairs = (left.join(right, [*by, "place", "p", "q", "item_id"])
              .filter((F.col("p") < F.col("q")) | (F.col("u") < F.col("v"))))
-    agg = pairs.groupBy(*by, "p", "q", "u", "v").agg(*_sum_aggs("ru", "rv"))
+    agg = pairs.groupBy(*by, "place", "p", "q", "u", "v").agg(*_sum_aggs("ru", "rv"))
     if min_common > 1:
         agg = agg.filter(F.col("n") >= F.lit(min_common))
     lower = F.col("u") < F.col("v")
@@ -158,58 +182,26 @@ def block_pair_sums(ratings: DataFrame, blocks: int, by: Sequence[str] = (),
         F.when(lower, F.col("s1")).otherwise(F.col("s2")).alias("s1"),
         F.when(lower, F.col("s2")).otherwise(F.col("s1")).alias("s2"),
         "n")
-    stored = write_and_read(out, "co_rating_sums", CO_PARTITION_ON_BLOCKS)
-    return out if stored is None else stored
+    return write_and_read(out, "co_rating_sums", CO_PARTITION_ON_BLOCKS)
 
 
-def choose_strategy(ratings: DataFrame, by: Sequence[str] = (),
-                    pairs_per_block_pair: int = DEFAULT_PAIRS_PER_BLOCK_PAIR
-                    ) -> tuple[str, int, int]:
-    """Pick ``('blocks', B, groups)`` or ``('pairs', 0, groups)`` from two counts.
+def co_rating_sums(ratings: DataFrame, by: Sequence[str] = (), min_common: int = 1,
+                   blocks: int | None = None,
+                   pairs_per_block_pair: int = DEFAULT_PAIRS_PER_BLOCK_PAIR) -> DataFrame:
+    """``*by, u, v, dot, s1, s2, n`` over co-rated items, u < v.
 
-    One small job over per-item rater counts gives R (ratings) and P (pair
-    rows, sum of c*(c-1)/2).  B is chosen so a block pair holds about
-    ``pairs_per_block_pair`` pair rows: ``B = ceil(sqrt(2 P / g / target))``
-    per key group, which bounds each task's work at any scale.  The block
-    strategy moves about R*(B+1) rating rows through the shuffle, the pair
-    strategy about P pair rows; blocks are used when R*(B+1) <= P.
+    One small job over per-item rater counts gives R, P and the number of
+    key groups; :func:`block_count` follows from them.
     """
     per_item = ratings.groupBy(*by, "item_id").agg(F.count(F.lit(1)).alias("c"))
     groups = F.count_distinct(*[F.col(c) for c in by]) if by else F.lit(1)
     row = per_item.agg(F.sum("c").alias("r"),
                        F.sum(F.col("c") * (F.col("c") - 1) / 2).alias("p"),
                        groups.alias("g")).first()
-    r, p, g = int(row["r"] or 0), float(row["p"] or 0.0), int(row["g"] or 1)
-    per_group = p / max(g, 1)
-    blocks = math.ceil(math.sqrt(2.0 * per_group / max(1, pairs_per_block_pair)))
-    blocks = max(MIN_BLOCKS, min(MAX_BLOCKS, blocks))
-    if r * (blocks + 1) <= p:
-        return "blocks", blocks, g
-    return "pairs", 0, g
-
-
-def co_rating_sums(ratings: DataFrame, by: Sequence[str] = (), min_common: int = 1,
-                   strategy: str = "auto", blocks: int | None = None,
-                   pairs_per_block_pair: int = DEFAULT_PAIRS_PER_BLOCK_PAIR,
-                   salt_above: int | None = DEFAULT_SALT_ABOVE) -> DataFrame:
-    """``*by, u, v, dot, s1, s2, n`` over co-rated items, u < v.
-
-    ``strategy``: ``'blocks'`` (:func:`block_pair_sums`), ``'pairs'``
-    (salted equi-join, then a shuffled aggregate) or ``'auto'``
-    (:func:`choose_strategy`).  All give the same rows; the sums of half
-    stars are exact in any order.
-    """
-    groups = 1
-    if strategy == "auto":
-        strategy, auto_blocks, groups = choose_strategy(ratings, by, pairs_per_block_pair)
-        blocks = blocks or auto_blocks
-    if strategy == "blocks":
-        b = blocks or MIN_BLOCKS
-        return block_pair_sums(ratings, b, by, min_common,
-                               partitions=max(1, b * (b + 1) // 2) * max(1, groups))
-    if strategy == "pairs":
-        return sums_from_pairs(co_ratings(ratings, by, salt_above), by, min_common)
-    raise ValueError(f"unknown strategy {strategy!r}")
+    g = max(1, int(row["g"] or 1))
+    r, p = int(row["r"] or 0) / g, float(row["p"] or 0.0) / g
+    b = blocks or block_count(math.ceil(r), p, pairs_per_block_pair)
+    return block_pair_sums(ratings, b, by, min_common, partitions=b * (b + 1) // 2 * g)
 
 
 def similarity_from_sums(sums: DataFrame, by: Sequence[str] = ()) -> DataFrame:
@@ -222,9 +214,7 @@ def similarity_from_pairs(pairs: DataFrame, by: Sequence[str] = (),
     return similarity_from_sums(sums_from_pairs(pairs, by, min_common), by)
 
 
-def user_similarity(ratings: DataFrame, by: Sequence[str] = (), min_common: int = 1,
-                    salt_above: int | None = DEFAULT_SALT_ABOVE,
-                    strategy: str = "auto") -> DataFrame:
+def user_similarity(ratings: DataFrame, by: Sequence[str] = (), min_common: int = 1) -> DataFrame:
     """Cosine similarity of every user pair with a co-rated item.
 
     Norms run over the co-rated items only.  Pairs with no common item are
@@ -235,8 +225,7 @@ def user_similarity(ratings: DataFrame, by: Sequence[str] = (), min_common: int
         active = (ratings.groupBy(*by, "user_id").agg(F.count(F.lit(1)).alias("_c"))
                   .filter(F.col("_c") >= F.lit(min_common)).select(*by, "user_id"))
         ratings = ratings.join(active, [*by, "user_id"], "left_semi")
-    sums = co_rating_sums(ratings, by, min_common, strategy, salt_above=salt_above)
-    return similarity_from_sums(sums, by)
+    return similarity_from_sums(co_rating_sums(ratings, by, min_common), by)
 
 
 def directed(sim: DataFrame, by: Sequence[str] = ()) -> DataFrame:
@@ -260,14 +249,12 @@ def rank_neighbours(directed_sim: DataFrame, k: int = 200, by: Sequence[str] = (
 
 
 def top_neighbours(ratings: DataFrame, k: int = 200, min_common: int = 10,
-                   by: Sequence[str] = (),
-                   salt_above: int | None = DEFAULT_SALT_ABOVE,
-                   strategy: str = "auto") -> DataFrame:
+                   by: Sequence[str] = ()) -> DataFrame:
     """``*by, user_id, nb, sim, n, rk``: the ``k`` most similar users with at
     least ``min_common`` co-rated items (the count filter comes first)."""
     if min_common < 1:
         raise ValueError("min_common must be >= 1")
-    sim = user_similarity(ratings, by, min_common, salt_above, strategy)
+    sim = user_similarity(ratings, by, min_common)
     return rank_neighbours(directed(sim, by), k, by)
 
 

@@ -1,7 +1,8 @@
 """Named queries over the driver's parquet tables.
 
-Each entry takes ``(spark, sf_dir)`` and returns a lazy DataFrame (ALS
-entries fit their models when called).  Every query reads the whole given
+Each entry takes ``(spark, sf_dir)`` and returns a DataFrame.  Entries that
+need a written table (splits, co-rating sums, numbered rows) or a small
+aggregate run those jobs when called, and ALS entries fit their models.  Every query reads the whole given
 tables; the only filters on ids are the ones that define an operator (the
 rating distribution of one item, the recommendations of one user).
 """
@@ -15,7 +16,8 @@ from pyspark.sql import functions as F
 
 from rateflow.operators import als, quality, sampling
 from rateflow.operators.aggregates import item_counts, item_stats, user_histories, user_means
-from rateflow.operators.evaluate import best_setting, errors_of, mean_over_seeds
+from rateflow.operators.evaluate import best_setting, errors, errors_of, mean_over_seeds
+from rateflow.operators.ordering import number_rows
 from rateflow.operators.predict import knn_errors_by_k, predict_mean, predict_user_knn
 from rateflow.operators.recommend import (
     attach_titles,
@@ -30,9 +32,11 @@ from rateflow.operators.similarity import (
     top_neighbours,
     user_similarity,
 )
+from rateflow.session import write_and_read
 from rateflow.sources import (
     event_rows,
     item_genres,
+    parse_rating_lines,
     tpch_items,
     tpch_items_with_genres,
     tpch_ratings,
@@ -45,31 +49,27 @@ ITEM = 1                 # item whose rating distribution is shown
 USER = 2                 # user who gets recommendations
 SEED = 0                 # split seed of single-seed queries
 BASELINE_SEEDS = tuple(range(10))
-KNN_SEEDS = (0, 1)
+KNN_SEEDS = tuple(range(10))
 K_GRID = tuple(range(30, 201, 10))
 K = 200
 MIN_COMMON = 10
 POPULAR_MIN, POPULAR_N = 100, 30
 REC_N = 30
 ALS_REG = 0.12
-ALS_RANKS = (2, 4)
-ALS_ITERS = (8, 20)
+ALS_RANKS = tuple(range(2, 15))
+ALS_ITERS = tuple(range(8, 31))
 ALS_RANK, ALS_ITER = 4, 20
-ALS_SEEDS = (0, 1)
+ALS_SEEDS = tuple(range(10))
+ALS_GRID_SEEDS = (0, 1)     # of the two grids; see the README for the time of a fit
 ALS_FINAL_SEED = 9
 ALS_MIN_COUNT = 20
 SAMPLE_USERS, SAMPLE_ITEMS, SAMPLE_MIN, SAMPLE_SEED = 300, 60, 20, 1
+PREDICT_MIN = 20
 DIGITS = 6
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
-# Neighbour tables per (session, tables, seeds): their co-rating sums are
-# written once to the checkpoint folder and reused by the kNN queries of the
-# same split, as the rating view is.
-_KNN_SETUPS: dict[tuple, object] = {}
-
-
 def _r(spark, d):
     return tpch_ratings(spark, d)
 
@@ -79,7 +79,8 @@ def _items(spark, d):
 
 
 def _split(spark, d, seeds):
-    return sampling.with_split(_r(spark, d), seeds)
+    # Written once: training, validation and test parts read the same rows.
+    return write_and_read(sampling.with_split(_r(spark, d), seeds), "split")
 
 
 def _part(split, *names):
@@ -108,6 +109,33 @@ def q_overall_mean(spark, d):
     return quality.overall_mean(quality.rating_distribution(_r(spark, d)))
 
 
+def _rating_lines(spark, d):
+    """The rating view as text lines; five in eleven are spoilt by the ids."""
+    u, i, good = F.col("user_id"), F.col("item_id"), F.format_string("%d,%d,%.1f", "user_id", "item_id", "rating")
+    which = (u * 31 + i) % 11
+    spoilt = [F.format_string("%d", u), F.format_string("%d,x,nan", u), F.format_string("%d,%d,nan", u, i),
+              F.format_string("u,%d,3.0", i), F.lit("")]
+    value = F.lit(None).cast("string")
+    for n, line in enumerate(spoilt):
+        value = F.when(which == n, line).otherwise(value)
+    return _r(spark, d).select(F.coalesce(value, good).alias("value"))
+
+
+def q_parsed_ratings(spark, d):
+    return parse_rating_lines(_rating_lines(spark, d))[0].select("user_id", "item_id", "rating")
+
+
+def q_rejected_ratings(spark, d):
+    return parse_rating_lines(_rating_lines(spark, d))[1]
+
+
+def q_rating_order_check(spark, d):
+    """The order check on the ratings sorted by user and item."""
+    key = F.shiftleft("user_id", 32) + F.col("item_id")
+    rows = number_rows(_r(spark, d).select("user_id", "item_id", key.alias("_key")), "_key", "line")
+    return quality.order_check(rows)
+
+
 def q_item_activity_histogram(spark, d):
     return quality.activity_histogram(_r(spark, d), "item_id", 20)
 
@@ -117,13 +145,12 @@ def q_user_activity_histogram(spark, d):
 
 
 def q_item_rating_distribution(spark, d):
-    # Not the persisted view: the id filter is pushed through the dedupe
-    # aggregate into the parquet scan.
-    return quality.item_rating_distribution(tpch_ratings(spark, d, persist=False), ITEM)
+    # The id filter is pushed through the dedupe aggregate into the parquet scan.
+    return quality.item_rating_distribution(_r(spark, d), ITEM)
 
 
 def q_user_rating_distribution(spark, d):
-    return quality.user_rating_distribution(tpch_ratings(spark, d, persist=False), USER)
+    return quality.user_rating_distribution(_r(spark, d), USER)
 
 
 def q_user_order_check(spark, d):
@@ -231,6 +258,16 @@ def q_baseline_predictions(spark, d):
     return _baseline(spark, d, SEED).drop("seed", "rating")
 
 
+def q_prediction_errors(spark, d):
+    # Users' means from the training part, known for some users only: users
+    # with too few training ratings get no prediction.
+    s = _split(spark, d, SEED)
+    train, test = _part(s, "train").drop("seed"), _part(s, "test").drop("seed")
+    known = sampling.min_activity(train, PREDICT_MIN)
+    pred = predict_mean(test.join(known.select("user_id").distinct(), "user_id", "left_semi"), user_means(known))
+    return errors(pred, test, digits=DIGITS)
+
+
 def q_baseline_errors(spark, d):
     return mean_over_seeds(errors_of(_baseline(spark, d, BASELINE_SEEDS), ["seed"]), (), DIGITS)
 
@@ -249,28 +286,15 @@ def q_directed_similarity(spark, d):
     return directed(user_similarity(_r(spark, d)))
 
 
-def _whole_neighbours(spark, d):
-    # Whole-data neighbours, shared by the neighbour and recommendation queries
-    # of a session (their co-rating sums are written once).
-    key = (id(spark), spark.sparkContext.applicationId, d, None)
-    if key not in _KNN_SETUPS:
-        _KNN_SETUPS[key] = top_neighbours(_r(spark, d), K, MIN_COMMON)
-    return _KNN_SETUPS[key]
-
-
 def q_top_neighbours(spark, d):
-    return _whole_neighbours(spark, d)
+    return top_neighbours(_r(spark, d), K, MIN_COMMON)
 
 
 def _knn_setup(spark, d, seeds):
-    key = (id(spark), spark.sparkContext.applicationId, d, seeds)
-    if key not in _KNN_SETUPS:
-        s = _split(spark, d, seeds)
-        train = _part(s, "train")
-        nbrs = top_neighbours(train, K_GRID[-1], MIN_COMMON, by=["seed"])
-        means = user_means(train, ["seed"])
-        _KNN_SETUPS[key] = (s, train, nbrs, means)
-    return _KNN_SETUPS[key]
+    s = _split(spark, d, seeds)
+    train = _part(s, "train")
+    nbrs = top_neighbours(train, K_GRID[-1], MIN_COMMON, by=["seed"])
+    return s, train, nbrs, user_means(train, ["seed"])
 
 
 def q_knn_predictions(spark, d):
@@ -300,7 +324,7 @@ def q_best_k(spark, d):
 
 
 def q_knn_recommendations(spark, d):
-    return recommend_user_knn(_whole_neighbours(spark, d), _r(spark, d), K, REC_N, digits=DIGITS)
+    return recommend_user_knn(q_top_neighbours(spark, d), _r(spark, d), K, REC_N, digits=DIGITS)
 
 
 def q_knn_recommendations_titled(spark, d):
@@ -334,13 +358,25 @@ def q_als_predictions(spark, d):
         "user_id", "item_id", "prediction")
 
 
+def q_als_scored_pairs(spark, d):
+    """The test pairs that get a prediction: user and item occur in training."""
+    return q_als_predictions(spark, d).select("user_id", "item_id")
+
+
+def q_als_candidates(spark, d):
+    """What one user can be recommended: unrated, with more than
+    ALS_MIN_COUNT ratings, with its name and count."""
+    r, items = _r(spark, d), _items(spark, d)
+    return als.candidates(unrated_items(r, items, USER), r, items, ALS_MIN_COUNT)
+
+
 def q_als_errors_by_rank(spark, d):
-    errs = als.als_grid_errors(_r(spark, d), [(r, ALS_ITER) for r in ALS_RANKS], (SEED,), ALS_REG)
+    errs = als.als_grid_errors(_r(spark, d), [(r, ALS_ITER) for r in ALS_RANKS], ALS_GRID_SEEDS, ALS_REG)
     return mean_over_seeds(errs, ["rank"], DIGITS)
 
 
 def q_als_errors_by_iterations(spark, d):
-    errs = als.als_grid_errors(_r(spark, d), [(ALS_RANK, i) for i in ALS_ITERS], (SEED,), ALS_REG)
+    errs = als.als_grid_errors(_r(spark, d), [(ALS_RANK, i) for i in ALS_ITERS], ALS_GRID_SEEDS, ALS_REG)
     return mean_over_seeds(errs, ["iterations"], DIGITS)
 
 
@@ -362,6 +398,9 @@ QUERIES: dict[str, Query] = {
     "preview": q_preview,
     "rating_distribution": q_rating_distribution,
     "overall_mean": q_overall_mean,
+    "parsed_ratings": q_parsed_ratings,
+    "rejected_ratings": q_rejected_ratings,
+    "rating_order_check": q_rating_order_check,
     "item_activity_histogram": q_item_activity_histogram,
     "user_activity_histogram": q_user_activity_histogram,
     "item_rating_distribution": q_item_rating_distribution,
@@ -387,6 +426,7 @@ QUERIES: dict[str, Query] = {
     "item_counts": q_item_counts,
     "user_histories": q_user_histories,
     "baseline_predictions": q_baseline_predictions,
+    "prediction_errors": q_prediction_errors,
     "baseline_errors": q_baseline_errors,
     "top_neighbours": q_top_neighbours,
     "knn_predictions": q_knn_predictions,
@@ -399,6 +439,8 @@ QUERIES: dict[str, Query] = {
     "popular_items": q_popular_items,
     "unrated_items": q_unrated_items,
     "als_predictions": q_als_predictions,
+    "als_scored_pairs": q_als_scored_pairs,
+    "als_candidates": q_als_candidates,
     "als_errors_by_rank": q_als_errors_by_rank,
     "als_errors_by_iterations": q_als_errors_by_iterations,
     "als_test_errors": q_als_test_errors,

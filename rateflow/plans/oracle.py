@@ -1,8 +1,8 @@
 """Equivalent ANSI SQL (DuckDB dialect) for the named queries.
 
 Written independently of the DataFrame code, straight from each operator's
-definition, over the pre-registered tables.  The ALS queries have no SQL
-form and are absent.
+definition, over the pre-registered tables.  ALS models have no SQL
+form; of their queries only the pair and candidate sets are here.
 """
 
 from __future__ import annotations
@@ -131,11 +131,12 @@ def _knn_errors_by_k_sql() -> str:
   LEFT JOIN means m ON m.seed = p.seed AND m.user_id = p.user_id)""",
         """e AS (
   SELECT seed, k, sqrt(avg((prediction - rating) * (prediction - rating))) AS rmse,
-         avg(abs(prediction - rating)) AS mae
+         avg(abs(prediction - rating)) AS mae, count(prediction) AS n,
+         count(prediction) / count(*) AS coverage
   FROM pred GROUP BY seed, k)""",
         """errs AS (
   SELECT CAST(k AS INTEGER) AS k, round(avg(rmse), 6) AS rmse, round(avg(mae), 6) AS mae,
-         count(*) AS n_seeds
+         CAST(sum(n) AS BIGINT) AS n, round(avg(coverage), 6) AS coverage, count(*) AS n_seeds
   FROM e GROUP BY k)""",
     )
 
@@ -195,6 +196,10 @@ def _histogram(key: str) -> str:
 FROM frame f LEFT JOIN filled fl ON f.bucket = fl.bucket"""
 
 
+_MEAN_ERRORS = """SELECT round(avg(rmse), 6) AS rmse, round(avg(mae), 6) AS mae, CAST(sum(n) AS BIGINT) AS n,
+       round(avg(coverage), 6) AS coverage, count(*) AS n_seeds FROM e"""
+
+
 def _sample(table: str, col: str, n: int) -> str:
     return (f"SELECT {col} FROM (SELECT DISTINCT {col} FROM {table}) d "
             f"ORDER BY {_hash(str(C.SAMPLE_SEED), col)}, {col} LIMIT {n}")
@@ -217,19 +222,34 @@ _SAMPLE_CTES = [
 ]
 
 
+STEP_BAD = "NOT (user_id = prev_user_id OR user_id = prev_user_id + 1)"
+ITEM_BAD = "(user_id = prev_user_id AND item_id < prev_item_id)"
+ORDER_FLAGS = f"""SELECT coalesce(NOT bool_or(user_id < prev_user_id), true) AS user_order_ok,
+       coalesce(NOT bool_or({STEP_BAD}), true) AS user_step_ok,
+       coalesce(NOT bool_or({ITEM_BAD}), true) AS item_order_ok,
+       count(*) FILTER (WHERE {STEP_BAD}) AS n_user_step_violations,
+       count(*) FILTER (WHERE {ITEM_BAD}) AS n_item_order_violations
+FROM prev"""
+
+LINES = """lines AS (
+  SELECT CASE (user_id * 31 + item_id) % 11
+           WHEN 0 THEN printf('%d', user_id) WHEN 1 THEN printf('%d,x,nan', user_id)
+           WHEN 2 THEN printf('%d,%d,nan', user_id, item_id) WHEN 3 THEN printf('u,%d,3.0', item_id)
+           WHEN 4 THEN '' ELSE printf('%d,%d,%.1f', user_id, item_id, rating) END AS value
+  FROM ratings)"""
+FIELDS = """fields AS (
+  SELECT value, try_cast(trim(f[1]) AS BIGINT) AS user_id, try_cast(trim(f[2]) AS BIGINT) AS item_id,
+         try_cast(trim(f[3]) AS DOUBLE) AS rating
+  FROM (SELECT value, string_split(value, ',') AS f FROM lines) t)"""
+VALID = "(user_id IS NOT NULL AND item_id IS NOT NULL AND rating IS NOT NULL AND isfinite(rating))"
+
+
 def _order_checks() -> dict[str, str]:
-    step_bad = "NOT (user_id = prev_user_id OR user_id = prev_user_id + 1)"
-    item_bad = "(user_id = prev_user_id AND item_id < prev_item_id)"
     head = _with(ROWS, PREV)
     return {
-        "user_order_check": head + f"""SELECT coalesce(NOT bool_or(user_id < prev_user_id), true) AS user_order_ok,
-       coalesce(NOT bool_or({step_bad}), true) AS user_step_ok,
-       coalesce(NOT bool_or({item_bad}), true) AS item_order_ok,
-       count(*) FILTER (WHERE {step_bad}) AS n_user_step_violations,
-       count(*) FILTER (WHERE {item_bad}) AS n_item_order_violations
-FROM prev""",
-        "user_step_violations": head + f"SELECT prev_user_id, user_id, line FROM prev WHERE {step_bad}",
-        "item_order_violations": head + f"SELECT prev_item_id, item_id, line FROM prev WHERE {item_bad}",
+        "user_order_check": head + ORDER_FLAGS,
+        "user_step_violations": head + f"SELECT prev_user_id, user_id, line FROM prev WHERE {STEP_BAD}",
+        "item_order_violations": head + f"SELECT prev_item_id, item_id, line FROM prev WHERE {ITEM_BAD}",
         "last_row_facts": _with(ROWS) + (
             "SELECT arg_max(user_id, line) AS last_user_id, max(line) AS last_line, count(*) AS n_rows FROM rows_"),
     }
@@ -247,6 +267,16 @@ def oracle_sql() -> dict[str, str]:
         "rating_distribution": r + "SELECT rating, count(*) AS n FROM ratings GROUP BY rating",
         "overall_mean": _with(RATINGS, "dist AS (SELECT rating, count(*) AS n FROM ratings GROUP BY rating)")
         + "SELECT sum(rating * n) / sum(n) AS mean_rating FROM dist",
+        "parsed_ratings": _with(RATINGS, LINES, FIELDS) + f"SELECT user_id, item_id, rating FROM fields WHERE {VALID}",
+        "rejected_ratings": _with(RATINGS, LINES, FIELDS) + f"SELECT value FROM fields WHERE NOT coalesce({VALID}, false)",
+        "rating_order_check": _with(RATINGS, "rows_ AS (SELECT user_id, item_id, row_number() OVER "
+                                    "(ORDER BY user_id, item_id) AS line FROM ratings)", PREV) + ORDER_FLAGS,
+        "als_scored_pairs": s0 + """, train AS (SELECT user_id, item_id FROM split WHERE part = 'train')
+SELECT user_id, item_id FROM split WHERE part = 'test'
+  AND user_id IN (SELECT user_id FROM train) AND item_id IN (SELECT item_id FROM train)""",
+        "als_candidates": ri + f"""SELECT CAST({C.USER} AS BIGINT) AS user_id, i.item_id, i.title, s.n
+FROM items i JOIN (SELECT item_id, count(*) AS n FROM ratings GROUP BY item_id) s ON s.item_id = i.item_id
+WHERE s.n > {C.ALS_MIN_COUNT} AND i.item_id NOT IN (SELECT item_id FROM ratings WHERE user_id = {C.USER})""",
         "item_activity_histogram": _histogram("item_id"),
         "user_activity_histogram": _histogram("user_id"),
         "item_rating_distribution": r + f"SELECT rating, count(*) AS n FROM ratings WHERE item_id = {C.ITEM} GROUP BY rating",
@@ -280,6 +310,13 @@ FROM ratings""",
   SELECT user_id, avg(rating) AS mean_rating FROM split WHERE part <> 'test' GROUP BY user_id)
 SELECT t.user_id, t.item_id, coalesce(m.mean_rating, 0.0) AS prediction
 FROM split t LEFT JOIN means m ON t.user_id = m.user_id WHERE t.part = 'test'""",
+        "prediction_errors": s0 + f""", known AS (
+  SELECT user_id, avg(rating) AS mean_rating FROM split WHERE part = 'train'
+  GROUP BY user_id HAVING count(*) >= {C.PREDICT_MIN})
+SELECT round(sqrt(avg((k.mean_rating - t.rating) ** 2)), 6) AS rmse,
+       round(avg(abs(k.mean_rating - t.rating)), 6) AS mae,
+       count(k.mean_rating) AS n, count(k.mean_rating) / count(*) AS coverage
+FROM split t LEFT JOIN known k ON t.user_id = k.user_id WHERE t.part = 'test'""",
         "baseline_errors": _with(
             RATINGS, _split(C.BASELINE_SEEDS),
             "means AS (SELECT seed, user_id, avg(rating) AS mean_rating FROM split WHERE part <> 'test' GROUP BY seed, user_id)",
@@ -289,9 +326,10 @@ FROM split t LEFT JOIN means m ON t.user_id = m.user_id WHERE t.part = 'test'"""
   WHERE t.part = 'test')""",
             """e AS (
   SELECT seed, sqrt(avg((prediction - rating) * (prediction - rating))) AS rmse,
-         avg(abs(prediction - rating)) AS mae
+         avg(abs(prediction - rating)) AS mae, count(prediction) AS n,
+         count(prediction) / count(*) AS coverage
   FROM pred GROUP BY seed)""",
-        ) + "SELECT round(avg(rmse), 6) AS rmse, round(avg(mae), 6) AS mae, count(*) AS n_seeds FROM e",
+        ) + _MEAN_ERRORS,
         "co_rating_pairs": r + """SELECT a.item_id, a.user_id AS u, b.user_id AS v, a.rating AS ru, b.rating AS rv
 FROM ratings a JOIN ratings b ON a.item_id = b.item_id AND a.user_id < b.user_id""",
         "user_similarity": sim_all + f"SELECT u, v, {SIM_EXPR} AS sim, n FROM tsim",
@@ -307,7 +345,7 @@ UNION ALL SELECT v AS user_id, u AS nb, {SIM_EXPR} AS sim, n FROM tsim""",
 FROM tgt p
 LEFT JOIN agg a ON a.seed = p.seed AND a.user_id = p.user_id AND a.item_id = p.item_id
 LEFT JOIN means m ON m.seed = p.seed AND m.user_id = p.user_id""",
-        "knn_errors_by_k": _knn_errors_by_k_sql() + "SELECT k, rmse, mae, n_seeds FROM errs",
+        "knn_errors_by_k": _knn_errors_by_k_sql() + "SELECT k, rmse, mae, n, coverage, n_seeds FROM errs",
         "knn_test_errors": _with(
             *_knn_ctes(C.KNN_SEEDS),
             "tgt AS (SELECT seed, user_id, item_id, rating FROM split WHERE part = 'test')",
@@ -319,9 +357,10 @@ LEFT JOIN means m ON m.seed = p.seed AND m.user_id = p.user_id""",
   LEFT JOIN means m ON m.seed = p.seed AND m.user_id = p.user_id)""",
             """e AS (
   SELECT seed, sqrt(avg((prediction - rating) * (prediction - rating))) AS rmse,
-         avg(abs(prediction - rating)) AS mae
+         avg(abs(prediction - rating)) AS mae, count(prediction) AS n,
+         count(prediction) / count(*) AS coverage
   FROM pred GROUP BY seed)""",
-        ) + "SELECT round(avg(rmse), 6) AS rmse, round(avg(mae), 6) AS mae, count(*) AS n_seeds FROM e",
+        ) + _MEAN_ERRORS,
         "best_k": _knn_errors_by_k_sql()
         + "SELECT (SELECT k FROM errs ORDER BY rmse, k LIMIT 1) AS best_k, (SELECT min(rmse) FROM errs) AS rmse",
         "knn_recommendations": _recs_sql(_nbr_ctes("ratings"), titled=False),

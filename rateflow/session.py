@@ -43,47 +43,35 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
     return spark
 
 
-def checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> str | None:
-    """Return the shared checkpoint directory the cluster names.
+def checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> str:
+    """The shared checkpoint directory the cluster names.
 
     Reads ``spark.checkpoint.dir`` from the session.  Only when it is unset
-    (local runs, tests) is ``fallback`` used; with no fallback a fresh scratch
-    directory is made, which is valid on a single machine only.
+    (local runs, tests) is ``fallback`` used, or a scratch directory of this
+    machine if the session is local; on a cluster an unset directory is an
+    error.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if current:
         return current
-    configured = sc.getConf().get("spark.checkpoint.dir", None)
-    if not configured:
-        try:
-            configured = spark.conf.get("spark.checkpoint.dir")
-        except Exception:  # noqa: BLE001 - unset key
-            configured = None
-    target = configured or fallback
+    target = spark.conf.get("spark.checkpoint.dir", None) or fallback
     if target is None:
-        if not sc.master.startswith("local"):
-            return None
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         target = tempfile.mkdtemp(prefix="rateflow-ckpt-")
     sc.setCheckpointDir(target)
     return sc.getCheckpointDir() or target
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint into the shared checkpoint directory.
-
-    Survives executor loss (unlike a local checkpoint); falls back to the
-    unchanged plan when no directory is available.
-    """
-    if checkpoint_dir(df.sparkSession) is None:
-        return df
-    return df.checkpoint(eager=True)
-
-
 def sf_path(sf_dir: str, table: str) -> str:
     return os.path.join(sf_dir, f"{table}.parquet")
 
 
+# Tables written by write_and_read, by application, until release().
+_WRITTEN: dict[str, list[str]] = {}
+
+
 @contextmanager
 def scoped_conf(spark: SparkSession, settings: dict[str, str]):
     """Set SQL confs for the block, then restore the previous values."""
@@ -100,17 +88,24 @@ def scoped_conf(spark: SparkSession, settings: dict[str, str]):
                 spark.conf.set(k, v)
 
 
-def write_and_read(df: DataFrame, name: str, settings: dict[str, str] | None = None) -> DataFrame | None:
+def write_and_read(df: DataFrame, name: str, settings: dict[str, str] | None = None) -> DataFrame:
     """Run ``df`` now, store it as parquet under the checkpoint directory and
     read it back (a lineage cut that survives executor loss).
 
     ``settings`` are SQL confs in force while the job is planned and run,
-    then restored.  Returns None when no checkpoint directory is available.
+    then restored; plan nothing else in the same session meanwhile.
     """
-    base = checkpoint_dir(df.sparkSession)
-    if base is None:
-        return None
-    path = os.path.join(base, "rateflow", f"{name}-{uuid.uuid4().hex}")
-    with scoped_conf(df.sparkSession, settings or {}):
-        df.write.mode("overwrite").parquet(path)
-    return df.sparkSession.read.parquet(path)
+    spark = df.sparkSession
+    path = os.path.join(checkpoint_dir(spark), "rateflow", f"{name}-{uuid.uuid4().hex}")
+    with scoped_conf(spark, settings or {}):
+        df.write.parquet(path)
+    _WRITTEN.setdefault(spark.sparkContext.applicationId, []).append(path)
+    return spark.read.parquet(path)
+
+
+def release(spark: SparkSession) -> None:
+    """Delete the tables this application's operators have written."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    for path in _WRITTEN.pop(spark.sparkContext.applicationId, []):
+        p = jvm.org.apache.hadoop.fs.Path(path)
+        p.getFileSystem(conf).delete(p, True)

@@ -33,18 +33,35 @@ def _read_csv_strings(spark: SparkSession, path: str, names) -> DataFrame:
             .csv(path))
 
 
-def _rating_columns(raw: DataFrame) -> DataFrame:
-    return raw.select(
-        F.expr("try_cast(user_id AS BIGINT)").alias("user_id"),
-        F.expr("try_cast(item_id AS BIGINT)").alias("item_id"),
-        F.expr("try_cast(trim(rating) AS DOUBLE)").alias("rating"),
-        F.expr("try_cast(rated_at AS BIGINT)").alias("rated_at"),
-    )
+_RATING_TYPES = {"user_id": "BIGINT", "item_id": "BIGINT", "rating": "DOUBLE", "rated_at": "BIGINT"}
 
 
-def _valid_rating(user_id: F.Column, item_id: F.Column, rating: F.Column) -> F.Column:
-    return (user_id.isNotNull() & item_id.isNotNull() & rating.isNotNull()
-            & ~F.isnan(rating) & (F.abs(rating) != F.lit(float("inf"))))
+def _typed(raw: DataFrame) -> DataFrame:
+    """``raw`` (its row under ``_raw``) with the rating fields typed: string
+    fields are parsed, typed ones keep their type (ids and ratings are cast)."""
+    out = []
+    for name, kind in _RATING_TYPES.items():
+        have = raw.schema[name].dataType if name in raw.columns else None
+        if have is None:
+            out.append(F.lit(None).cast(kind).alias(name))
+        elif isinstance(have, StringType):
+            out.append(F.expr(f"try_cast(trim({name}) AS {kind})").alias(name))
+        elif name == "rated_at":
+            out.append(F.col(name))
+        else:
+            out.append(F.col(name).cast(kind).alias(name))
+    return raw.select(*out, F.struct(*[F.col(c) for c in raw.columns]).alias("_raw"))
+
+
+def _valid_rating() -> F.Column:
+    rating = F.col("rating")
+    return F.coalesce(F.col("user_id").isNotNull() & F.col("item_id").isNotNull() & rating.isNotNull()
+                      & ~F.isnan(rating) & (F.abs(rating) != F.lit(float("inf"))), F.lit(False))
+
+
+def _good_and_bad(raw: DataFrame) -> tuple[DataFrame, DataFrame]:
+    rows = _typed(raw)
+    return rows.filter(_valid_rating()).drop("_raw"), rows.filter(~_valid_rating()).select("_raw.*")
 
 
 def read_ratings(spark: SparkSession, path: str, fmt: str = "csv",
@@ -52,64 +69,71 @@ def read_ratings(spark: SparkSession, path: str, fmt: str = "csv",
     """Read ``user_id,item_id,rating[,rated_at]`` rows.
 
     Rows whose ids are not integers, whose rating is missing, NaN or
-    infinite, or that have fewer than three fields are rejected.  With
-    ``with_rejects=True`` returns ``(ratings, rejects)``; ``rejects`` holds
-    the raw string fields of the rejected rows.
+    infinite, or that have fewer than three fields are rejected.  Columns of
+    a parquet file keep their types (a date stays a date, filters reach the
+    scan).  With ``with_rejects=True`` returns ``(ratings, rejects)``;
+    ``rejects`` holds the raw fields of the rejected rows.
     """
     if fmt == "parquet":
         raw = spark.read.parquet(path)
-        cols = [c for c in _RATING_FIELDS if c in raw.columns]
-        raw = raw.select(*[F.col(c).cast("string").alias(c) for c in cols])
-        for c in _RATING_FIELDS:
-            if c not in cols:
-                raw = raw.withColumn(c, F.lit(None).cast("string"))
+        raw = raw.select(*[c for c in _RATING_FIELDS if c in raw.columns])
     elif fmt == "csv":
         raw = _read_csv_strings(spark, path, _RATING_FIELDS)
     else:
         raise ValueError(f"unsupported format {fmt!r}")
-    good = _rating_columns(raw).filter(
-        _valid_rating(F.col("user_id"), F.col("item_id"), F.col("rating")))
-    if not with_rejects:
-        return good
-    ok = _valid_rating(F.expr("try_cast(user_id AS BIGINT)"), F.expr("try_cast(item_id AS BIGINT)"),
-                       F.expr("try_cast(trim(rating) AS DOUBLE)"))
-    bad = raw.filter(~F.coalesce(ok, F.lit(False)))
-    return good, bad
+    good, bad = _good_and_bad(raw)
+    return (good, bad) if with_rejects else good
+
+
+def _line_fields(lines: DataFrame) -> DataFrame:
+    """The comma-separated fields of ``value``; a missing one is null."""
+    parts = F.split("value", ",")
+    return lines.select("*", *[F.get(parts, i).alias(c) for i, c in enumerate(_RATING_FIELDS)])
+
+
+def parse_rating_lines(lines: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """``(ratings, rejects)`` of text lines in a ``value`` column; the rejects
+    keep the whole line."""
+    good, bad = _good_and_bad(_line_fields(lines.select("value")))
+    return good, bad.select("value")
 
 
 def read_lines(spark: SparkSession, path: str) -> DataFrame:
-    """Lines of one text file with their 1-based line number: ``line, value``.
-
-    ``monotonically_increasing_id`` holds the input split in its upper bits
-    and the row within the split in its lower 33 bits.  A count per split
-    (one small aggregate) gives each split's offset, and ``line = offset +
-    row + 1``: no shuffle or sort of the lines.  The offset table has one row
-    per input split, so broadcasting it is safe.  Lines are in file order
-    for a single file.
+    """Lines of a text file, or of a folder's files in the order of their
+    names, with their 1-based line number: ``line, value``.
+
+    ``monotonically_increasing_id`` tells an input split's lines apart, and
+    the file's name and the place of the split in the file put the splits in
+    order.  A count per split (one small aggregate) gives each split's
+    offset: no shuffle or sort of the lines.  The offsets, one row per input
+    split, are joined by Spark's own choice of plan.
     """
     raw = (spark.read.text(path)
-           .withColumn("_id", F.monotonically_increasing_id())
-           .withColumn("_split", F.shiftright("_id", 33))
+           .select("value", F.monotonically_increasing_id().alias("_id"),
+                   F.col("_metadata.file_path").alias("_file"),
+                   F.col("_metadata.file_block_start").alias("_start"))
            .withColumn("_row", F.col("_id").bitwiseAND(F.lit((1 << 33) - 1))))
-    per_split = raw.groupBy("_split").agg(F.count(F.lit(1)).alias("_n"))
-    before = Window.orderBy("_split").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = per_split.select("_split", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
-    return (raw.join(F.broadcast(offsets), "_split")
+    split = ["_file", "_start"]
+    per_split = raw.groupBy(*split).agg(F.count(F.lit(1)).alias("_n"), F.min("_row").alias("_first"))
+    # Running sums within a file, then over the files.
+    files = per_split.groupBy("_file").agg(F.sum("_n").alias("_n"))
+    before_file = Window.orderBy("_file").rowsBetween(Window.unboundedPreceding, -1)
+    before = Window.partitionBy("_file").orderBy("_start").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = (per_split.withColumn("_in_file", F.coalesce(F.sum("_n").over(before), F.lit(0)))
+               .join(files.select("_file", F.coalesce(F.sum("_n").over(before_file), F.lit(0)).alias("_of_file")),
+                     "_file")
+               .select(*split, (F.col("_in_file") + F.col("_of_file") - F.col("_first")).alias("_off")))
+    return (raw.join(offsets, split)
             .select((F.col("_off") + F.col("_row") + 1).alias("line"), "value"))
 
 
 def read_rating_lines(spark: SparkSession, path: str) -> DataFrame:
-    """Rating rows of a CSV file with their line numbers.
-
-    ``line, user_id, item_id, rating``; a line whose user id is not an
-    integer (the header) is skipped but still counted in the numbering.
+    """Valid rating rows with their line numbers: ``line, user_id, item_id,
+    rating``.  Other lines (a header, a short line) are skipped but counted
+    in the numbering; :func:`parse_rating_lines` gives them as rejects.
     """
-    return (read_lines(spark, path)
-            .select("line",
-                    F.expr("try_cast(trim(split(value, ',')[0]) AS BIGINT)").alias("user_id"),
-                    F.expr("try_cast(trim(split(value, ',')[1]) AS BIGINT)").alias("item_id"),
-                    F.expr("try_cast(trim(split(value, ',')[2]) AS DOUBLE)").alias("rating"))
-            .filter(F.col("user_id").isNotNull()))
+    return (_typed(_line_fields(read_lines(spark, path))).filter(_valid_rating())
+            .select(F.col("_raw.line").alias("line"), "user_id", "item_id", "rating"))
 
 
 def read_items(spark: SparkSession, path: str, naive: bool = False) -> DataFrame:
@@ -125,8 +149,8 @@ def read_items(spark: SparkSession, path: str, naive: bool = False) -> DataFrame
         lines = spark.read.text(path)
         parts = F.split(F.regexp_replace("value", "\n", ""), ",")
         df = lines.select(
-            F.expr("try_cast(split(value, ',')[0] AS BIGINT)").alias("item_id"),
-            parts.getItem(1).alias("title"),
+            F.expr("try_cast(get(split(value, ','), 0) AS BIGINT)").alias("item_id"),
+            F.get(parts, 1).alias("title"),
             F.split(F.element_at(parts, -1), r"\|").alias("genres"))
     else:
         raw = _read_csv_strings(spark, path, _ITEM_FIELDS)

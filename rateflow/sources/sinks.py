@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -27,11 +26,15 @@ def reuse_or_build(spark: SparkSession, path: str,
     """Read the parquet at ``path`` if it exists, else build, write, re-read.
 
     Re-reading the written files cuts the lineage, so later jobs and retried
-    tasks start from storage instead of recomputing ``build``.
+    tasks start from storage instead of recomputing ``build``.  A folder
+    without the writer's ``_SUCCESS`` mark is an unfinished or foreign write:
+    it is neither read nor overwritten.
     """
-    try:
-        return spark.read.parquet(path)
-    except AnalysisException:
-        pass
-    build().write.mode("overwrite").parquet(path)
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
+    folder = hadoop.Path(path)
+    fs = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(folder):
+        build().write.mode("errorifexists").parquet(path)
+    elif not fs.exists(hadoop.Path(folder, "_SUCCESS")):
+        raise ValueError(f"{path} has no _SUCCESS mark: remove the unfinished write first")
     return spark.read.parquet(path)

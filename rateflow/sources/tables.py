@@ -17,36 +17,18 @@ combined map-side instead of being sorted in one task.
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rateflow.session import sf_path
 
-# Parsed rating views kept per (session, directory, columns), like the
-# cached parsed rating set reused across all the analyses of a session.
-# MEMORY_AND_DISK: a lost executor's blocks are rebuilt from the lineage.
-_PERSISTED: dict[tuple, DataFrame] = {}
-
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(sf_path(sf_dir, name))
 
 
-def tpch_ratings(spark: SparkSession, sf_dir: str, with_time: bool = False,
-                 persist: bool = True) -> DataFrame:
-    """The rating view; persisted once per session and directory."""
-    key = (id(spark), spark.sparkContext.applicationId, sf_dir, with_time)
-    if persist and key in _PERSISTED:
-        return _PERSISTED[key]
-    df = _build_ratings(spark, sf_dir, with_time)
-    if persist:
-        df = df.persist(StorageLevel.MEMORY_AND_DISK)
-        _PERSISTED[key] = df
-    return df
-
-
-def _build_ratings(spark: SparkSession, sf_dir: str, with_time: bool) -> DataFrame:
+def tpch_ratings(spark: SparkSession, sf_dir: str, with_time: bool = False) -> DataFrame:
+    """The rating view, lazy; persist it (and release it) where it is reused."""
     li = read_table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_shipdate")
     orders = read_table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")

@@ -74,7 +74,7 @@ def test_block_pairs_leave_session_conf_alone(spark):
 
 def test_block_pair_plan_shuffles_ratings_only(spark):
     # Under the scoped setting the join and the (u, v) aggregate reuse the
-    # (p, q) partitioning: the only exchanges are the two explicit ones.
+    # partitioning by place: the only exchanges are the two explicit ones.
     import contextlib
     import io
 
@@ -83,8 +83,8 @@ def test_block_pair_plan_shuffles_ratings_only(spark):
 
     r = ratings_df(spark, hot_item_ratings(n_users=30))
     left, right, _ = block_sides(r, 3)
-    agg = (left.join(right, ["p", "q", "item_id"])
-           .groupBy("p", "q", "u", "v").count())
+    agg = (left.join(right, ["place", "p", "q", "item_id"])
+           .groupBy("place", "p", "q", "u", "v").count())
     settings = dict(CO_PARTITION_ON_BLOCKS, **{"spark.sql.autoBroadcastJoinThreshold": "-1"})
     with scoped_conf(spark, settings):
         buf = io.StringIO()
@@ -92,3 +92,39 @@ def test_block_pair_plan_shuffles_ratings_only(spark):
             agg.explain()
     plan = buf.getvalue()
     assert plan.count("Exchange") == 2 and plan.count("REPARTITION_BY_NUM") == 2
+
+
+def test_block_pairs_get_a_partition_each(spark):
+    """A hot item's pairs: no task holds twice the mean, and none two block pairs."""
+    from rateflow.operators.similarity import block_sides, placement_keys
+
+    n = 21
+    keys = spark.createDataFrame([(k,) for k in placement_keys(spark, n)], "k long")
+    assert sorted(r[0] for r in keys.select(F.pmod(F.hash("k"), F.lit(n))).collect()) == list(range(n))
+    r = ratings_df(spark, hot_item_ratings())
+    left, _, parts = block_sides(r, 6, partitions=n)
+    rows = left.withColumn("pid", F.spark_partition_id()).groupBy("pid").agg(
+        F.count("*").alias("n"), F.count_distinct("p", "q").alias("pairs")).collect()
+    assert parts == len(rows) == n and all(x["pairs"] == 1 for x in rows)
+    assert max(x["n"] for x in rows) <= 2 * sum(x["n"] for x in rows) / n
+
+
+def test_block_count_follows_the_counts():
+    """One formula for small and for 100 times larger counts: no other plan, no cap."""
+    from rateflow.operators.similarity import block_count
+
+    assert block_count(586_871, 172_229_701) == 33
+    assert block_count(58_687_100, 17_222_970_100) == 293     # copies of ratings stay below the pair rows
+    assert block_count(10, 3) == 1 and block_count(0, 0.0) == 1
+
+
+def test_sums_do_not_depend_on_the_blocks_for_any_ratings(spark):
+    """Ratings that are not half stars: equal sums up to rounding."""
+    rnd = random.Random(4)
+    rows = [(u, i, rnd.random() * 5) for u in range(40) for i in rnd.sample(range(50), 20)]
+    r = ratings_df(spark, rows)
+    one, many = ({(x["u"], x["v"]): (x["dot"], x["s1"], x["s2"], x["n"]) for x in
+                  block_pair_sums(r, blocks=b).collect()} for b in (1, 7))
+    assert one.keys() == many.keys()
+    for k, x in one.items():
+        assert x == pytest.approx(many[k], rel=1e-12)

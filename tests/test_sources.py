@@ -73,7 +73,8 @@ def test_dedupe_latest_wins(spark):
     assert rows_of(dedupe_ratings(df), "user_id", "item_id", "rating") == [(1, 1, 4.0), (2, 1, 1.0)]
 
 
-def test_check_rating_file_like_the_line_loop(spark, scratch):
+def test_check_rating_file_facts(spark, scratch):
+    """Seven rating lines after a header; what is expected is stated by hand."""
     from rateflow.operators.quality import check_file_order
     from rateflow.sources import read_rating_lines
 
@@ -81,26 +82,56 @@ def test_check_rating_file_like_the_line_loop(spark, scratch):
             "1,2,3.5,1\n1,29,3.5,1\n1,10,4.0,1\n2,5,3.0,1\n4,1,5.0,1\n3,7,1.0,1\n3,8,2.0,1\n")
     p = _write(os.path.join(scratch, "ratings.csv"), text)
     got = check_file_order(read_rating_lines(spark, p))
-    # the same loop as the original script, for comparison
-    last_u = last_m = 0
-    steps, items, counts = [], [], {}
-    for line_num, line in enumerate(text.splitlines(), 1):
-        f = line.split(",")
-        try:
-            u = int(f[0])
-        except ValueError:
-            continue
-        m = int(f[1])
-        if u not in (last_u, last_u + 1):
-            steps.append((last_u, u, line_num))
-        if u == last_u and m < last_m:
-            items.append((last_m, m, line_num))
-        counts[float(f[2])] = counts.get(float(f[2]), 0) + 1
-        last_u, last_m, last_line = u, m, line_num
-    assert rows_of(got["user_steps"], "prev_user_id", "user_id", "line") == steps
-    assert rows_of(got["item_order"], "prev_item_id", "item_id", "line") == items
-    assert dict(rows_of(got["values"], "rating", "n")) == counts
+    # Users go 1 1 1 2 4 3 3 on lines 2 to 8.
+    assert rows_of(got["user_steps"], "prev_user_id", "user_id", "line") == [(2, 4, 6), (4, 3, 7)]
+    # Only user 1 has a falling item: 29, then 10 on line 4.
+    assert rows_of(got["item_order"], "prev_item_id", "item_id", "line") == [(29, 10, 4)]
+    assert rows_of(got["values"], "rating", "n") == [(1.0, 1), (2.0, 1), (3.0, 1), (3.5, 2), (4.0, 1), (5.0, 1)]
     last = got["last"].collect()[0]
     assert (last["last_user_id"], last["last_line"], last["n_rows"]) == (3, 8, 7)
     flags = got["flags"].collect()[0]
     assert (flags["user_order_ok"], flags["user_step_ok"], flags["item_order_ok"]) == (False, False, False)
+
+
+def test_short_and_odd_lines_are_rejected(spark, scratch):
+    from rateflow.sources import parse_rating_lines, read_rating_lines
+
+    p = _write(os.path.join(scratch, "r.csv"), "u,i,r\n1,2,3.5\n5\n\n5,x,nan\n6,1,inf\n7,1\n8,9,4.0,99\n")
+    assert rows_of(read_rating_lines(spark, p)) == [(2, 1, 2, 3.5), (8, 8, 9, 4.0)]
+    good, bad = parse_rating_lines(spark.read.text(p))
+    assert rows_of(good, "user_id", "item_id", "rating") == [(1, 2, 3.5), (8, 9, 4.0)]
+    assert sorted(r["value"] for r in bad.collect()) == ["", "5", "5,x,nan", "6,1,inf", "7,1", "u,i,r"]
+
+
+def test_folder_lines_are_numbered_by_file_name(spark, scratch):
+    from rateflow.sources import read_lines
+
+    _write(os.path.join(scratch, "part-00000.csv"), "a\nb\n")
+    _write(os.path.join(scratch, "part-00001.csv"), "".join(f"c{i}\n" for i in range(5000)))
+    _write(os.path.join(scratch, "part-00002.csv"), "z\n")
+    lines = {r["value"]: r["line"] for r in read_lines(spark, scratch).collect()}
+    assert (lines["a"], lines["b"], lines["c0"], lines["c4999"], lines["z"]) == (1, 2, 3, 5002, 5003)
+
+
+def test_typed_parquet_keeps_its_types(spark, scratch):
+    import datetime as dt
+
+    rows = [(1, 2, 3.0, dt.date(1995, 1, 2)), (1, 3, float("nan"), dt.date(1995, 1, 3)), (None, 3, 1.0, None)]
+    path = os.path.join(scratch, "typed")
+    spark.createDataFrame(rows, "user_id long, item_id long, rating double, rated_at date").write.parquet(path)
+    good, bad = read_ratings(spark, path, "parquet", with_rejects=True)
+    assert [tuple(r) for r in good.collect()] == [rows[0]]
+    assert bad.count() == 2
+
+
+def test_unfinished_folder_is_refused(spark, scratch):
+    import pytest
+    from rateflow.sources import reuse_or_build
+
+    path = os.path.join(scratch, "built")
+    build = lambda: spark.range(3)
+    assert reuse_or_build(spark, path, build).count() == 3
+    assert reuse_or_build(spark, path, lambda: spark.range(99)).count() == 3
+    os.remove(os.path.join(path, "_SUCCESS"))
+    with pytest.raises(ValueError, match="_SUCCESS"):
+        reuse_or_build(spark, path, build)
