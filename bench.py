@@ -10,13 +10,12 @@ executes, nothing is collected).  Prints one JSON line.
 
 from __future__ import annotations
 
-import glob
 import json
 import os
 import re
 import sys
-import tempfile
 import time
+import uuid
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
@@ -91,28 +90,37 @@ def main() -> None:
 def file_check(spark, sf_dir: str, times: dict) -> dict:
     """The original order-and-value check over a rating CSV file.
 
-    The file is the rating view written by Spark, sorted by (user, item) as
-    the original rating file is (not timed); the check (line numbers, order
-    flags, offenders, value counts, last row) is timed from a cold cache.
+    The files hold the rating view, sorted by (user, item) as the original
+    rating file is and repeated with shifted user ids (``BENCH_FILE_COPIES``,
+    default 34: 20 million lines at sf0.1); writing them is not timed.  The
+    check (line numbers, order flags, offenders, value counts, last row) is
+    timed from a cold cache.
     """
     from pyspark.sql import functions as F
 
     from rateflow.operators.quality import check_file_order
+    from rateflow.session import checkpoint_dir
     from rateflow.sources import read_rating_lines, tpch_ratings
 
-    out = os.path.join(tempfile.mkdtemp(prefix="rateflow-bench-"), "ratings_csv")
-    (tpch_ratings(spark, sf_dir).orderBy("user_id", "item_id").coalesce(1)
+    out = f"{checkpoint_dir(spark)}/rateflow-bench/{uuid.uuid4().hex}"
+    copies = int(os.environ.get("BENCH_FILE_COPIES", "34"))
+    one = tpch_ratings(spark, sf_dir)
+    shift = int(one.agg(F.max("user_id")).first()[0] or 0)
+    many = (one.withColumn("copy", F.explode(F.sequence(F.lit(0), F.lit(copies - 1))))
+            .withColumn("user_id", F.col("user_id") + F.col("copy") * shift))
+    (many.repartitionByRange(64, "user_id", "item_id").sortWithinPartitions("user_id", "item_id")
      .select(F.format_string("%d,%d,%.1f", "user_id", "item_id", "rating").alias("value"))
-     .write.mode("overwrite").text(out))
-    path = glob.glob(os.path.join(out, "part-*"))[0]
+     .write.text(out))
     spark.catalog.clearCache()
     t0 = time.perf_counter()
-    res = check_file_order(read_rating_lines(spark, path))
+    res = check_file_order(read_rating_lines(spark, out))
     flags = res["flags"].first()
     res["values"].collect()
     res["user_steps"].count()
     res["item_order"].count()
     dt = time.perf_counter() - t0
+    res["lines"].unpersist()
+    res["rows"].unpersist()
     times["file_order_check"] = round(dt, 3)
     print(f"# file_order_check: {dt:.3f}s over {flags['n_rows']} lines", file=sys.stderr, flush=True)
     return {"file_check_lines": int(flags["n_rows"]),
