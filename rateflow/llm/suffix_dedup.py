@@ -28,6 +28,7 @@ gives an empty result; extra columns are ignored.
 
 from __future__ import annotations
 
+import hashlib
 from collections import defaultdict
 from collections.abc import Iterable, Iterator
 
@@ -43,7 +44,7 @@ from rateflow.llm.shingles import batch_bytes, mixed, powers
 
 LENGTH = 400
 GRAM = 64
-RUN_BYTES = 48 << 20     # a task sends its suffixes as a run whenever it holds so many bytes
+RUN_BYTES = 24 << 20     # a task sends its suffixes as a run whenever it holds so many bytes
 _BASE = 0x9E3779B97F4A7C15 | 1
 _BYTES = np.random.default_rng(400).integers(0, 2**64, 256, dtype=np.uint64)
 PLACE = np.uint64((1 << 24) - 1)
@@ -85,7 +86,7 @@ def anchors(data: np.ndarray, ends: np.ndarray, length: int = LENGTH, gram: int
     return place[first], windows[first], windows[last], hashes[place[first]].view(np.int64)
 
 
-def _pieces(ends: np.ndarray, most: int = 4 << 20) -> Iterator[tuple[int, int]]:
+def _pieces(ends: np.ndarray, most: int = 1 << 20) -> Iterator[tuple[int, int]]:
     """Ranges of texts of at most ``most`` bytes (a longer text is alone)."""
     first = 0
     while first < len(ends):
@@ -97,7 +98,7 @@ def _pieces(ends: np.ndarray, most: int = 4 << 20) -> Iterator[tuple[int, int]]:
 
 def _long_anchors(data: np.ndarray, length: int, gram: int) -> Iterator[tuple[np.ndarray, ...]]:
     """Anchors of one text of any size, in overlapping parts."""
-    part = 8 << 20
+    part = 1 << 20
     for at in range(0, max(1, len(data) - length + 1), part):
         own = data[at:at + part + length - 1]
         place, lo, hi, h = anchors(own, np.array([len(own)]), length, gram)
@@ -258,7 +259,7 @@ def repeated(runs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFra
                 if prefix < gram:
                     solved(group, prefixes, out)
                     group, prefixes, same = [], [], {}
-                    if len(out) > 100_000:
+                    if len(out) > 20_000:
                         yield flushed(out)
                         out = []
                 if not group or prefix < len(suffix) or len(group[-1][0]) != len(suffix):
@@ -303,36 +304,62 @@ def with_spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataF
     return dealt.join(own.hint("shuffle_hash"), "row", "left").select("doc_id", "text", "found")
 
 
+def _remains(text: bytes, found: pa.ListScalar) -> tuple[bytes, list[tuple[int, int]]]:
+    """What stays of a text, and the maximal runs that go."""
+    if not found.is_valid:
+        return text, []
+    starts, stops = merged_spans(*[found.values.field(i).to_numpy() for i in (0, 1)])
+    cuts = list(zip(starts.tolist(), stops.tolist()))
+    edges = [0, *[x for cut in cuts for x in cut], len(text)]
+    return b"".join(text[a:b] for a, b in zip(edges[::2], edges[1::2])), cuts
+
+
 def cleaned(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFrame:
     """``doc_id, kept`` (the remaining bytes), ``spans`` (removed byte ranges,
     maximal) and ``n_bytes`` of every row."""
+    span = pa.list_(pa.struct([("start", pa.int32()), ("stop", pa.int32())]))
+
     def rows(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for at in range(0, batch.num_rows, 256):
-                some = batch.slice(at, 256)
-                kept, spans, sizes = [], [], []
-                for text, found in zip(some.column(1), some.column(2)):
-                    text = text.as_buffer().to_pybytes()
-                    sizes.append(len(text))
-                    if not found.is_valid:
-                        kept.append(text)
-                        spans.append([])
-                        continue
-                    starts, stops = merged_spans(*[found.values.field(i).to_numpy() for i in (0, 1)])
-                    cuts = list(zip(starts.tolist(), stops.tolist()))
-                    edges = [0, *[x for cut in cuts for x in cut], len(text)]
-                    kept.append(b"".join(text[a:b] for a, b in zip(edges[::2], edges[1::2])))
-                    spans.append([{"start": a, "stop": b} for a, b in cuts])
-                yield pa.RecordBatch.from_arrays(
-                    [some.column(0), pa.array(kept, pa.binary()),
-                     pa.array(spans, pa.list_(pa.struct([("start", pa.int32()), ("stop", pa.int32())]))),
-                     pa.array(sizes, pa.int64())], names=["doc_id", "kept", "spans", "n_bytes"])
+        for some in _slices(batches):
+            sizes, kept, spans = [], [], []
+            for text, found in zip(some.column(1), some.column(2)):
+                stays, cuts = _remains(text.as_buffer().to_pybytes(), found)
+                sizes.append(len(text.as_buffer()))
+                kept.append(stays)
+                spans.append([{"start": a, "stop": b} for a, b in cuts])
+            yield pa.RecordBatch.from_arrays(
+                [some.column(0), pa.array(kept, pa.binary()), pa.array(spans, span), pa.array(sizes, pa.int64())],
+                names=["doc_id", "kept", "spans", "n_bytes"])
 
     return map_batches(with_spans(docs, length, gram), rows,
                        "doc_id long, kept binary, spans array<struct<start: int, stop: int>>, n_bytes long")
 
 
+def digests(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFrame:
+    """``doc_id, n_bytes, n_removed, n_spans, kept_sha256`` of every row; the
+    texts themselves do not come back from the workers."""
+    names = ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"]
+
+    def rows(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for some in _slices(batches):
+            out = []
+            for text, found in zip(some.column(1), some.column(2)):
+                stays, cuts = _remains(text.as_buffer().to_pybytes(), found)
+                size = len(text.as_buffer())
+                out.append((size, size - len(stays), len(cuts), hashlib.sha256(stays).hexdigest()))
+            types = [pa.int64()] * 3 + [pa.string()]
+            yield pa.RecordBatch.from_arrays(
+                [some.column(0), *[pa.array(x, t) for x, t in zip(zip(*out), types)]], names=names)
+
+    return map_batches(with_spans(docs, length, gram), rows,
+                       "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
+
+
+def _slices(batches: Iterable[pa.RecordBatch], n: int = 256) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for at in range(0, batch.num_rows, n):
+            yield batch.slice(at, n)
+
+
 def q_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return cleaned(documents(spark, sf_dir)).select(
-        "doc_id", "n_bytes", (F.col("n_bytes") - F.octet_length("kept")).alias("n_removed"),
-        F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+    return digests(documents(spark, sf_dir))
