@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from rateflow.operators.aggregates import item_stats
+from rateflow.operators.salting import salted_join
 
 
 def popular_items(ratings: DataFrame, items: DataFrame, min_count: int = 100,
@@ -37,7 +38,8 @@ def recommend_user_knn(neighbours: DataFrame, ratings: DataFrame, k: int = 200,
     by = list(by)
     nb = neighbours.filter(F.col("rk") <= F.lit(k)).select(*by, "user_id", "nb", "sim")
     rated = ratings.select(*by, F.col("user_id").alias("nb"), "item_id", "rating")
-    terms = nb.join(rated, [*by, "nb"])
+    # A user in very many neighbour lists is a hot key.
+    terms = salted_join(nb, rated, [*by, "nb"], "user_id")
     agg = (terms.groupBy(*by, "user_id", "item_id")
            .agg(F.sum(F.col("sim") * F.col("rating")).alias("_ws"), F.sum("sim").alias("_ss"))
            .filter(F.col("_ss") != 0))

@@ -24,6 +24,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from rateflow.operators.salting import salted_join
 from rateflow.session import write_and_read
 
 # Items with more raters than this are salted (see module doc).
@@ -271,7 +272,7 @@ def neighbours_for_users(ratings: DataFrame, users: DataFrame, k: int = 200,
     targets = ratings.join(users.select("user_id").distinct(), "user_id", "left_semi")
     a = targets.select("item_id", F.col("user_id").alias("u"), F.col("rating").alias("ru"))
     b = ratings.select("item_id", F.col("user_id").alias("v"), F.col("rating").alias("rv"))
-    pairs = a.join(b, "item_id").filter(F.col("u") != F.col("v"))
+    pairs = salted_join(b, a, ["item_id"], "v").filter(F.col("u") != F.col("v"))
     sim = similarity_from_pairs(pairs, (), min_common)
     d = sim.select(F.col("u").alias("user_id"), F.col("v").alias("nb"), "sim", "n")
     return rank_neighbours(d, k)

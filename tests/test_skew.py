@@ -3,7 +3,7 @@
 import random
 
 import pytest
-from conftest import ratings_df
+from conftest import ratings_df, rows_of
 from pyspark.sql import functions as F
 
 from rateflow.operators.similarity import block_pair_sums, co_ratings
@@ -128,3 +128,23 @@ def test_sums_do_not_depend_on_the_blocks_for_any_ratings(spark):
     assert one.keys() == many.keys()
     for k, x in one.items():
         assert x == pytest.approx(many[k], rel=1e-12)
+
+
+def test_salted_join_equals_plain_join_and_spreads(spark):
+    from rateflow.operators.salting import salted_join
+
+    hot = spark.createDataFrame([(0 if i % 3 else i, i) for i in range(900)], "k long, x long")
+    other = spark.createDataFrame([(k, y) for k in (0, 3, 6, 9) for y in range(5)], "k long, y long")
+    want = rows_of(hot.join(other, "k"), "k", "x", "y")
+    confs = {"spark.sql.adaptive.coalescePartitions.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1"}
+    old = {c: spark.conf.get(c) for c in confs}
+    for c, v in confs.items():
+        spark.conf.set(c, v)
+    try:
+        got = salted_join(hot, other, ["k"], "x", salt_above=20)
+        assert rows_of(got, "k", "x", "y") == want
+        share, parts = _max_share(got.filter("k = 0"))
+    finally:
+        for c, v in old.items():
+            spark.conf.set(c, v)
+    assert parts >= 4 and share < 0.5
