@@ -36,6 +36,7 @@ from rateflow.session import write_and_read
 from rateflow.sources import (
     event_rows,
     item_genres,
+    parse_item_lines,
     parse_rating_lines,
     tpch_items,
     tpch_items_with_genres,
@@ -129,6 +130,16 @@ def q_rejected_ratings(spark, d):
     return parse_rating_lines(_rating_lines(spark, d))[1]
 
 
+def q_parsed_items(spark, d):
+    """The catalogue of parts as CSV lines (quoted titles with a comma, a
+    header line for every seventh item), parsed back."""
+    items = tpch_items_with_genres(spark, d)
+    line = F.concat(F.col("item_id").cast("string"), F.lit(',"'), "title", F.lit(', The",'),
+                    F.array_join("genres", "|"))
+    lines = items.select(F.when(F.col("item_id") % 7 == 0, F.lit("itemId,title,genres")).otherwise(line).alias("value"))
+    return parse_item_lines(lines).select("item_id", "title", F.size("genres").alias("n_genres"))
+
+
 def q_rating_order_check(spark, d):
     """The order check on the ratings sorted by user and item."""
     key = F.shiftleft("user_id", 32) + F.col("item_id")
@@ -400,6 +411,7 @@ QUERIES: dict[str, Query] = {
     "overall_mean": q_overall_mean,
     "parsed_ratings": q_parsed_ratings,
     "rejected_ratings": q_rejected_ratings,
+    "parsed_items": q_parsed_items,
     "rating_order_check": q_rating_order_check,
     "item_activity_histogram": q_item_activity_histogram,
     "user_activity_histogram": q_user_activity_histogram,

@@ -269,6 +269,9 @@ def oracle_sql() -> dict[str, str]:
         + "SELECT sum(rating * n) / sum(n) AS mean_rating FROM dist",
         "parsed_ratings": _with(RATINGS, LINES, FIELDS) + f"SELECT user_id, item_id, rating FROM fields WHERE {VALID}",
         "rejected_ratings": _with(RATINGS, LINES, FIELDS) + f"SELECT value FROM fields WHERE NOT coalesce({VALID}, false)",
+        "parsed_items": """SELECT p_partkey AS item_id, p_name || ', The' AS title,
+       CAST(len(string_split(p_name, ' ')) AS INTEGER) AS n_genres
+FROM part WHERE p_partkey % 7 <> 0""",
         "rating_order_check": _with(RATINGS, "rows_ AS (SELECT user_id, item_id, row_number() OVER "
                                     "(ORDER BY user_id, item_id) AS line FROM ratings)", PREV) + ORDER_FLAGS,
         "als_scored_pairs": s0 + """, train AS (SELECT user_id, item_id FROM split WHERE part = 'train')

@@ -2,6 +2,7 @@
 
 from rateflow.sources.files import (
     item_genres,
+    parse_item_lines,
     parse_rating_lines,
     read_items,
     read_lines,
@@ -19,7 +20,7 @@ from rateflow.sources.tables import (
 )
 
 __all__ = [
-    "event_rows", "item_genres", "parse_rating_lines", "read_items", "read_lines", "read_rating_lines",
+    "event_rows", "item_genres", "parse_item_lines", "parse_rating_lines", "read_items", "read_lines", "read_rating_lines",
     "read_ratings", "read_table",
     "reuse_or_build", "tpch_items", "tpch_items_with_genres", "tpch_ratings",
     "tpch_users", "write_ratings",

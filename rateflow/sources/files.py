@@ -162,6 +162,18 @@ def read_items(spark: SparkSession, path: str, naive: bool = False) -> DataFrame
     return df.filter(F.col("item_id").isNotNull())
 
 
+def parse_item_lines(lines: DataFrame) -> DataFrame:
+    """Items of text lines in a ``value`` column, with the quoting and the
+    dropped lines of :func:`read_items`."""
+    schema = ", ".join(f"{c} STRING" for c in _ITEM_FIELDS)
+    row = F.from_csv("value", schema, {"quote": '"', "escape": '"', "mode": "PERMISSIVE"})
+    raw = lines.select(row.alias("_r")).select("_r.*")
+    return (raw.select(F.expr("try_cast(item_id AS BIGINT)").alias("item_id"), "title",
+                       F.when(F.col("genres").isNull(), F.array().cast("array<string>"))
+                       .otherwise(F.split("genres", r"\|")).alias("genres"))
+            .filter(F.col("item_id").isNotNull()))
+
+
 def item_genres(items: DataFrame) -> DataFrame:
     """One row per (item, genre) with the genre's 1-based position."""
     return items.select(
