@@ -48,7 +48,7 @@ def written(df: DataFrame, name: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = f"{scratch_root(spark)}/rateflow-llm/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     _SCRATCH.setdefault(spark.sparkContext.applicationId, []).append(path)
     return spark.read.schema(df.schema).parquet(path)
 
@@ -93,3 +93,27 @@ def map_batches(df: DataFrame, fn, schema: str) -> DataFrame:
     if root not in env.get("PYTHONPATH", "").split(os.pathsep):
         env["PYTHONPATH"] = os.pathsep.join(x for x in (env.get("PYTHONPATH"), root) if x)
     return df.mapInArrow(fn, schema)
+
+
+FILTER_BITS = 1 << 23
+
+
+def id_filter(ids: DataFrame, column: str) -> DataFrame:
+    """A bitmap of hashed ids in at most 256 rows of 4 KiB, whatever the number
+    of ids: small enough to broadcast by proof.  For :func:`maybe_in`."""
+    at = F.pmod(F.xxhash64(column), F.lit(FILTER_BITS)) + 1
+    return (ids.groupBy(F.bitmap_bucket_number(at).alias("__bucket"))
+            .agg(F.bitmap_construct_agg(F.bitmap_bit_position(at)).alias("__bits")))
+
+
+def maybe_in(df: DataFrame, column: str, bitmap: DataFrame, out: str = "__maybe") -> DataFrame:
+    """Add ``out``: false only if the row's id is surely not among the ids of
+    ``bitmap``.  Keeps large rows out of a shuffle that cannot match them; with
+    very many ids it is true for most rows, which costs but never errs."""
+    at = F.pmod(F.xxhash64(column), F.lit(FILTER_BITS)) + 1
+    bit = F.bitmap_bit_position(at)
+    byte = F.conv(F.hex(F.substring("__bits", F.floor(bit / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    has = F.floor(byte / F.pow(F.lit(2), bit % 8)).cast("long") % 2 == 1
+    return (df.withColumn("__bucket", F.bitmap_bucket_number(at))
+            .join(F.broadcast(bitmap), "__bucket", "left")
+            .withColumn(out, F.coalesce(has, F.lit(False))).drop("__bucket", "__bits"))

@@ -37,19 +37,19 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rateflow.llm.common import documents, map_batches, text_of, written
+from rateflow.llm.common import documents, id_filter, map_batches, maybe_in, text_of, written
 from rateflow.llm.components import components
 from rateflow.llm.shingles import batch_bytes, shingle_sets, signature
 
 PERCENT = 75
 TREES = 16
-STAR_TREES = 4
+STAR_TREES = 2
 LIMIT = 1024
 LEVELS = 3     # levels that a large node is branched at a time
 MAX_DEPTH = 25
 COORDINATES = 128
 LEAST = 0.62
-SPARSE = 8     # pairs per document up to which a node offers them all
+SPARSE = 2     # pairs per document up to which a node offers them all
 
 
 def described(docs: DataFrame) -> DataFrame:
@@ -217,6 +217,7 @@ def full_sets(docs: DataFrame, classes: DataFrame) -> DataFrame:
                                                  names=["id", "shingles"]).filter(pa.array(own, pa.bool_()))
 
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of(docs).alias("text"))
+    texts = maybe_in(texts, "doc_id", id_filter(classes, "doc_id")).where("__maybe")
     return map_batches(texts.join(classes, "doc_id").select("id", "text", "digest"), rows,
                        "id long, shingles binary")
 
@@ -290,8 +291,11 @@ def near_groups(docs: DataFrame) -> DataFrame:
 
 def near_dedup(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` that stay: one document of each group."""
-    dropped = near_groups(docs).where(~F.col("kept")).select("doc_id").distinct()
-    return docs.join(dropped, "doc_id", "left_anti").select(*docs.columns)
+    dropped = written(near_groups(docs).where(~F.col("kept")).select("doc_id").distinct(), "dropped")
+    # Texts that surely stay are not shuffled.
+    asked = maybe_in(docs, "doc_id", id_filter(dropped, "doc_id"))
+    sure = asked.where(~F.col("__maybe")).select(*docs.columns)
+    return sure.unionAll(asked.where("__maybe").join(dropped, "doc_id", "left_anti").select(*docs.columns))
 
 
 def q_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
