@@ -6,7 +6,8 @@ is one group.  Equal sets are first made one class, so copies cost nothing.
 
 In each of ``TREES`` independent trees a node picks minwise coordinates by a
 hash of its path, 4/3 on average (1 / similarity), and its documents branch by
-their minwise tokens there, so unrelated documents part.  A node of at most ``LIMIT``
+their minwise tokens there, so unrelated documents part.  From the second level on (a
+token that one common phrase shares is no sign of similarity) a node of at most ``LIMIT``
 documents is compared exhaustively by signatures; larger nodes branch on (by
 one coordinate a level, so that a group of near copies does not grow) and, in
 the first ``STAR_TREES`` trees, offer each document to the node's smallest one.
@@ -16,8 +17,9 @@ they are compared in pieces of at most about ``LIMIT``.
 What the signatures let pass (an estimate of at least ``LEAST``, more than
 three standard errors below the threshold) is confirmed on the full sets.  A
 node with very many such pairs first offers a maximum spanning forest of them;
-once the components of those links are known, only its pairs between different
-components are confirmed, so a group of copies never emits all its pairs.
+once the components of those links are known, its pairs between different
+components are confirmed inside the node, where each full set is sent once, so
+a group of copies never emits all its pairs.
 
 Edge cases: a null or empty text, or one of white space, has no shingle and is
 linked with nothing.  A row without ``doc_id`` is linked with nothing and
@@ -79,12 +81,12 @@ def _child(key: Column, sig: Column, salt: int = 1) -> Column:
 
 
 def _first_level(reps: DataFrame) -> DataFrame:
-    """``key, id, tree``: each tree's root branches by 4/3 coordinates on average."""
+    """``key, id, tree, sig``: the roots branch by 4/3 coordinates on average."""
     key, sig = F.xxhash64("tree"), F.col("sig")
     both = F.array_distinct(F.array(_child(key, sig), _child(key, sig, 2)))
     rows = reps.select("id", "sig", F.explode(F.array(*[F.lit(t) for t in range(TREES)])).alias("tree"))
     return rows.select(F.explode(F.when(F.col("tree") % 3 == 0, both).otherwise(F.array(_child(key, sig))))
-                       .alias("key"), "id", "tree")
+                       .alias("key"), "id", "tree", "sig")
 
 
 def _below(rows: DataFrame, levels: int) -> DataFrame:
@@ -103,7 +105,7 @@ def _sized(rows: DataFrame) -> DataFrame:
 def small_nodes(reps: DataFrame) -> tuple[DataFrame, DataFrame]:
     """All nodes of at most ``LIMIT`` documents (``key, id, n``) and the star
     pairs ``a, b`` of the larger ones."""
-    nodes, depth = written(_sized(_first_level(reps)), "nodes"), 1
+    nodes, depth = written(_sized(_below(_first_level(reps), 1)), "nodes"), 2
     small, stars = [], []
     while True:
         small.append(nodes.where(F.col("n") <= LIMIT).select("key", "id", "n"))
@@ -158,25 +160,34 @@ def forest(n: int, a: np.ndarray, b: np.ndarray, weight: np.ndarray) -> np.ndarr
     return np.array(out, dtype=np.int64)
 
 
-def _compared(batches: Iterable[pa.RecordBatch], first: bool) -> Iterator[pa.RecordBatch]:
-    """Pairs of each node (``key, id, label, sig``) whose estimate passes."""
+def _passing(sigs: np.ndarray, labels: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Pairs of a node with different labels whose estimate passes, and their
+    equal coordinates."""
+    at, to, same = [], [], []
+    for i in range(len(labels) - 1):
+        equal = np.count_nonzero(sigs[i + 1:] == sigs[i], axis=1)
+        passed = np.flatnonzero((equal >= LEAST * COORDINATES) & (labels[i + 1:] != labels[i]))
+        at.append(np.full(len(passed), i))
+        to.append(passed + i + 1)
+        same.append(equal[passed])
+    return np.concatenate(at), np.concatenate(to), np.concatenate(same)
+
+
+def _signatures(column: pa.ChunkedArray) -> np.ndarray:
+    return np.frombuffer(b"".join(column.to_pylist()), dtype="<u4").reshape(-1, COORDINATES)
+
+
+def _offered(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Pairs of each node (``key, id, sig``): all that pass, or a maximum
+    spanning forest of them if they are many."""
     out: list[tuple[np.ndarray, np.ndarray]] = []
     for node in _by_key(batches):
-        node = node.combine_chunks()
         if node.num_rows < 2:
             continue
-        ids, labels = node.column(1).to_numpy(), node.column(2).to_numpy()
-        sigs = np.frombuffer(b"".join(node.column(3).to_pylist()), dtype="<u4").reshape(len(ids), COORDINATES)
-        at, to, same = [], [], []
-        for i in range(len(ids) - 1):
-            equal = np.count_nonzero(sigs[i + 1:] == sigs[i], axis=1)
-            passed = np.flatnonzero((equal >= LEAST * COORDINATES) & (labels[i + 1:] != labels[i]))
-            at.append(np.full(len(passed), i))
-            to.append(passed + i + 1)
-            same.append(equal[passed])
-        a, b = np.concatenate(at), np.concatenate(to)
-        if first and len(a) > SPARSE * len(ids):
-            keep = forest(len(ids), a, b, np.concatenate(same))
+        ids = node.column(1).to_numpy()
+        a, b, same = _passing(_signatures(node.column(2)), ids)
+        if len(a) > SPARSE * len(ids):
+            keep = forest(len(ids), a, b, same)
             a, b = a[keep], b[keep]
         if len(a):
             out.append((np.minimum(ids[a], ids[b]), np.maximum(ids[a], ids[b])))
@@ -186,22 +197,82 @@ def _compared(batches: Iterable[pa.RecordBatch], first: bool) -> Iterator[pa.Rec
     yield _pairs(out)
 
 
+def _open(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """``key, id`` of the documents of each node (``key, id, label, sig``) that
+    have a passing pair in another component."""
+    for node in _by_key(batches):
+        labels = node.column(2).to_numpy()
+        if node.num_rows < 2 or (labels == labels[0]).all():
+            continue
+        a, b, _ = _passing(_signatures(node.column(3)), labels)
+        if len(a):
+            rows = np.union1d(a, b)
+            yield pa.RecordBatch.from_arrays([pa.array(node.column(i).to_numpy()[rows]) for i in (0, 1)],
+                                             names=["key", "id"])
+
+
+def _linked(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Links between components in each node (``key, id, label, sig,
+    shingles``), enough to connect what can be connected there."""
+    for node in _by_key(batches):
+        if node.num_rows < 2:
+            continue
+        ids, labels = node.column(1).to_numpy(), node.column(2).to_numpy()
+        sets = [np.frombuffer(s, dtype=np.uint64) for s in node.column(4).to_pylist()]
+        a, b, same = _passing(_signatures(node.column(3)), labels)
+        root = {x: x for x in labels.tolist()}
+
+        def top(x: int, root: dict = root) -> int:
+            while root[x] != x:
+                root[x] = x = root[root[x]]
+            return x
+
+        found = []
+        for e in np.argsort(-same, kind="stable"):
+            i, j = int(a[e]), int(b[e])
+            u, v = top(int(labels[i])), top(int(labels[j]))
+            if u != v and similar(sets[i], sets[j]):
+                root[u] = v
+                found.append((ids[[i]], ids[[j]]))
+        yield _pairs(found)
+
+
+def similar(x: np.ndarray, y: np.ndarray) -> bool:
+    """Whether two sorted sets reach the similarity."""
+    if len(x) > len(y):
+        x, y = y, x
+    if not len(x) or 100 * len(x) < PERCENT * len(y):
+        return False
+    at = np.minimum(np.searchsorted(y, x), len(y) - 1)
+    both = int(np.count_nonzero(y[at] == x))
+    return 100 * both >= PERCENT * (len(x) + len(y) - both)
+
+
 def _pairs(found: list[tuple[np.ndarray, np.ndarray]]) -> pa.RecordBatch:
     both = [np.concatenate([x[i] for x in found]) if found else np.empty(0, np.int64) for i in (0, 1)]
     return pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in both], names=["a", "b"])
 
 
-def node_pairs(nodes: DataFrame, reps: DataFrame, labels: DataFrame | None = None) -> DataFrame:
-    """Distinct candidate pairs ``a, b`` of small nodes; with ``labels`` only
-    those between different components, of the nodes that may be dense."""
-    rows, first = nodes.join(reps, "id"), labels is None
-    if first:
-        rows = rows.withColumn("label", F.col("id"))
-    else:
-        rows = (rows.where(F.col("n") > 2 * SPARSE + 1).join(labels, "id", "left")
-                .withColumn("label", F.coalesce("component", "id")))
-    sorted_rows = rows.select("key", "id", "label", "sig").repartition("key").sortWithinPartitions("key", "id")
-    return map_batches(sorted_rows, lambda batches: _compared(batches, first), "a long, b long").distinct()
+def _gathered(rows: DataFrame) -> DataFrame:
+    return rows.repartition("key").sortWithinPartitions("key", "id")
+
+
+def offered_pairs(nodes: DataFrame, reps: DataFrame) -> DataFrame:
+    """Distinct candidate pairs ``a, b`` of small nodes."""
+    rows = nodes.join(reps, "id").select("key", "id", "sig")
+    return map_batches(_gathered(rows), _offered, "a long, b long").distinct()
+
+
+def remaining_links(nodes: DataFrame, reps: DataFrame, labels: DataFrame, sets: DataFrame) -> DataFrame:
+    """Links ``a, b`` between components, of the nodes that may have held
+    pairs back.  Each set goes to a node once, not once a pair, and only sets
+    that have a passing pair there."""
+    labelled = (reps.join(labels, "id", "left")
+                .select("id", "sig", F.coalesce("component", "id").alias("label")))
+    dense = nodes.where(F.col("n") > 2 * SPARSE + 1).join(labelled, "id").select("key", "id", "label", "sig")
+    still = written(map_batches(_gathered(dense), _open, "key long, id long"), "open")
+    rows = still.join(labelled, "id").join(sets, "id").select("key", "id", "label", "sig", "shingles")
+    return map_batches(_gathered(rows), _linked, "a long, b long")
 
 
 def full_sets(docs: DataFrame, classes: DataFrame) -> DataFrame:
@@ -226,16 +297,8 @@ def confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """The pairs whose full sets reach the similarity."""
     def rows(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            linked = []
-            for x, y in zip(batch.column(2), batch.column(3)):
-                x, y = (np.frombuffer(s.as_buffer(), dtype=np.uint64) for s in (x, y))
-                if len(x) > len(y):
-                    x, y = y, x
-                both = 0
-                if 100 * len(x) >= PERCENT * len(y):
-                    at = np.minimum(np.searchsorted(y, x), len(y) - 1)
-                    both = int(np.count_nonzero(y[at] == x))
-                linked.append(100 * both >= PERCENT * (len(x) + len(y) - both))
+            linked = [similar(*(np.frombuffer(s.as_buffer(), dtype=np.uint64) for s in pair))
+                      for pair in zip(batch.column(2), batch.column(3))]
             yield batch.select(["a", "b"]).filter(pa.array(linked, pa.bool_()))
 
     a = sets.select(F.col("id").alias("a"), F.col("shingles").alias("sa"))
@@ -252,13 +315,12 @@ def class_components(docs: DataFrame, classes: DataFrame) -> DataFrame:
     equal = F.size(F.filter(F.sequence(F.lit(0), F.lit(COORDINATES - 1)), lambda i: F.substring(
         F.col("sa"), 4 * i + 1, F.lit(4)) == F.substring(F.col("sb"), 4 * i + 1, F.lit(4))))
     near_stars = stars.join(a, "a").join(b, "b").where(equal >= LEAST * COORDINATES).select("a", "b")
-    pairs = written(node_pairs(nodes, reps).unionAll(near_stars).distinct(), "pairs")
+    pairs = written(offered_pairs(nodes, reps).unionAll(near_stars).distinct(), "pairs")
     ids = pairs.select(F.col("a").alias("id")).unionAll(pairs.select(F.col("b").alias("id"))).distinct()
     sets = written(full_sets(docs, classes.join(ids, "id").select("id", "doc_id", "digest")), "sets")
     labels = components(written(confirmed(pairs, sets), "links"))
     # What dense nodes held back: pairs between components, whose links join these.
-    rest = node_pairs(nodes, reps, labels).join(pairs, ["a", "b"], "left_anti")
-    more = written(confirmed(rest, sets), "links")
+    more = written(remaining_links(nodes, reps, labels, sets), "links")
     if more.isEmpty():
         return labels
     of = lambda c: labels.select(F.col("id").alias(c), F.col("component").alias(f"_{c}"))
@@ -300,3 +362,35 @@ def near_dedup(docs: DataFrame) -> DataFrame:
 
 def q_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_groups(documents(spark, sf_dir))
+
+
+# All pairs that share a shingle, then everything reachable; for small tables.
+SQL = r"""
+WITH RECURSIVE words AS (
+  SELECT doc_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x20\x09-\x0D]+') AS w
+  FROM documents
+), shingles AS (
+  SELECT DISTINCT doc_id, unnest(CASE
+    WHEN len(w) >= 5 THEN list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i+4], ' '))
+    WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END) AS s
+  FROM words
+), sizes AS (
+  SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id
+), pairs AS (
+  SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS c
+  FROM shingles a JOIN shingles b ON a.s = b.s AND a.doc_id <> b.doc_id GROUP BY 1, 2
+), links AS (
+  SELECT x, y FROM pairs JOIN sizes a ON a.doc_id = x JOIN sizes b ON b.doc_id = y
+  WHERE 100 * c >= 75 * (a.n + b.n - c)
+), reach AS (
+  SELECT doc_id AS id, doc_id AS r FROM documents
+  UNION
+  SELECT reach.id, links.y FROM reach JOIN links ON links.x = reach.r
+), least AS (
+  SELECT id, min(r) AS component_id FROM reach GROUP BY id
+)
+SELECT id AS doc_id, coalesce(n, 0) AS n_shingles, component_id, id = component_id AS kept
+FROM least LEFT JOIN sizes ON doc_id = id
+"""

@@ -2,7 +2,18 @@
 
 from __future__ import annotations
 
-from rateflow.llm import exact_dedup, language, licenses, near_dedup, packing, secrets, sentence_pieces, sharding, suffix_dedup, vector_search
+from rateflow.llm import (
+    exact_dedup,
+    language,
+    licenses,
+    near_dedup,
+    packing,
+    secrets,
+    sentence_pieces,
+    sharding,
+    suffix_dedup,
+    vector_search,
+)
 
 QUERIES = {
     "op1_pack": packing.q_pack,
@@ -19,5 +30,6 @@ QUERIES = {
 
 ORACLE_SQL = {
     "op4_exact_dedup": exact_dedup.SQL,
+    "op7_near_dedup": near_dedup.SQL,
     "op10_top_k": vector_search.SQL,
 }
