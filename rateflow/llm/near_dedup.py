@@ -14,6 +14,13 @@ the first ``STAR_TREES`` trees, offer each document to the node's smallest one.
 Nodes that are still large after ``MAX_DEPTH`` levels hold almost equal sets;
 they are compared in pieces of at most about ``LIMIT``.
 
+A linked pair survives a path of depth d with J^d only, so large nodes part
+links.  Once the first components are known, a large node of which at most
+``LIMIT / 2`` documents are outside its largest component is compared in full
+(these against all others, in pieces); the documents of the other large nodes
+are rooted again in as many more trees as let a pair at the threshold meet at the
+depth of their deepest path with the chance ``TARGET``.
+
 What the signatures let pass (an estimate of at least ``LEAST``, more than
 three standard errors below the threshold) is confirmed on the full sets.  A
 node with very many such pairs first offers a maximum spanning forest of them;
@@ -31,6 +38,7 @@ ignored by :func:`near_groups` and kept by :func:`near_dedup`.
 from __future__ import annotations
 
 import hashlib
+import math
 from collections.abc import Iterable, Iterator
 from functools import reduce
 
@@ -45,7 +53,9 @@ from rateflow.llm.shingles import batch_bytes, shingle_sets, signature
 
 PERCENT = 75
 TREES = 16
+PATHS = TREES + len(range(0, TREES, 3))  # see _first_level
 STAR_TREES = 2
+TARGET = 0.99  # chance that a pair at the threshold meets
 LIMIT = 1024
 LEVELS = 3     # levels that a large node is branched at a time
 MAX_DEPTH = 25
@@ -90,28 +100,31 @@ def _first_level(reps: DataFrame) -> DataFrame:
 
 
 def _below(rows: DataFrame, levels: int) -> DataFrame:
-    """``key, id, tree`` of the nodes ``levels`` below those of ``key, id, tree, sig``."""
+    """``key, parent, id, tree`` of the nodes ``levels`` below those of ``key, id, tree, sig``."""
+    rows = rows.withColumn("parent", F.col("key"))
     for _ in range(levels):
         rows = rows.withColumn("key", _child(F.col("key"), F.col("sig")))
-    return rows.select("key", "id", "tree")
+    return rows.select("key", "parent", "id", "tree")
 
 
 def _sized(rows: DataFrame) -> DataFrame:
-    """Nodes of two documents or more: ``key, id, tree, n, pivot``."""
+    """Nodes of two documents or more: ``key, parent, id, tree, n, pivot``."""
     sizes = rows.groupBy("key").agg(F.count("*").alias("n"), F.min("id").alias("pivot")).where("n > 1")
     return rows.join(sizes, "key")
 
 
-def small_nodes(reps: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """All nodes of at most ``LIMIT`` documents (``key, id, n``) and the star
-    pairs ``a, b`` of the larger ones."""
-    nodes, depth = written(_sized(_below(_first_level(reps), 1)), "nodes"), 2
-    small, stars = [], []
+def small_nodes(reps: DataFrame) -> tuple[DataFrame, DataFrame, list[tuple[int, DataFrame]]]:
+    """All nodes of at most ``LIMIT`` documents (``key, id, n``), the star
+    pairs ``a, b`` of the larger ones, and these by their depth."""
+    first = _below(_first_level(reps), 1).withColumn("parent", F.lit(0).cast("long"))
+    nodes, depth = written(_sized(first), "nodes"), 2
+    small, stars, by_depth = [], [], []
     while True:
         small.append(nodes.where(F.col("n") <= LIMIT).select("key", "id", "n"))
         large = nodes.where(F.col("n") > LIMIT)
         if large.isEmpty():
             break
+        by_depth.append((depth, large))
         stars.append(large.where((F.col("tree") < STAR_TREES) & (F.col("pivot") < F.col("id")))
                      .select(F.col("pivot").alias("a"), F.col("id").alias("b")))
         if depth >= MAX_DEPTH:
@@ -121,7 +134,74 @@ def small_nodes(reps: DataFrame) -> tuple[DataFrame, DataFrame]:
         nodes = written(_sized(_below(large.select("key", "id", "tree").join(reps, "id"), LEVELS)), "nodes")
         depth += LEVELS
     all_stars = reps.select(F.col("id").alias("a"), F.col("id").alias("b")).limit(0)
-    return reduce(DataFrame.unionAll, small), reduce(DataFrame.unionAll, stars, all_stars).distinct()
+    return reduce(DataFrame.unionAll, small), reduce(DataFrame.unionAll, stars, all_stars).distinct(), by_depth
+
+
+def _weighed(large: list[tuple[int, DataFrame]], labelled: DataFrame) -> DataFrame:
+    """``depth, key, parent, n, main, rest`` of large nodes: their largest
+    component and the number of documents outside it."""
+    rows = reduce(DataFrame.unionAll, [nodes.select(F.lit(depth).alias("depth"), "key", "parent", "id")
+                                       for depth, nodes in large])
+    counts = rows.join(labelled, "id").groupBy("depth", "key", "parent", "label").agg(F.count("*").alias("c"))
+    most = F.max(F.struct("c", "label"))
+    return written(counts.groupBy("depth", "key", "parent").agg(
+        F.sum("c").alias("n"), most["label"].alias("main"), (F.sum("c") - most["c"]).alias("rest")), "weighed")
+
+
+def _against_main(nodes: DataFrame, weighed: DataFrame, labelled: DataFrame) -> DataFrame:
+    """``key, id`` of pieces of at most about ``LIMIT``, in which the ``rest`` of
+    each node of ``weighed`` meets itself and the whole largest component."""
+    pieces = F.ceil(2 * F.col("_all") / LIMIT)
+    own = weighed.where((F.col("rest") > 0) & (2 * F.col("rest") <= LIMIT)).select("key", F.col("n").alias("_all"), "main")
+    rows = nodes.select("key", "id").join(own, "key").join(labelled, "id")
+    at = F.when(F.col("label") == F.col("main"), F.array(F.pmod(F.xxhash64("id", "key"), pieces))) \
+        .otherwise(F.sequence(F.lit(0).cast("long"), pieces - 1))
+    return rows.select("key", "id", F.explode(at).alias("_piece")).select(F.xxhash64("key", "_piece").alias("key"), "id")
+
+
+def deep_nodes(reps: DataFrame, labelled: DataFrame, large: list[tuple[int, DataFrame]]) -> DataFrame:
+    """``key, id`` of nodes where pairs meet that large nodes may have parted
+    (``labelled``: ``id, label``, the components so far)."""
+    weighed, still, found, again = _weighed(large, labelled), None, [], []
+    for depth, nodes in large:
+        own = weighed.where(F.col("depth") == depth)
+        if still is not None:  # below a node that is compared in full, nothing is left
+            own = own.join(still.select(F.col("key").alias("parent")), "parent", "left_semi")
+        found.append(_against_main(nodes, own, labelled))
+        still = own.where(2 * F.col("rest") > LIMIT)
+        if still.isEmpty():
+            break
+        leaf = depth if depth >= MAX_DEPTH else depth + LEVELS
+        paths = math.log(1 / (1 - TARGET)) / (PERCENT / 100) ** leaf  # each keeps a pair with J ** leaf
+        again.append(nodes.join(still.select("key"), "key", "left_semi")
+                     .select("id", F.lit(math.ceil(paths) - PATHS).alias("more")))
+    if again:
+        ids = written(reduce(DataFrame.unionAll, again).groupBy("id").agg(F.max("more").cast("long").alias("more"))
+                      .where("more > 0"), "deep")
+        if not ids.isEmpty():
+            found += _rooted_again(ids, reps, labelled)
+    return reduce(DataFrame.unionAll, found)
+
+
+def _rooted_again(ids: DataFrame, reps: DataFrame, labelled: DataFrame) -> list[DataFrame]:
+    """``key, id`` of the nodes of ``more`` trees of each document (``id, more``)."""
+    trees = F.sequence(F.lit(TREES).cast("long"), TREES + F.col("more") - 1)
+    rows = ids.join(reps, "id").select("id", "sig", F.explode(trees).alias("tree"))
+    rows, depth, found = _below(rows.withColumn("key", F.xxhash64("tree")), 2 + LEVELS), 2 + LEVELS, []
+    while True:
+        nodes = written(_sized(rows), "nodes")
+        found.append(nodes.where(F.col("n") <= LIMIT).select("key", "id"))
+        large = nodes.where(F.col("n") > LIMIT)
+        if large.isEmpty():
+            return found
+        weighed = _weighed([(depth, large)], labelled)
+        found.append(_against_main(large, weighed, labelled))
+        large = large.join(weighed.where(2 * F.col("rest") > LIMIT).select("key"), "key", "left_semi")
+        if depth >= MAX_DEPTH:
+            piece = F.pmod(F.xxhash64("id", "key"), F.ceil(2 * F.col("n") / LIMIT))
+            return [*found, large.select(F.xxhash64("key", piece).alias("key"), "id")]
+        rows = _below(large.select("key", "id", "tree").join(reps, "id"), LEVELS)
+        depth += LEVELS
 
 
 def _by_key(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.Table]:
@@ -163,14 +243,21 @@ def forest(n: int, a: np.ndarray, b: np.ndarray, weight: np.ndarray) -> np.ndarr
 def _passing(sigs: np.ndarray, labels: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Pairs of a node with different labels whose estimate passes, and their
     equal coordinates."""
-    at, to, same = [], [], []
-    for i in range(len(labels) - 1):
-        equal = np.count_nonzero(sigs[i + 1:] == sigs[i], axis=1)
-        passed = np.flatnonzero((equal >= LEAST * COORDINATES) & (labels[i + 1:] != labels[i]))
+    # By label, the commonest last: each row is compared with the labels after its own.
+    _, which, sizes = np.unique(labels, return_inverse=True, return_counts=True)
+    order = np.lexsort((which, sizes[which]))
+    sigs, which = sigs[order], which[order]
+    ends = np.append(np.flatnonzero(which[1:] != which[:-1]) + 1, len(which))
+    at, to, same = [np.empty(0, np.int64)], [np.empty(0, np.int64)], [np.empty(0, np.int64)]
+    for i, end in enumerate(np.repeat(ends, np.diff(ends, prepend=0))):
+        if end == len(which):
+            break
+        equal = np.count_nonzero(sigs[end:] == sigs[i], axis=1)
+        passed = np.flatnonzero(equal >= LEAST * COORDINATES)
         at.append(np.full(len(passed), i))
-        to.append(passed + i + 1)
+        to.append(passed + end)
         same.append(equal[passed])
-    return np.concatenate(at), np.concatenate(to), np.concatenate(same)
+    return order[np.concatenate(at)], order[np.concatenate(to)], np.concatenate(same)
 
 
 def _signatures(column: pa.ChunkedArray) -> np.ndarray:
@@ -263,15 +350,17 @@ def offered_pairs(nodes: DataFrame, reps: DataFrame) -> DataFrame:
     return map_batches(_gathered(rows), _offered, "a long, b long").distinct()
 
 
-def remaining_links(nodes: DataFrame, reps: DataFrame, labels: DataFrame, sets: DataFrame) -> DataFrame:
-    """Links ``a, b`` between components, of the nodes that may have held
-    pairs back.  Each set goes to a node once, not once a pair, and only sets
-    that have a passing pair there."""
-    labelled = (reps.join(labels, "id", "left")
-                .select("id", "sig", F.coalesce("component", "id").alias("label")))
-    dense = nodes.where(F.col("n") > 2 * SPARSE + 1).join(labelled, "id").select("key", "id", "label", "sig")
-    still = written(map_batches(_gathered(dense), _open, "key long, id long"), "open")
-    rows = still.join(labelled, "id").join(sets, "id").select("key", "id", "label", "sig", "shingles")
+def open_rows(nodes: DataFrame, reps: DataFrame, labelled: DataFrame) -> DataFrame:
+    """``key, id`` of the documents that have a passing pair in another
+    component in their node."""
+    rows = nodes.join(labelled, "id").join(reps, "id").select("key", "id", "label", "sig")
+    return written(map_batches(_gathered(rows), _open, "key long, id long"), "open")
+
+
+def remaining_links(still: DataFrame, reps: DataFrame, labelled: DataFrame, sets: DataFrame) -> DataFrame:
+    """Links ``a, b`` between components, of :func:`open_rows`.  Each set goes
+    to a node once, not once a pair, and only sets that have a passing pair there."""
+    rows = still.join(labelled, "id").join(reps, "id").join(sets, "id").select("key", "id", "label", "sig", "shingles")
     return map_batches(_gathered(rows), _linked, "a long, b long")
 
 
@@ -306,10 +395,23 @@ def confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return map_batches(pairs.join(a, "a").join(b, "b").select("a", "b", "sa", "sb"), rows, "a long, b long")
 
 
+def _merged(labels: DataFrame, more: DataFrame) -> DataFrame:
+    """The components ``id, component`` of ``labels`` joined by more links."""
+    if more.isEmpty():
+        return labels
+    of = lambda c: labels.select(F.col("id").alias(c), F.col("component").alias(f"_{c}"))
+    bridges = more.join(of("a"), "a", "left").join(of("b"), "b", "left").select(
+        F.coalesce("_a", "a").alias("a"), F.coalesce("_b", "b").alias("b"))
+    joined = components(bridges).select(F.col("id").alias("component"), F.col("component").alias("_top"))
+    alone = joined.select(F.col("component").alias("id"), "component").join(labels, "id", "left_anti")
+    return (labels.unionAll(alone.select("id", "component")).join(joined, "component", "left")
+            .select("id", F.coalesce("_top", "component").alias("component")))
+
+
 def class_components(docs: DataFrame, classes: DataFrame) -> DataFrame:
     """``id, component`` of the linked ones of ``classes`` (``id, doc_id, digest, sig``)."""
     reps = classes.select("id", "sig")
-    nodes, stars = small_nodes(reps)
+    nodes, stars, large = small_nodes(reps)
     a = reps.select(F.col("id").alias("a"), F.col("sig").alias("sa"))
     b = reps.select(F.col("id").alias("b"), F.col("sig").alias("sb"))
     equal = F.size(F.filter(F.sequence(F.lit(0), F.lit(COORDINATES - 1)), lambda i: F.substring(
@@ -317,19 +419,25 @@ def class_components(docs: DataFrame, classes: DataFrame) -> DataFrame:
     near_stars = stars.join(a, "a").join(b, "b").where(equal >= LEAST * COORDINATES).select("a", "b")
     pairs = written(offered_pairs(nodes, reps).unionAll(near_stars).distinct(), "pairs")
     ids = pairs.select(F.col("a").alias("id")).unionAll(pairs.select(F.col("b").alias("id"))).distinct()
-    sets = written(full_sets(docs, classes.join(ids, "id").select("id", "doc_id", "digest")), "sets")
+    sets_of = lambda ids: written(
+        full_sets(docs, classes.join(ids, "id").select("id", "doc_id", "digest")), "sets")
+    labelled = lambda labels: (reps.select("id").join(labels, "id", "left")
+                               .select("id", F.coalesce("component", "id").alias("label")))
+    sets = sets_of(ids)
     labels = components(written(confirmed(pairs, sets), "links"))
     # What dense nodes held back: pairs between components, whose links join these.
-    more = written(remaining_links(nodes, reps, labels, sets), "links")
-    if more.isEmpty():
+    dense = nodes.where(F.col("n") > 2 * SPARSE + 1).select("key", "id")
+    still = open_rows(dense, reps, labelled(labels))
+    labels = _merged(labels, written(remaining_links(still, reps, labelled(labels), sets), "links"))
+    # What large nodes may have parted.
+    if not large:
         return labels
-    of = lambda c: labels.select(F.col("id").alias(c), F.col("component").alias(f"_{c}"))
-    bridges = more.join(of("a"), "a", "left").join(of("b"), "b", "left").select(
-        F.coalesce("_a", "a").alias("a"), F.coalesce("_b", "b").alias("b"))
-    joined = components(bridges).select(F.col("id").alias("component"), F.col("component").alias("_top"))
-    alone = joined.select(F.col("component").alias("id"), "component").join(labels, "id", "left_anti")
-    return (labels.unionAll(alone.select("id", "component")).join(joined, "component", "left")
-            .select("id", F.coalesce("_top", "component").alias("component")))
+    own = written(labelled(labels), "labels")
+    still = open_rows(deep_nodes(reps, own, large), reps, own)
+    if still.isEmpty():
+        return labels
+    more = sets.unionAll(sets_of(still.select("id").distinct().join(sets.select("id"), "id", "left_anti")))
+    return _merged(labels, written(remaining_links(still, reps, own, more), "links"))
 
 
 def near_groups(docs: DataFrame) -> DataFrame:

@@ -99,3 +99,25 @@ def test_components_of_a_path_a_star_and_loops(spark):
 def test_forest_takes_the_heaviest_edges():
     keep = forest(4, np.array([0, 1, 0, 2]), np.array([1, 2, 2, 3]), np.array([5, 1, 4, 2]))
     assert sorted(keep.tolist()) == [0, 2, 3]
+
+
+def test_links_inside_deep_nodes_are_found(spark, monkeypatch):
+    """Pairs just above the threshold among texts of 36 of 48 passages, which
+    no rare passage parts."""
+    monkeypatch.setattr(near_dedup, "LIMIT", 4)
+    monkeypatch.setattr(near_dedup, "MAX_DEPTH", 11)
+    r = random.Random(5)
+    pool = [" ".join("".join(r.choices("abcdefgh", k=7)) for _ in range(30)) for _ in range(48)]
+    texts = {}
+    for i in range(0, 300, 2):
+        own = sorted(r.sample(range(48), 36))
+        new = sorted(r.sample(own, 32) + r.sample(sorted(set(range(48)) - set(own)), 4))
+        texts[i], texts[i + 1] = (" ".join(pool[k] for k in x) for x in (own, new))
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    got = {r["doc_id"]: r["component_id"] for r in near_groups(docs).collect()}
+    sets = [words_set(texts[i]) for i in range(300)]
+    pairs = [(i, j) for i in range(300) for j in range(i)
+             if 100 * len(sets[i] & sets[j]) >= 75 * len(sets[i] | sets[j])]
+    found = sum(got[i] == got[j] for i, j in pairs)
+    print(f"recall {found} of {len(pairs)}")
+    assert len(pairs) >= 100 and found >= 0.99 * len(pairs)
