@@ -31,7 +31,8 @@ a group of copies never emits all its pairs.
 Edge cases: a null or empty text, or one of white space, has no shingle and is
 linked with nothing.  A row without ``doc_id`` is linked with nothing and
 stays (its ``component_id`` is null).  Rows that share a ``doc_id`` are linked
-each by its own text.  An empty table gives an empty result; extra columns are
+and kept each by its own text: one row of each group stays, of its smallest
+``doc_id`` the one whose text has the smallest hash.  An empty table gives an empty result; extra columns are
 ignored by :func:`near_groups` and kept by :func:`near_dedup`.
 """
 
@@ -65,23 +66,25 @@ SPARSE = 2     # pairs per document up to which a node offers them all
 
 
 def described(docs: DataFrame) -> DataFrame:
-    """``doc_id, n_shingles, digest, sig`` of every row (null for empty sets);
+    """``doc_id, text_hash, row, n_shingles, digest, sig`` of every row (the last
+    two null for empty sets); ``row`` is a number to be written with the rest,
     ``sig`` is 128 minwise values of 32 bits."""
-    names = ["doc_id", "n_shingles", "digest", "sig"]
+    names = ["doc_id", "text_hash", "row", "n_shingles", "digest", "sig"]
 
     def rows(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
                 some = batch.slice(at, 256)
-                sets = shingle_sets(*batch_bytes(some.column(1)))
+                sets = shingle_sets(*batch_bytes(some.column(3)))
                 yield pa.RecordBatch.from_arrays([
-                    some.column(0), pa.array([len(s) for s in sets], pa.int64()),
+                    *some.columns[:3], pa.array([len(s) for s in sets], pa.int64()),
                     pa.array([hashlib.md5(s.tobytes()).digest() if len(s) else None for s in sets], pa.binary()),
                     pa.array([signature(s).astype("<u4").tobytes() if len(s) else None for s in sets], pa.binary()),
                 ], names=names)
 
-    return map_batches(docs.select(F.col("doc_id").cast("long"), text_of(docs)), rows,
-                       "doc_id long, n_shingles long, digest binary, sig binary")
+    text = text_of(docs)
+    return map_batches(docs.select(F.col("doc_id").cast("long"), F.xxhash64(text), F.monotonically_increasing_id(), text),
+                       rows, "doc_id long, text_hash long, row long, n_shingles long, digest binary, sig binary")
 
 
 def _child(key: Column, sig: Column, salt: int = 1) -> Column:
@@ -440,32 +443,49 @@ def class_components(docs: DataFrame, classes: DataFrame) -> DataFrame:
     return _merged(labels, written(remaining_links(still, reps, own, more), "links"))
 
 
-def near_groups(docs: DataFrame) -> DataFrame:
-    """``doc_id, n_shingles, component_id, kept`` of every row."""
+def _grouped(docs: DataFrame) -> DataFrame:
+    """``doc_id, text_hash, n_shingles, component_id, kept, again`` of every
+    row; ``again`` rows repeat the id and text of their group's kept row."""
     rows = written(described(docs), "signatures")
     # A class has the texts of one set; its id is a hash of the set's digest.
+    first = F.min(F.struct("doc_id", "text_hash", "row"))
     classes = written(
         rows.where("digest IS NOT NULL AND doc_id IS NOT NULL").groupBy("digest")
-        .agg(F.min("doc_id").alias("doc_id"), F.first("sig").alias("sig")).withColumn("id", F.xxhash64("digest")),
+        .agg(first.alias("first"), F.first("sig").alias("sig"))
+        .select("digest", F.col("first.doc_id").alias("doc_id"), "first", "sig", F.xxhash64("digest").alias("id")),
         "classes")
-    least = classes.join(class_components(docs, classes), "id", "left").select(
-        "digest", F.coalesce("component", "id").alias("component"), "doc_id")
-    smallest = least.groupBy("component").agg(F.min("doc_id").alias("_own"))
+    linked = class_components(docs, classes.drop("first"))
+    least = classes.join(linked, "id", "left").select("digest", F.coalesce("component", "id").alias("component"), "first")
+    smallest = least.groupBy("component").agg(F.min("first").alias("_own"))
     of_class = least.select("digest", "component").join(smallest, "component").select("digest", "_own")
-    own = F.coalesce("_own", "doc_id")
-    return (rows.select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.col("digest")).alias("digest"))
+    kept = F.coalesce(F.col("row") == F.col("_own.row"), F.lit(True))
+    same = (F.col("doc_id") == F.col("_own.doc_id")) & (F.col("text_hash") == F.col("_own.text_hash"))
+    return (rows.select("doc_id", "text_hash", "row", "n_shingles",
+                        F.when(F.col("doc_id").isNotNull(), F.col("digest")).alias("digest"))
             .join(of_class, "digest", "left")
-            .select("doc_id", "n_shingles", own.alias("component_id"),
-                    F.coalesce(F.col("doc_id") == own, F.lit(True)).alias("kept")))
+            .select("doc_id", "text_hash", "n_shingles", F.coalesce("_own.doc_id", "doc_id").alias("component_id"),
+                    kept.alias("kept"), (same & ~kept).alias("again")))
+
+
+def near_groups(docs: DataFrame) -> DataFrame:
+    """``doc_id, n_shingles, component_id, kept`` of every row."""
+    return _grouped(docs).select("doc_id", "n_shingles", "component_id", "kept")
 
 
 def near_dedup(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` that stay: one document of each group."""
-    dropped = written(near_groups(docs).where(~F.col("kept")).select("doc_id").distinct(), "dropped")
+    dropped = written(_grouped(docs).where(~F.col("kept"))
+                      .select(F.col("doc_id").alias("__id"), F.col("text_hash").alias("__hash"), "again").distinct(), "dropped")
     # Texts that surely stay are not shuffled.
-    asked = maybe_in(docs, "doc_id", id_filter(dropped, "doc_id"))
+    asked = maybe_in(docs, "doc_id", id_filter(dropped, "__id"))
     sure = asked.where(~F.col("__maybe")).select(*docs.columns)
-    return sure.unionAll(asked.where("__maybe").join(dropped, "doc_id", "left_anti").select(*docs.columns))
+    maybe = asked.where("__maybe").withColumn("__text", F.xxhash64(text_of(docs)))
+    own = (F.col("doc_id") == F.col("__id")) & (F.col("__text") == F.col("__hash"))
+    out = sure.unionAll(maybe.join(dropped, own, "left_anti").select(*docs.columns))
+    again = dropped.where("again")
+    if again.isEmpty():
+        return out
+    return out.unionAll(maybe.join(again, own, "left_semi").dropDuplicates(["doc_id", "__text"]).select(*docs.columns))
 
 
 def q_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -121,3 +121,20 @@ def test_links_inside_deep_nodes_are_found(spark, monkeypatch):
     found = sum(got[i] == got[j] for i, j in pairs)
     print(f"recall {found} of {len(pairs)}")
     assert len(pairs) >= 100 and found >= 0.99 * len(pairs)
+
+
+def test_rows_of_one_id_stay_or_go_by_their_own_text(spark):
+    r = random.Random(6)
+    text = lambda: [r.choice("abcdefgh") + str(r.randrange(10**6)) for _ in range(150)]
+    a, b, c, d = text(), text(), text(), text()
+    join = " ".join
+    rows = [(1, join(a)), (2, join(a[:-1])), (2, join(b)),    # one text of id 2 is a copy, the other unique
+            (3, join(c)), (3, join(c[:-1])), (4, join(c[1:])),   # two similar texts under the smallest id
+            (5, join(d)), (5, join(d)), (6, ""), (6, ""), (None, join(a)), (None, join(a))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = [tuple(x) for x in near_dedup.near_dedup(docs).collect()]
+    want = [(1, join(a)), (2, join(b)), (5, join(d)), (6, ""), (6, ""), (None, join(a)), (None, join(a))]
+    three = [x for x in got if x[0] == 3]
+    assert len(three) == 1 and three[0] in rows
+    assert sorted(map(str, got)) == sorted(map(str, want + three))
+    assert sum(x["kept"] for x in near_groups(docs).collect()) == len(got)
