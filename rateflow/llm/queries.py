@@ -11,6 +11,7 @@ from rateflow.llm import (
     secrets,
     sentence_pieces,
     sharding,
+    spelling_variants,
     suffix_dedup,
     vector_search,
 )
@@ -26,10 +27,12 @@ QUERIES = {
     "op8_licenses": licenses.q_licenses,
     "op9_shards": sharding.q_shards,
     "op10_top_k": vector_search.q_top_k,
+    "op11_spelling_variants": spelling_variants.q_spelling_variants,
 }
 
 ORACLE_SQL = {
     "op4_exact_dedup": exact_dedup.SQL,
     "op7_near_dedup": near_dedup.SQL,
     "op10_top_k": vector_search.SQL,
+    "op11_spelling_variants": spelling_variants.SQL,
 }
