@@ -13,6 +13,7 @@ from rateflow.llm import (
     sharding,
     spelling_variants,
     suffix_dedup,
+    vector_codes,
     vector_search,
 )
 
@@ -28,6 +29,7 @@ QUERIES = {
     "op9_shards": sharding.q_shards,
     "op10_top_k": vector_search.q_top_k,
     "op11_spelling_variants": spelling_variants.q_spelling_variants,
+    "op12_vector_codes": vector_codes.q_vector_codes,
 }
 
 ORACLE_SQL = {
@@ -35,4 +37,5 @@ ORACLE_SQL = {
     "op7_near_dedup": near_dedup.SQL,
     "op10_top_k": vector_search.SQL,
     "op11_spelling_variants": spelling_variants.SQL,
+    "op12_vector_codes": vector_codes.SQL,
 }
