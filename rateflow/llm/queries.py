@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from rateflow.llm import (
+    block_neighbours,
     exact_dedup,
     language,
     licenses,
@@ -30,6 +31,7 @@ QUERIES = {
     "op10_top_k": vector_search.q_top_k,
     "op11_spelling_variants": spelling_variants.q_spelling_variants,
     "op12_vector_codes": vector_codes.q_vector_codes,
+    "op13_block_neighbours": block_neighbours.q_block_neighbours,
 }
 
 ORACLE_SQL = {
@@ -38,4 +40,5 @@ ORACLE_SQL = {
     "op10_top_k": vector_search.SQL,
     "op11_spelling_variants": spelling_variants.SQL,
     "op12_vector_codes": vector_codes.SQL,
+    "op13_block_neighbours": block_neighbours.SQL,
 }
