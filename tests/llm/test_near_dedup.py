@@ -137,4 +137,7 @@ def test_rows_of_one_id_stay_or_go_by_their_own_text(spark):
     three = [x for x in got if x[0] == 3]
     assert len(three) == 1 and three[0] in rows
     assert sorted(map(str, got)) == sorted(map(str, want + three))
-    assert sum(x["kept"] for x in near_groups(docs).collect()) == len(got)
+    rows = near_groups(docs).collect()
+    assert sum(x["stays"] for x in rows) == len(got)
+    assert all(x["kept"] == (x["doc_id"] is None or x["doc_id"] == x["component_id"]) for x in rows)
+    assert sum(x["kept"] for x in rows if x["doc_id"] == 3) == 2 and sum(x["kept"] for x in rows if x["doc_id"] == 5) == 2
