@@ -1,15 +1,14 @@
 """User-user cosine similarity over co-rated items and top-K neighbours.
 
-Pairs of users are only ever formed through a shared item (an equi-join on
-``item_id``), never as a cartesian product of all users.
+Pairs of users are only ever formed through a shared item, never as a
+cartesian product of all users.
 
 The per-pair sums ``dot, s1, s2, n`` have one plan at every size
-(:func:`block_pair_sums`): users are hashed into B blocks and the join and
-the aggregate run co-partitioned on the block pair, so ratings are shuffled
-(about B/2 + 1 copies) and pair rows never are.  B follows from the numbers
-of ratings R and pair rows P alone (:func:`block_count`): about
-``pairs_per_block_pair`` pair rows in a block pair, and never more copies of
-ratings than there are pair rows.
+(:func:`block_pair_sums`): users are hashed into blocks, each user's ratings go as
+one row to the block pairs of its block, and the pairs of two blocks are formed
+and summed inside a task by an exact overlap join (:mod:`rateflow.operators.overlap`):
+with a least number of common items, pairs are formed through each user's rarest
+items only.  Pair rows are never shuffled.
 
 :func:`co_ratings` gives the pair rows themselves, for bounded inputs such
 as given users; a hot item's raters are split there into blocks on both
@@ -19,13 +18,18 @@ sides of the join (a salt).
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Iterable, Iterator, Sequence
 
-from pyspark.sql import DataFrame, SparkSession, Window
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
+from rateflow.operators.ordering import number_rows
+from rateflow.operators.overlap import Block, pair_sums
 from rateflow.operators.salting import salted_join
-from rateflow.session import write_and_read
+from rateflow.session import map_batches, write_and_read
 
 # Items with more raters than this are salted (see module doc).
 DEFAULT_SALT_ABOVE = 20_000
@@ -88,121 +92,149 @@ def sums_from_pairs(pairs: DataFrame, by: Sequence[str] = (), min_common: int =
     return agg
 
 
-# Co-rating rows per block pair the block count aims at: it bounds the
-# (u, v) hash table (measured best near 330k rows at sf0.1, B = 33).
-DEFAULT_PAIRS_PER_BLOCK_PAIR = 330_000
+# Users and ratings of a block: what one side of a block pair may hold in a task.
+BLOCK_USERS, BLOCK_RATINGS = 2048, 1_000_000
 
 
-def block_count(ratings: int, pairs: float, pairs_per_block_pair: int = DEFAULT_PAIRS_PER_BLOCK_PAIR) -> int:
-    """Blocks for one key group of ``ratings`` rows and ``pairs`` pair rows.
-
-    ``sqrt(2 * pairs / target)``, but at most ``pairs / ratings``, so that
-    the copies of the ratings stay below the pair rows; past that point a
-    block pair's table grows and may spill.
-    """
-    wanted = math.ceil(math.sqrt(2.0 * pairs / max(1, pairs_per_block_pair)))
-    return max(1, min(wanted, int(pairs // max(1, ratings))))
+def block_count(users: int, ratings: int, cores: int = 1) -> int:
+    """Blocks for one key group: at most about ``BLOCK_USERS`` users and
+    ``BLOCK_RATINGS`` ratings in each, and a few block pairs for every core."""
+    return max(1, -(-users // BLOCK_USERS), -(-ratings // BLOCK_RATINGS),
+               min(users, math.ceil(math.sqrt(4.0 * cores))))
 
 
-def placement_keys(spark: SparkSession, partitions: int) -> list[int]:
-    """For each partition a number that hash partitioning sends there.
+def user_vectors(ratings: DataFrame, by: Sequence[str] = (), min_common: int = 1) -> DataFrame:
+    """``*by, user_id, items, values``: per user the ratings in one global order of
+    the items, the rarest first (ties: lower id).
 
-    Block pairs are dealt out by these, one after the other, so that none
-    of the ``partitions`` gets two while another has none.
+    ``items`` holds the items' places in that order.  The order is joined to the
+    ratings in ``ORDER_SHARES`` shares of an item, so a popular item is no key of its
+    own.  Users with fewer than ``min_common`` ratings cannot reach it and are left out.
     """
-    slot = F.pmod(F.hash("id"), F.lit(partitions))
-    found = dict(spark.range(32 * partitions).groupBy(slot.alias("slot")).agg(F.min("id")).collect())
-    return [found.get(i, i) for i in range(partitions)]
+    counts = ratings.groupBy("item_id").agg(F.count(F.lit(1)).alias("_c"))
+    order = (number_rows(counts.select("item_id", F.struct("_c", "item_id").alias("_o")), "_o", "_place")
+             .select("item_id", "_place", F.explode(F.sequence(F.lit(0), F.lit(ORDER_SHARES - 1))).alias("_share")))
+    share = F.pmod(F.xxhash64("user_id"), F.lit(ORDER_SHARES)).cast("int")
+    entry = F.struct("_place", F.col("rating").cast("double").alias("rating"))
+    return (ratings.select(*by, "user_id", "item_id", "rating", share.alias("_share")).join(order, ["item_id", "_share"])
+            .groupBy(*by, "user_id").agg(F.array_sort(F.collect_list(entry)).alias("_e"))
+            .where(F.size("_e") >= min_common)
+            .select(*by, "user_id", F.col("_e._place").alias("items"), F.col("_e.rating").alias("values")))
+
+
+# Shares of one item's ratings when its place in the order is looked up.
+ORDER_SHARES = 32
 
 
-def block_sides(ratings: DataFrame, blocks: int, by: Sequence[str] = (),
-                partitions: int | None = None) -> tuple[DataFrame, DataFrame, int]:
-    """The two sides of the block-pair join, partitioned by block pair.
+def block_pairs(vectors: DataFrame, blocks: int, partitions: int, by: Sequence[str] = ()) -> DataFrame:
+    """``*by, p, q, side, user_id, items, values``: each user's vector in all block
+    pairs of its block, sorted so that a task has one block pair after the other.
 
-    A rating of a user in block b goes left to the block pairs (b, q >= b)
-    and right to (p <= b, b).  The column ``place`` sends the pairs of a key
-    group to consecutive partitions.  Returns ``(left, right, partitions)``.
+    A block pair goes to the partition of its number (``repartitionById``), so
+    consecutive pairs go to different partitions, whatever their count.
     """
     by = list(by)
-    spark = ratings.sparkSession
-    # At least the session's shuffle partitions: with fewer, the planner
-    # re-shuffles both sides on all join keys to gain parallelism.
-    nparts = max(partitions or max(1, blocks * (blocks + 1) // 2),
-                 int(spark.conf.get("spark.sql.shuffle.partitions")))
-    keys = F.lit(placement_keys(spark, nparts)).cast("array<bigint>")
+    own = F.pmod(F.xxhash64("user_id"), F.lit(blocks)).cast("int")
+    p, q = F.least("_b", "_o"), F.greatest("_b", "_o")
+    copies = (vectors.withColumn("_b", own).withColumn("_o", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
+              .select(*by, p.alias("p"), q.alias("q"), (F.col("_b") != p).alias("side"), "user_id", "items", "values"))
     # Number of the pair (p, q >= p), row by row.
     number = F.expr(f"p * {blocks}L - (p * (p - 1)) div 2 + (q - p)")
-    group = F.xxhash64(*by) if by else F.lit(0).cast("bigint")
-    place = F.element_at(keys, (F.pmod(F.pmod(group, F.lit(nparts)) + number, F.lit(nparts)) + 1).cast("int"))
-    own = F.pmod(F.xxhash64("user_id"), F.lit(blocks)).cast("int")
-    base = ratings.select(*by, "item_id", "user_id", "rating", own.alias("_b"))
-    left = base.select(*by, "item_id", F.col("user_id").alias("u"), F.col("rating").alias("ru"),
-                       F.col("_b").alias("p"),
-                       F.explode(F.sequence(F.col("_b"), F.lit(blocks - 1))).alias("q"))
-    right = base.select(*by, "item_id", F.col("user_id").alias("v"), F.col("rating").alias("rv"),
-                        F.explode(F.sequence(F.lit(0), F.col("_b"))).alias("p"),
-                        F.col("_b").alias("q"))
-    return (left.withColumn("place", place).repartition(nparts, "place"),
-            right.withColumn("place", place).repartition(nparts, "place"), nparts)
-
-
-# Planner setting under which the join keeps the partitioning by ``place``.
-CO_PARTITION_ON_BLOCKS = {"spark.sql.requireAllClusterKeysForCoPartition": "false"}
+    group = F.pmod(F.xxhash64(*by), F.lit(partitions)) if by else F.lit(0)
+    return (copies.withColumn("_id", F.pmod(group + number, F.lit(partitions)).cast("int"))
+            .repartitionById(partitions, "_id").sortWithinPartitions(*by, "p", "q", "side", "user_id").drop("_id"))
 
 
 def block_pair_sums(ratings: DataFrame, blocks: int, by: Sequence[str] = (),
                     min_common: int = 1, partitions: int | None = None) -> DataFrame:
-    """Per-pair sums with the aggregation done where the pairs are formed.
-
-    Users are hashed into ``blocks`` blocks (:func:`block_sides`).  Both
-    sides are partitioned by block pair; the equi-join on ``(*by, place, p,
-    q, item_id)`` and the ``(u, v)`` aggregate then run in the same task, so
-    pair rows are never shuffled, only the ratings (about ``blocks/2 + 1``
-    copies).  Off the diagonal every unordered pair is formed once; on it,
-    ``u < v``.  A hot item's raters are spread over all block pairs, and a
-    hot user's pairs are linear in its ratings.
-
-    The join keeps that partitioning only with
-    ``spark.sql.requireAllClusterKeysForCoPartition=false``.  The sums are
-    computed at once under it and written as a parquet table in the
-    checkpoint directory (the lineage cut), and the session's value is
-    restored.  Without a checkpoint directory this is an error.  Sums of half-star ratings are exact in any order;
-    others can differ in the last bits with the order of rows.
+    """``*by, u, v, dot, s1, s2, n`` (u < v, n >= ``min_common``), the sums being
+    formed where the block pairs lie.
+
+    Users are hashed into ``blocks`` blocks and each user's vector is copied to the
+    ``blocks`` block pairs of its block; pair rows are never shuffled.  A task
+    takes its block pairs one after the other (:mod:`rateflow.operators.overlap`),
+    so its memory is that of two blocks and the number of partitions follows the
+    cluster, not the number of block pairs.  One rating per (user, item) is expected.
+    Sums of half-star ratings are exact in any order; others can differ in the last bits.
+
+    The result is a parquet table in the checkpoint directory (the lineage cut).
     """
     by = list(by)
-    left, right, _ = block_sides(ratings, blocks, by, partitions)
-    pairs = (left.join(right, [*by, "place", "p", "q", "item_id"])
-             .filter((F.col("p") < F.col("q")) | (F.col("u") < F.col("v"))))
-    agg = pairs.groupBy(*by, "place", "p", "q", "u", "v").agg(*_sum_aggs("ru", "rv"))
-    if min_common > 1:
-        agg = agg.filter(F.col("n") >= F.lit(min_common))
-    lower = F.col("u") < F.col("v")
-    out = agg.select(
-        *by,
-        F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v"), "dot",
-        F.when(lower, F.col("s1")).otherwise(F.col("s2")).alias("s1"),
-        F.when(lower, F.col("s2")).otherwise(F.col("s1")).alias("s2"),
-        "n")
-    return write_and_read(out, "co_rating_sums", CO_PARTITION_ON_BLOCKS)
+    spark = ratings.sparkSession
+    pairs = blocks * (blocks + 1) // 2
+    slots = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    rows = block_pairs(user_vectors(ratings, by, min_common), blocks, min(slots, pairs) if not by else slots, by)
+    schema = StructType([*(rows.schema[c] for c in by), *StructType.fromDDL(
+        "u long, v long, dot double, s1 double, s2 double, n long").fields])
+    n_by = len(by)
+
+    def sums(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for (*group, p, q), sides in _block_pairs(batches, n_by):
+            left = sides.get(False)
+            right = left if p == q else sides.get(True)
+            if left is None or right is None:
+                continue
+            u, v, *columns = pair_sums(left, right, min_common, same=right is left)
+            yield pa.RecordBatch.from_arrays(
+                [*(pa.repeat(x, len(u)) for x in group), *(pa.array(c) for c in (np.minimum(u, v), np.maximum(u, v), columns[0],
+                                                  np.where(u < v, columns[1], columns[2]),
+                                                  np.where(u < v, columns[2], columns[1]), columns[3]))],
+                names=[*by, "u", "v", "dot", "s1", "s2", "n"])
+
+    return write_and_read(map_batches(rows, sums, schema), "co_rating_sums")
+
+
+def _block_pairs(batches: Iterable[pa.RecordBatch], n_by: int) -> Iterator[tuple[tuple, dict]]:
+    """The two sides of each block pair of rows ``*by, p, q, side, user_id, items, values``."""
+    rows: list[pa.RecordBatch] = []
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        keys = [batch.column(i).to_numpy(zero_copy_only=False) for i in range(n_by + 2)]
+        new = np.zeros(batch.num_rows - 1, dtype=bool)
+        for k in keys:
+            new |= k[1:] != k[:-1]
+        cuts = [0, *(np.flatnonzero(new) + 1).tolist(), batch.num_rows]
+        for start, end in zip(cuts, cuts[1:]):
+            if rows and _pair_key(rows[-1], n_by) != _pair_key(batch.slice(start, 1), n_by):
+                yield _pair_key(rows[0], n_by), _sides(rows, n_by)
+                rows = []
+            rows.append(batch.slice(start, end - start))
+    if rows:
+        yield _pair_key(rows[0], n_by), _sides(rows, n_by)
+
+
+def _pair_key(batch: pa.RecordBatch, n_by: int) -> tuple:
+    return tuple(batch.column(i)[0] for i in range(n_by + 2))
+
+
+def _sides(rows: list[pa.RecordBatch], n_by: int) -> dict[bool, Block]:
+    table = pa.Table.from_batches(rows).combine_chunks()
+    side = table.column(n_by + 2).to_numpy()
+    out: dict[bool, Block] = {}
+    for at in np.unique(side):
+        own = table.filter(pa.array(side == at)).combine_chunks()
+        lists = own.column(n_by + 4).chunk(0)
+        out[bool(at)] = Block(own.column(n_by + 3).to_numpy(), np.diff(lists.offsets.to_numpy()),
+                              lists.flatten().to_numpy(), own.column(n_by + 5).chunk(0).flatten().to_numpy())
+    return out
 
 
 def co_rating_sums(ratings: DataFrame, by: Sequence[str] = (), min_common: int = 1,
-                   blocks: int | None = None,
-                   pairs_per_block_pair: int = DEFAULT_PAIRS_PER_BLOCK_PAIR) -> DataFrame:
+                   blocks: int | None = None) -> DataFrame:
     """``*by, u, v, dot, s1, s2, n`` over co-rated items, u < v.
 
-    One small job over per-item rater counts gives R, P and the number of
+    One small job over per-user counts gives the numbers of users, ratings and
     key groups; :func:`block_count` follows from them.
     """
-    per_item = ratings.groupBy(*by, "item_id").agg(F.count(F.lit(1)).alias("c"))
+    spark = ratings.sparkSession
+    per_user = ratings.groupBy(*by, "user_id").agg(F.count(F.lit(1)).alias("c"))
     groups = F.count_distinct(*[F.col(c) for c in by]) if by else F.lit(1)
-    row = per_item.agg(F.sum("c").alias("r"),
-                       F.sum(F.col("c") * (F.col("c") - 1) / 2).alias("p"),
-                       groups.alias("g")).first()
+    row = per_user.agg(F.count(F.lit(1)).alias("u"), F.sum("c").alias("r"), groups.alias("g")).first()
     g = max(1, int(row["g"] or 1))
-    r, p = int(row["r"] or 0) / g, float(row["p"] or 0.0) / g
-    b = blocks or block_count(math.ceil(r), p, pairs_per_block_pair)
-    return block_pair_sums(ratings, b, by, min_common, partitions=b * (b + 1) // 2 * g)
+    cores = -(-spark.sparkContext.defaultParallelism // g)
+    b = blocks or block_count(-(-int(row["u"]) // g), -(-int(row["r"] or 0) // g), cores)
+    return block_pair_sums(ratings, b, by, min_common)
 
 
 def similarity_from_sums(sums: DataFrame, by: Sequence[str] = ()) -> DataFrame:
@@ -221,11 +253,6 @@ def user_similarity(ratings: DataFrame, by: Sequence[str] = (), min_common: int
     Norms run over the co-rated items only.  Pairs with no common item are
     not formed; they would have similarity 0.0 and count 0.
     """
-    if min_common > 1:
-        # A user with fewer ratings than min_common cannot reach it.
-        active = (ratings.groupBy(*by, "user_id").agg(F.count(F.lit(1)).alias("_c"))
-                  .filter(F.col("_c") >= F.lit(min_common)).select(*by, "user_id"))
-        ratings = ratings.join(active, [*by, "user_id"], "left_semi")
     return similarity_from_sums(co_rating_sums(ratings, by, min_common), by)
 
 

@@ -64,6 +64,19 @@ def checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> str:
     return sc.getCheckpointDir() or target
 
 
+def map_batches(df: DataFrame, fn, schema) -> DataFrame:
+    """``df.mapInArrow(fn, schema)`` with this package on the workers' path.
+
+    A cluster ships the package (``--py-files``); where the driver's own copy
+    is visible to the workers (local runs), it is found without that.
+    """
+    env = df.sparkSession.sparkContext.environment
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    if root not in env.get("PYTHONPATH", "").split(os.pathsep):
+        env["PYTHONPATH"] = os.pathsep.join(x for x in (env.get("PYTHONPATH"), root) if x)
+    return df.mapInArrow(fn, schema)
+
+
 def sf_path(sf_dir: str, table: str) -> str:
     return os.path.join(sf_dir, f"{table}.parquet")
 

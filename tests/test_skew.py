@@ -49,73 +49,88 @@ def test_salted_join_splits_hot_item(spark, subset_copartition):
 
 
 def test_block_pairs_spread_hot_item(spark):
-    from rateflow.operators.similarity import block_sides
+    """Block pairs meet each user pair once, and their shares are even."""
+    from rateflow.operators.similarity import block_pairs, user_vectors
 
     r = ratings_df(spark, hot_item_ratings())
-    left, right, _ = block_sides(r, 6)
-    pairs = (left.join(right, ["p", "q", "item_id"])
-             .filter((F.col("p") < F.col("q")) | (F.col("u") < F.col("v"))))
-    per = pairs.groupBy("p", "q").count().collect()
-    total = sum(x["count"] for x in per)
-    assert total == co_ratings(r, salt_above=None).count()
-    assert len(per) == 21 and max(x["count"] for x in per) / total < 0.15
+    rows = block_pairs(user_vectors(r), 6, 8)
+    pairs = rows.groupBy("p", "q", "side").count().collect()
+    size = {(x["p"], x["q"], x["side"]): x["count"] for x in pairs}
+    formed = {(p, q): size[p, q, False] * (size[p, q, True] if p < q else (size[p, q, False] - 1) / 2)
+              for p, q, side in size if not side}
+    assert len(formed) == 21 and sum(formed.values()) == 240 * 239 / 2
+    assert max(formed.values()) / sum(formed.values()) < 0.15
     sums = block_pair_sums(r, blocks=6)
-    assert sums.agg(F.sum("n")).first()[0] == total
+    assert sums.agg(F.sum("n")).first()[0] == co_ratings(r, salt_above=None).count()
 
 
-def test_block_pairs_leave_session_conf_alone(spark):
-    key = "spark.sql.requireAllClusterKeysForCoPartition"
-    before = spark.conf.get(key)
-    r = ratings_df(spark, hot_item_ratings(n_users=30))
-    sums = block_pair_sums(r, blocks=3)
-    assert spark.conf.get(key) == before
-    assert sums.count() > 0
+def test_partitions_follow_the_cluster_not_the_block_pairs(spark):
+    """Any number of block pairs is dealt evenly to a given number of partitions."""
+    from rateflow.operators.similarity import block_pairs, user_vectors
+
+    r = ratings_df(spark, hot_item_ratings())
+    rows = block_pairs(user_vectors(r), 20, 7).withColumn("pid", F.spark_partition_id())
+    per = rows.groupBy("pid").agg(F.count_distinct("p", "q").alias("n")).collect()
+    assert len(per) == 7 and all(x["n"] == 30 for x in per)     # 210 pairs
+    assert rows.groupBy("p", "q").agg(F.count_distinct("pid").alias("n")).where("n > 1").count() == 0
+    many, few = (block_pair_sums(r, b, partitions=n) for b, n in ((20, 7), (3, 2)))
+    assert rows_of(many) == rows_of(few)
 
 
-def test_block_pair_plan_shuffles_ratings_only(spark):
-    # Under the scoped setting the join and the (u, v) aggregate reuse the
-    # partitioning by place: the only exchanges are the two explicit ones.
+def test_block_pairs_shuffle_vectors_only(spark):
+    """No join or aggregate follows the block pairs; no exchange is by item."""
     import contextlib
     import io
 
-    from rateflow.operators.similarity import CO_PARTITION_ON_BLOCKS, block_sides
+    from rateflow.operators.similarity import block_pairs, user_vectors
     from rateflow.session import scoped_conf
 
     r = ratings_df(spark, hot_item_ratings(n_users=30))
-    left, right, _ = block_sides(r, 3)
-    agg = (left.join(right, ["place", "p", "q", "item_id"])
-           .groupBy("place", "p", "q", "u", "v").count())
-    settings = dict(CO_PARTITION_ON_BLOCKS, **{"spark.sql.autoBroadcastJoinThreshold": "-1"})
-    with scoped_conf(spark, settings):
+    with scoped_conf(spark, {"spark.sql.autoBroadcastJoinThreshold": "-1"}):
         buf = io.StringIO()
         with contextlib.redirect_stdout(buf):
-            agg.explain()
+            block_pairs(user_vectors(r), 3, 4).explain()
     plan = buf.getvalue()
-    assert plan.count("Exchange") == 2 and plan.count("REPARTITION_BY_NUM") == 2
+    first = plan.index("shufflepartitionidpassthrough")
+    assert "Join" not in plan[:first] and "Aggregate" not in plan[:first]
+    keys = [line for line in plan.splitlines() if "Exchange hashpartitioning(item_id" in line]
+    assert keys and all("_share" in line for line in keys)
 
 
-def test_block_pairs_get_a_partition_each(spark):
-    """A hot item's pairs: no task holds twice the mean, and none two block pairs."""
-    from rateflow.operators.similarity import block_sides, placement_keys
+def test_hot_item_is_looked_up_in_shares(spark):
+    from rateflow.operators.similarity import ORDER_SHARES, user_vectors
 
-    n = 21
-    keys = spark.createDataFrame([(k,) for k in placement_keys(spark, n)], "k long")
-    assert sorted(r[0] for r in keys.select(F.pmod(F.hash("k"), F.lit(n))).collect()) == list(range(n))
     r = ratings_df(spark, hot_item_ratings())
-    left, _, parts = block_sides(r, 6, partitions=n)
-    rows = left.withColumn("pid", F.spark_partition_id()).groupBy("pid").agg(
-        F.count("*").alias("n"), F.count_distinct("p", "q").alias("pairs")).collect()
-    assert parts == len(rows) == n and all(x["pairs"] == 1 for x in rows)
-    assert max(x["n"] for x in rows) <= 2 * sum(x["n"] for x in rows) / n
+    vectors = {x["user_id"]: (x["items"], x["values"]) for x in user_vectors(r).collect()}
+    counts = {}
+    for _, i, _ in hot_item_ratings():
+        counts[i] = counts.get(i, 0) + 1
+    order = {i: n + 1 for n, i in enumerate(sorted(counts, key=lambda i: (counts[i], i)))}
+    want = {}
+    for u, i, x in hot_item_ratings():
+        want.setdefault(u, []).append((order[i], x))
+    assert vectors == {u: tuple(map(list, zip(*sorted(e)))) for u, e in want.items()}
+    assert ORDER_SHARES > 1 and all(items[-1] == max(order.values()) for items, _ in vectors.values())
 
 
 def test_block_count_follows_the_counts():
-    """One formula for small and for 100 times larger counts: no other plan, no cap."""
-    from rateflow.operators.similarity import block_count
-
-    assert block_count(586_871, 172_229_701) == 33
-    assert block_count(58_687_100, 17_222_970_100) == 293     # copies of ratings stay below the pair rows
-    assert block_count(10, 3) == 1 and block_count(0, 0.0) == 1
+    from rateflow.operators.similarity import BLOCK_RATINGS, BLOCK_USERS, block_count
+
+    for users, ratings in ((14_999, 586_871), (1_499_900, 58_687_100), (10_000, 10**9)):
+        b = block_count(users, ratings, 8)
+        assert users / b <= BLOCK_USERS and ratings / b <= BLOCK_RATINGS
+    assert block_count(10, 100, 8) == 6 and block_count(3, 100, 8) == 3 and block_count(0, 0) == 1
+
+
+def test_sums_keep_their_groups_apart(spark):
+    """Two seeds in one job equal two jobs, also with null and text keys."""
+    r = ratings_df(spark, hot_item_ratings(n_users=60))
+    both = r.withColumn("seed", F.explode(F.array(F.lit(1), F.lit(2)))).where("seed = 1 OR user_id % 3 > 0")
+    got = block_pair_sums(both.withColumn("name", F.when(F.col("seed") == 1, "a")), 4, ("seed", "name"), 1, partitions=3)
+    for seed, part in ((1, r), (2, r.where("user_id % 3 > 0"))):
+        own = got.where(F.col("seed") == seed)
+        assert own.where(F.col("name").isNull() == (F.col("seed") == 1)).count() == 0
+        assert rows_of(own.drop("seed", "name")) == rows_of(block_pair_sums(part, 2))
 
 
 def test_sums_do_not_depend_on_the_blocks_for_any_ratings(spark):
