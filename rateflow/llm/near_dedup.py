@@ -22,8 +22,8 @@ are rooted again in as many more trees as let a pair at the threshold meet at th
 depth of their deepest path with the chance ``TARGET``.
 
 What the signatures let pass (an estimate of at least ``LEAST``, more than
-four standard errors below the threshold: one link at the threshold in about
-70,000 is lost here) is confirmed on the full sets.  A
+three standard errors below the threshold: about one link in 1,600 at exactly the
+threshold is lost here, fewer above it) is confirmed on the full sets.  A
 node with very many such pairs first offers a maximum spanning forest of them;
 once the components of those links are known, its pairs between different
 components are confirmed inside the node, where each full set is sent once, so
@@ -64,7 +64,7 @@ LIMIT = 1024
 LEVELS = 3     # levels that a large node is branched at a time
 MAX_DEPTH = 25
 COORDINATES = 128
-LEAST = 0.58
+LEAST = 0.62
 SPARSE = 2     # pairs per document up to which a node offers them all
 
 
