@@ -15,7 +15,6 @@ import os
 import re
 import sys
 import time
-import uuid
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
@@ -47,7 +46,7 @@ def main() -> None:
     names = [n for n in os.environ.get("BENCH_QUERIES", "").split(",") if n] or HEADLINE
 
     from rateflow.plans.catalog import QUERIES
-    from rateflow.session import build_session, checkpoint_dir
+    from rateflow.session import build_session, checkpoint_dir, scratch
 
     extra = {"spark.driver.memory": os.environ.get("BENCH_DRIVER_MEMORY", "20g"),
              "spark.sql.files.maxPartitionBytes": str(64 * 1024 * 1024)}
@@ -59,9 +58,10 @@ def main() -> None:
     checkpoint_dir(spark)
 
     def run(name: str, d: str) -> float:
-        t0 = time.perf_counter()
-        QUERIES[name](spark, d).write.format("noop").mode("overwrite").save()
-        return time.perf_counter() - t0
+        with scratch(spark):    # tables that the query has written go with it
+            t0 = time.perf_counter()
+            QUERIES[name](spark, d).write.format("noop").mode("overwrite").save()
+            return time.perf_counter() - t0
 
     # Warm the JVM (class loading, codegen) on the smallest tables; not timed.
     small = re.sub(r"sf[0-9.]+/?$", "sf0.001", sf_dir.rstrip("/"))
@@ -90,41 +90,37 @@ def main() -> None:
 def file_check(spark, sf_dir: str, times: dict) -> dict:
     """The original order-and-value check over a rating CSV file.
 
-    The files hold the rating view, sorted by (user, item) as the original
-    rating file is and repeated with shifted user ids (``BENCH_FILE_COPIES``,
+    The files hold a header and the rating view, sorted by (user, item) as the
+    original rating file is and repeated with shifted user ids (``BENCH_FILE_COPIES``,
     default 34: 20 million lines at sf0.1); writing them is not timed.  The
     check (line numbers, order flags, offenders, value counts, last row) is
     timed from a cold cache.
     """
     from pyspark.sql import functions as F
 
-    from rateflow.operators.quality import check_file_order
-    from rateflow.session import checkpoint_dir
-    from rateflow.sources import read_rating_lines, tpch_ratings
+    from rateflow.operators.file_order import file_order
+    from rateflow.session import scratch_path
+    from rateflow.sources import tpch_ratings, write_ratings
 
-    out = f"{checkpoint_dir(spark)}/rateflow-bench/{uuid.uuid4().hex}"
+    out = scratch_path(spark, "bench_file")
     copies = int(os.environ.get("BENCH_FILE_COPIES", "34"))
     one = tpch_ratings(spark, sf_dir)
     shift = int(one.agg(F.max("user_id")).first()[0] or 0)
     many = (one.withColumn("copy", F.explode(F.sequence(F.lit(0), F.lit(copies - 1))))
             .withColumn("user_id", F.col("user_id") + F.col("copy") * shift))
-    (many.repartitionByRange(64, "user_id", "item_id").sortWithinPartitions("user_id", "item_id")
-     .select(F.format_string("%d,%d,%.1f", "user_id", "item_id", "rating").alias("value"))
-     .write.text(out))
+    write_ratings(many, out, "csv", in_order=True, header=True)
     spark.catalog.clearCache()
     t0 = time.perf_counter()
-    res = check_file_order(read_rating_lines(spark, out))
-    flags = res["flags"].first()
-    res["values"].collect()
-    res["user_steps"].count()
-    res["item_order"].count()
+    found = file_order(spark, out)
+    facts = found["facts"].first()
+    found["values"].collect()
+    found["user_steps"].count()
+    found["item_order"].count()
     dt = time.perf_counter() - t0
-    res["lines"].unpersist()
-    res["rows"].unpersist()
     times["file_order_check"] = round(dt, 3)
-    print(f"# file_order_check: {dt:.3f}s over {flags['n_rows']} lines", file=sys.stderr, flush=True)
-    return {"file_check_lines": int(flags["n_rows"]),
-            "file_check_lines_per_sec": round(flags["n_rows"] / dt)}
+    print(f"# file_order_check: {dt:.3f}s over {facts['n_lines']} lines", file=sys.stderr, flush=True)
+    return {"file_check_lines": int(facts["n_lines"]),
+            "file_check_lines_per_sec": round(facts["n_lines"] / dt)}
 
 
 if __name__ == "__main__":

@@ -237,6 +237,13 @@ def co_rating_sums(ratings: DataFrame, by: Sequence[str] = (), min_common: int =
     return block_pair_sums(ratings, b, by, min_common)
 
 
+def aligned_sums(ratings: DataFrame, min_common: int = 1) -> DataFrame:
+    """:func:`co_rating_sums` of ratings that repeat a (user, item), numbered by
+    ``occurrence``: the first rating of u meets the first of v, the second the
+    second, and what one of them has more of meets none (a merge of the two lists)."""
+    return co_rating_sums(ratings.withColumn("item_id", F.struct("item_id", "occurrence")), (), min_common)
+
+
 def similarity_from_sums(sums: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     return sums.select(*by, "u", "v", _cosine(F.col("dot"), F.col("s1"), F.col("s2")).alias("sim"), "n")
 

@@ -10,6 +10,7 @@ rating distribution of one item, the recommendations of one user).
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,6 +18,7 @@ from pyspark.sql import functions as F
 from rateflow.operators import als, quality, sampling
 from rateflow.operators.aggregates import item_counts, item_stats, user_histories, user_means
 from rateflow.operators.evaluate import best_setting, errors, errors_of, mean_over_seeds
+from rateflow.operators.file_order import file_order
 from rateflow.operators.ordering import number_rows
 from rateflow.operators.predict import knn_errors_by_k, predict_mean, predict_user_knn
 from rateflow.operators.recommend import (
@@ -26,22 +28,28 @@ from rateflow.operators.recommend import (
     unrated_items,
 )
 from rateflow.operators.similarity import (
+    aligned_sums,
     co_ratings,
     directed,
     neighbours_for_users,
     top_neighbours,
     user_similarity,
 )
-from rateflow.session import write_and_read
+from rateflow.session import scratch_path, write_and_read
 from rateflow.sources import (
+    build_once,
     event_rows,
+    import_ratings,
     item_genres,
     parse_item_lines,
     parse_rating_lines,
     tpch_items,
     tpch_items_with_genres,
+    tpch_rating_lines,
     tpch_ratings,
     tpch_users,
+    write_ratings,
+    write_shelves,
 )
 
 # Parameters of the registered queries (the library defaults are the full
@@ -64,7 +72,7 @@ ALS_SEEDS = tuple(range(10))
 ALS_GRID_SEEDS = (0, 1)     # of the two grids; see the README for the time of a fit
 ALS_FINAL_SEED = 9
 ALS_MIN_COUNT = 20
-SAMPLE_USERS, SAMPLE_ITEMS, SAMPLE_MIN, SAMPLE_SEED = 300, 60, 20, 1
+SAMPLE_USERS, SAMPLE_ITEMS, SAMPLE_MIN, SAMPLE_SEED = 3000, 10_000, 20, 1   # all ids, if fewer
 PREDICT_MIN = 20
 DIGITS = 6
 
@@ -110,8 +118,9 @@ def q_overall_mean(spark, d):
     return quality.overall_mean(quality.rating_distribution(_r(spark, d)))
 
 
-def _rating_lines(spark, d):
-    """The rating view as text lines; five in eleven are spoilt by the ids."""
+def _spoilt_lines(spark, d):
+    """``user_id, item_id, value``: the rating view as text lines; five in eleven
+    are spoilt by the ids."""
     u, i, good = F.col("user_id"), F.col("item_id"), F.format_string("%d,%d,%.1f", "user_id", "item_id", "rating")
     which = (u * 31 + i) % 11
     spoilt = [F.format_string("%d", u), F.format_string("%d,x,nan", u), F.format_string("%d,%d,nan", u, i),
@@ -119,7 +128,11 @@ def _rating_lines(spark, d):
     value = F.lit(None).cast("string")
     for n, line in enumerate(spoilt):
         value = F.when(which == n, line).otherwise(value)
-    return _r(spark, d).select(F.coalesce(value, good).alias("value"))
+    return _r(spark, d).select("user_id", "item_id", F.coalesce(value, good).alias("value"))
+
+
+def _rating_lines(spark, d):
+    return _spoilt_lines(spark, d).select("value")
 
 
 def q_parsed_ratings(spark, d):
@@ -140,6 +153,70 @@ def q_parsed_items(spark, d):
     return parse_item_lines(lines).select("item_id", "title", F.size("genres").alias("n_genres"))
 
 
+def _rating_file(spark, d):
+    """The rating view as text files sorted by user and item, with a header line;
+    five lines in eleven are spoilt."""
+    path = scratch_path(spark, "rating_file")
+    write_ratings(_spoilt_lines(spark, d), path, "csv", in_order=True, header=True)
+    return path
+
+
+def q_file_order_facts(spark, d):
+    """The order check of a rating file, with the rows per rating as one text."""
+    found = file_order(spark, _rating_file(spark, d))
+    text = F.format_string("%.1f:%d", "rating", "n")
+    values = found["values"].agg(F.array_join(F.array_sort(F.collect_list(text)), ",")).scalar()
+    return found["facts"].withColumn("rating_counts", values)
+
+
+def q_file_order_offenders(spark, d):
+    found = file_order(spark, _rating_file(spark, d))
+    return (found["user_steps"].select(F.lit("step").alias("kind"), F.col("prev_user_id").alias("before"),
+                                       F.col("user_id").alias("own"), "line")
+            .unionAll(found["item_order"].select(F.lit("item"), "prev_item_id", "item_id", "line")))
+
+
+def _import(spark, d):
+    """The spoilt lines in one folder per user modulo 4, imported from there."""
+    path = scratch_path(spark, "rating_shelves")
+    write_shelves(_spoilt_lines(spark, d).withColumn("shelf", F.col("user_id") % 4), path, "shelf")
+    return import_ratings(spark, path, scratch_path(spark, "imported"))
+
+
+def _shelf():
+    return F.regexp_extract("file", r"shelf=(\d+)", 1).cast("long").alias("shelf")
+
+
+def q_imported_ratings(spark, d):
+    return _import(spark, d).ratings.select(_shelf(), "user_id", "item_id", "rating")
+
+
+def q_import_counts(spark, d):
+    """Lines, accepted and rejected ones per folder, and the counters observed in the pass."""
+    done = _import(spark, d)
+    lines = (done.ratings.select(_shelf(), F.lit(True).alias("ok"))
+             .unionAll(done.rejects.select(_shelf(), F.lit(False))))
+    return lines.groupBy("shelf").agg(
+        F.count(F.lit(1)).alias("lines"), F.count_if("ok").alias("accepted"), F.count_if(~F.col("ok")).alias("rejected"),
+        *[F.lit(n).cast("long").alias(f"all_{name}") for name, n in sorted(done.counts.items())])
+
+
+def q_built_once(spark, d):
+    """Builds and reuses of one table: equal rows in any order are reused, another
+    parameter or input is built anew."""
+    root, r = scratch_path(spark, "built"), write_and_read(_r(spark, d), "ratings")
+    fewer = r.filter(F.col("user_id") != F.lit(USER))
+    calls = [("first", r, SAMPLE_MIN), ("same", r, SAMPLE_MIN), ("reordered", r.orderBy("rating"), SAMPLE_MIN),
+             ("parameter", r, SAMPLE_MIN + 1), ("input", fewer, SAMPLE_MIN), ("input again", fewer, SAMPLE_MIN)]
+    rows = []
+    for step, table, least in calls:
+        made = build_once(spark, root, "active", lambda t=table, m=least: sampling.min_activity(t, m),
+                          [table], {"min_count": least})
+        rows.append(made.table.agg(F.lit(step).alias("step"), F.lit(made.built).alias("built"),
+                                   F.count(F.lit(1)).alias("n_rows"), F.sum("rating").alias("total")))
+    return reduce(DataFrame.unionAll, rows)
+
+
 def q_rating_order_check(spark, d):
     """The order check on the ratings sorted by user and item."""
     key = F.shiftleft("user_id", 32) + F.col("item_id")
@@ -207,7 +284,7 @@ def q_restrict_ratings(spark, d):
 
 
 def q_min_activity(spark, d):
-    return sampling.min_activity(_restricted(spark, d), SAMPLE_MIN)
+    return sampling.min_activity(_r(spark, d), SAMPLE_MIN)
 
 
 def q_dense_user_ids(spark, d):
@@ -289,6 +366,10 @@ def q_co_rating_pairs(spark, d):
     return co_ratings(_r(spark, d))
 
 
+def q_co_ratings_with_duplicates(spark, d):
+    return aligned_sums(tpch_rating_lines(spark, d), MIN_COMMON)
+
+
 def q_user_similarity(spark, d):
     return user_similarity(_r(spark, d))
 
@@ -413,6 +494,11 @@ QUERIES: dict[str, Query] = {
     "rejected_ratings": q_rejected_ratings,
     "parsed_items": q_parsed_items,
     "rating_order_check": q_rating_order_check,
+    "file_order_facts": q_file_order_facts,
+    "file_order_offenders": q_file_order_offenders,
+    "imported_ratings": q_imported_ratings,
+    "import_counts": q_import_counts,
+    "built_once": q_built_once,
     "item_activity_histogram": q_item_activity_histogram,
     "user_activity_histogram": q_user_activity_histogram,
     "item_rating_distribution": q_item_rating_distribution,
@@ -459,6 +545,7 @@ QUERIES: dict[str, Query] = {
     "als_recommendations": q_als_recommendations,
     # Whole pair sets, the largest outputs (about 1.1M, 2.2M and 11.8M rows
     # at sf0.01), last.
+    "co_ratings_with_duplicates": q_co_ratings_with_duplicates,
     "user_similarity": q_user_similarity,
     "directed_similarity": q_directed_similarity,
     "co_rating_pairs": q_co_rating_pairs,

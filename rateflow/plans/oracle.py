@@ -205,6 +205,15 @@ def _sample(table: str, col: str, n: int) -> str:
             f"ORDER BY {_hash(str(C.SAMPLE_SEED), col)}, {col} LIMIT {n}")
 
 
+def _active(src: str) -> list[str]:
+    return [f"""kept AS (
+  SELECT * FROM {src}
+  WHERE user_id IN (SELECT user_id FROM {src} GROUP BY user_id HAVING count(*) >= {C.SAMPLE_MIN}))""",
+            """ids AS (
+  SELECT user_id, CAST(dense_rank() OVER (ORDER BY user_id) AS BIGINT) AS new_id
+  FROM (SELECT DISTINCT user_id FROM kept) d)"""]
+
+
 _SAMPLE_CTES = [
     RATINGS, ITEMS,
     "users AS (SELECT c_custkey AS user_id FROM customer)",
@@ -213,13 +222,9 @@ _SAMPLE_CTES = [
     """restricted AS (
   SELECT user_id, item_id, rating FROM ratings
   WHERE user_id IN (SELECT user_id FROM su) AND item_id IN (SELECT item_id FROM si))""",
-    f"""kept AS (
-  SELECT * FROM restricted
-  WHERE user_id IN (SELECT user_id FROM restricted GROUP BY user_id HAVING count(*) >= {C.SAMPLE_MIN}))""",
-    """ids AS (
-  SELECT user_id, CAST(dense_rank() OVER (ORDER BY user_id) AS BIGINT) AS new_id
-  FROM (SELECT DISTINCT user_id FROM kept) d)""",
+    *_active("restricted"),
 ]
+_ACTIVE_CTES = [RATINGS, *_active("ratings")]
 
 
 STEP_BAD = "NOT (user_id = prev_user_id OR user_id = prev_user_id + 1)"
@@ -244,6 +249,56 @@ FIELDS = """fields AS (
 VALID = "(user_id IS NOT NULL AND item_id IS NOT NULL AND rating IS NOT NULL AND isfinite(rating))"
 
 
+# The sorted file: a header, then one line per rating; spoilt lines only count.
+FILE_ROWS = """rows_ AS (
+  SELECT user_id, item_id, rating, line FROM (
+    SELECT user_id, item_id, rating, row_number() OVER (ORDER BY user_id, item_id) + 1 AS line FROM ratings) t
+  WHERE (user_id * 31 + item_id) % 11 >= 5)"""
+# Several ratings of one (user, item), numbered in the order of time.
+OCCURRENCES = """lines AS (
+  SELECT o.o_custkey AS user_id, l.l_suppkey AS item_id, CAST(ceil(l.l_quantity / 5) / 2 AS DOUBLE) AS rating,
+         row_number() OVER (PARTITION BY o.o_custkey, l.l_suppkey
+                            ORDER BY l.l_shipdate, l.l_orderkey, l.l_linenumber, l.l_partkey, l.l_quantity) AS occurrence
+  FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey)"""
+
+
+def _files() -> dict[str, str]:
+    least = C.SAMPLE_MIN
+    head = _with(RATINGS, FILE_ROWS, PREV)
+    shelves = _with(RATINGS, LINES.replace("AS value\n", "AS value, user_id % 4 AS shelf\n"),
+                    FIELDS.replace("SELECT value,", "SELECT shelf, value,"),
+                    f"good AS (SELECT *, coalesce({VALID}, false) AS ok FROM fields)")
+
+    def active(src: str, n: int) -> str:
+        return f"""SELECT count(*) AS n_rows, sum(rating) AS total FROM {src}
+  WHERE user_id IN (SELECT user_id FROM {src} GROUP BY user_id HAVING count(*) >= {n})"""
+
+    steps = [("first", True, "ratings", least), ("same", False, "ratings", least), ("reordered", False, "ratings", least),
+             ("parameter", True, "ratings", least + 1), ("input", True, "fewer", least), ("input again", False, "fewer", least)]
+    return {
+        "file_order_facts": head + ORDER_FLAGS.replace("\nFROM prev", f""",
+       (SELECT arg_max(user_id, line) FROM rows_) AS last_user_id, (SELECT max(line) FROM rows_) AS last_line,
+       (SELECT count(*) FROM rows_) AS n_rows, (SELECT count(*) + 1 FROM ratings) AS n_lines,
+       (SELECT string_agg(printf('%.1f:%d', rating, n), ',' ORDER BY rating)
+        FROM (SELECT rating, count(*) AS n FROM rows_ GROUP BY rating) v) AS rating_counts
+FROM prev"""),
+        "file_order_offenders": head + f"""SELECT 'step' AS kind, prev_user_id AS before, user_id AS own, line
+FROM prev WHERE {STEP_BAD} UNION ALL SELECT 'item', prev_item_id, item_id, line FROM prev WHERE {ITEM_BAD}""",
+        "imported_ratings": shelves + "SELECT shelf, user_id, item_id, rating FROM good WHERE ok",
+        "import_counts": shelves + """SELECT shelf, count(*) AS lines, count(*) FILTER (WHERE ok) AS accepted,
+       count(*) FILTER (WHERE NOT ok) AS rejected, (SELECT count(*) FROM good) AS all_lines,
+       (SELECT count(*) FROM good WHERE ok) AS all_accepted, (SELECT count(*) FROM good WHERE NOT ok) AS all_rejected
+FROM good GROUP BY shelf""",
+        "built_once": _with(RATINGS, f"fewer AS (SELECT * FROM ratings WHERE user_id <> {C.USER})") + " UNION ALL ".join(
+            f"SELECT '{step}' AS step, {str(built).lower()} AS built, n_rows, total FROM ({active(src, n)}) x"
+            for step, built, src, n in steps),
+        "co_ratings_with_duplicates": _with(OCCURRENCES) + f"""SELECT a.user_id AS u, b.user_id AS v,
+       sum(a.rating * b.rating) AS dot, sum(a.rating * a.rating) AS s1, sum(b.rating * b.rating) AS s2, count(*) AS n
+FROM lines a JOIN lines b ON a.item_id = b.item_id AND a.occurrence = b.occurrence AND a.user_id < b.user_id
+GROUP BY a.user_id, b.user_id HAVING count(*) >= {C.MIN_COMMON}""",
+    }
+
+
 def _order_checks() -> dict[str, str]:
     head = _with(ROWS, PREV)
     return {
@@ -285,6 +340,7 @@ WHERE s.n > {C.ALS_MIN_COUNT} AND i.item_id NOT IN (SELECT item_id FROM ratings
         "item_rating_distribution": r + f"SELECT rating, count(*) AS n FROM ratings WHERE item_id = {C.ITEM} GROUP BY rating",
         "user_rating_distribution": r + f"SELECT rating, count(*) AS n FROM ratings WHERE user_id = {C.USER} GROUP BY rating",
         **_order_checks(),
+        **_files(),
         "item_catalog": _with(ITEMS) + "SELECT DISTINCT item_id FROM items",
         "items_with_genres": """SELECT item_id, title, CAST(i AS INTEGER) AS genre_pos, g[i] AS genre
 FROM (SELECT p_partkey AS item_id, p_name AS title, string_split(p_name, ' ') AS g,
@@ -293,9 +349,9 @@ FROM (SELECT p_partkey AS item_id, p_name AS title, string_split(p_name, ' ') AS
         "sample_items": _with(*_SAMPLE_CTES) + "SELECT item_id FROM si",
         "sample_users": _with(*_SAMPLE_CTES) + "SELECT user_id FROM su",
         "restrict_ratings": _with(*_SAMPLE_CTES) + "SELECT user_id, item_id, rating FROM restricted",
-        "min_activity": _with(*_SAMPLE_CTES) + "SELECT user_id, item_id, rating FROM kept",
-        "dense_user_ids": _with(*_SAMPLE_CTES) + "SELECT user_id, new_id FROM ids",
-        "kept_users": _with(*_SAMPLE_CTES) + "SELECT DISTINCT user_id FROM kept",
+        "min_activity": _with(*_ACTIVE_CTES) + "SELECT user_id, item_id, rating FROM kept",
+        "dense_user_ids": _with(*_ACTIVE_CTES) + "SELECT user_id, new_id FROM ids",
+        "kept_users": _with(*_ACTIVE_CTES) + "SELECT DISTINCT user_id FROM kept",
         "sampled_ratings": _with(*_SAMPLE_CTES)
         + "SELECT i.new_id AS user_id, k.item_id, k.rating FROM kept k JOIN ids i ON k.user_id = i.user_id",
         "split_sizes": _with(RATINGS, _split(C.BASELINE_SEEDS))

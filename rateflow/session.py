@@ -109,11 +109,32 @@ def write_and_read(df: DataFrame, name: str, settings: dict[str, str] | None = N
     then restored; plan nothing else in the same session meanwhile.
     """
     spark = df.sparkSession
-    path = os.path.join(checkpoint_dir(spark), "rateflow", f"{name}-{uuid.uuid4().hex}")
+    path = scratch_path(spark, name)
     with scoped_conf(spark, settings or {}):
         df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def scratch_path(spark: SparkSession, name: str) -> str:
+    """A new path under the checkpoint directory, deleted by :func:`release`."""
+    path = os.path.join(checkpoint_dir(spark), "rateflow", f"{name}-{uuid.uuid4().hex}")
     _WRITTEN.setdefault(spark.sparkContext.applicationId, []).append(path)
-    return spark.read.parquet(path)
+    return path
+
+
+@contextmanager
+def scratch(spark: SparkSession):
+    """Delete, at the end of the block, the tables that operators write in it.
+
+    Results that read them must be used or written inside the block.
+    """
+    key = spark.sparkContext.applicationId
+    outer = _WRITTEN.pop(key, [])
+    try:
+        yield
+    finally:
+        release(spark)
+        _WRITTEN[key] = outer
 
 
 def release(spark: SparkSession) -> None:

@@ -9,19 +9,26 @@ from rateflow.sources.files import (
     read_rating_lines,
     read_ratings,
 )
-from rateflow.sources.sinks import reuse_or_build, write_ratings
+from rateflow.sources.sinks import (
+    build_once,
+    import_ratings,
+    reuse_or_build,
+    write_ratings,
+    write_shelves,
+)
 from rateflow.sources.tables import (
     event_rows,
     read_table,
     tpch_items,
     tpch_items_with_genres,
+    tpch_rating_lines,
     tpch_ratings,
     tpch_users,
 )
 
 __all__ = [
-    "event_rows", "item_genres", "parse_item_lines", "parse_rating_lines", "read_items", "read_lines", "read_rating_lines",
+    "build_once", "event_rows", "import_ratings", "item_genres", "parse_item_lines", "parse_rating_lines", "read_items", "read_lines", "read_rating_lines",
     "read_ratings", "read_table",
-    "reuse_or_build", "tpch_items", "tpch_items_with_genres", "tpch_ratings",
-    "tpch_users", "write_ratings",
+    "reuse_or_build", "tpch_items", "tpch_items_with_genres", "tpch_rating_lines", "tpch_ratings",
+    "tpch_users", "write_ratings", "write_shelves",
 ]

@@ -127,6 +127,25 @@ def read_lines(spark: SparkSession, path: str) -> DataFrame:
             .select((F.col("_off") + F.col("_row") + 1).alias("line"), "value"))
 
 
+def typed_lines(spark: SparkSession, path: str) -> DataFrame:
+    """``file, start, user_id, item_id, rating`` of every line of a text file or
+    folder, in the order of the lines within an input split (``file, start``); the
+    three rating fields are all null where the line is no valid rating."""
+    raw = spark.read.text(path).select("value", F.col("_metadata.file_path").alias("file"),
+                                       F.col("_metadata.file_block_start").alias("start"))
+    rows = _typed(_line_fields(raw))
+    return rows.select("_raw.file", "_raw.start", *[F.when(_valid_rating(), F.col(c)).alias(c)
+                                                    for c in ("user_id", "item_id", "rating")])
+
+
+def flagged_lines(spark: SparkSession, path: str) -> DataFrame:
+    """``file, value, user_id, item_id, rating, accepted`` of every line of a text
+    file or folder."""
+    raw = spark.read.text(path).select("value", F.col("_metadata.file_path").alias("file"))
+    return _typed(_line_fields(raw)).select("_raw.file", "_raw.value", "user_id", "item_id", "rating",
+                                            _valid_rating().alias("accepted"))
+
+
 def read_rating_lines(spark: SparkSession, path: str) -> DataFrame:
     """Valid rating rows with their line numbers: ``line, user_id, item_id,
     rating``.  Other lines (a header, a short line) are skipped but counted

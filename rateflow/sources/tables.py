@@ -17,7 +17,7 @@ combined map-side instead of being sorted in one task.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from rateflow.session import sf_path
@@ -46,6 +46,21 @@ def tpch_ratings(spark: SparkSession, sf_dir: str, with_time: bool = False) -> D
     return latest.select(*cols)
 
 
+def tpch_rating_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All ratings, several of one (user, item) included, with the ``occurrence``
+    number of each among them in the order of time (the last one is that of
+    :func:`tpch_ratings`)."""
+    li = read_table(spark, sf_dir, "lineitem").select(
+        "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_shipdate")
+    orders = read_table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
+    order = Window.partitionBy("user_id", "item_id").orderBy(
+        "l_shipdate", "l_orderkey", "l_linenumber", "l_partkey", "l_quantity")
+    return (li.join(orders, li["l_orderkey"] == orders["o_orderkey"])
+            .withColumnsRenamed({"o_custkey": "user_id", "l_suppkey": "item_id"})
+            .select("user_id", "item_id", (F.ceil(F.col("l_quantity") / 5) / 2).cast("double").alias("rating"),
+                    F.row_number().over(order).alias("occurrence")))
+
+
 def tpch_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Item catalogue: suppliers, titled by supplier name."""
     return read_table(spark, sf_dir, "supplier").select(
