@@ -15,7 +15,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rateflow.operators import als, quality, sampling
+from rateflow.operators import als, factors, quality, sampling
 from rateflow.operators.aggregates import item_counts, item_stats, user_histories, user_means
 from rateflow.operators.evaluate import best_setting, errors, errors_of, mean_over_seeds
 from rateflow.operators.file_order import file_order
@@ -69,7 +69,8 @@ ALS_RANKS = tuple(range(2, 15))
 ALS_ITERS = tuple(range(8, 31))
 ALS_RANK, ALS_ITER = 4, 20
 ALS_SEEDS = tuple(range(10))
-ALS_GRID_SEEDS = (0, 1)     # of the two grids; see the README for the time of a fit
+ALS_GRID_SEEDS = (0, 1)     # of the grid of ranks; see the README for the time of a fit
+SMALL_RANK, SMALL_ITERS = 2, 3
 ALS_FINAL_SEED = 9
 ALS_MIN_COUNT = 20
 SAMPLE_USERS, SAMPLE_ITEMS, SAMPLE_MIN, SAMPLE_SEED = 3000, 10_000, 20, 1   # all ids, if fewer
@@ -468,10 +469,53 @@ def q_als_errors_by_rank(spark, d):
 
 
 def q_als_errors_by_iterations(spark, d):
-    errs = als.als_grid_errors(_r(spark, d), [(ALS_RANK, i) for i in ALS_ITERS], ALS_GRID_SEEDS, ALS_REG)
+    """One fit for all seeds and iterations: errors are read along the way."""
+    s = _split(spark, d, ALS_SEEDS)
+    users, items = factors.fit_path(_part(s, "train"), ALS_RANK, max(ALS_ITERS), ALS_REG, ["seed"], ALS_ITERS)
+    actual = _part(s, "validation")
+    scored = factors.path_predictions(actual, users, items, ["seed"], ["rating"])
+    # Pairs without a prediction count in the coverage of every iteration.
+    n_all = actual.groupBy("seed").agg(F.count(F.lit(1)).alias("n_all"))
+    errs = (errors_of(scored, ["seed", "iteration"]).join(n_all, "seed")
+            .select("seed", F.col("iteration").alias("iterations"), "rmse", "mae", "n", (F.col("n") / F.col("n_all")).alias("coverage")))
     return mean_over_seeds(errs, ["iterations"], DIGITS)
 
 
+def _small_factors(spark, d):
+    return factors.fit_path(_r(spark, d), SMALL_RANK, SMALL_ITERS, ALS_REG, keep=[SMALL_ITERS])
+
+
+def q_als_factor_steps(spark, d):
+    """User and item factors after a few steps, that SQL can follow."""
+    users, items = _small_factors(spark, d)
+    parts = [t.select(F.lit(kind).alias("kind"), F.col(c).cast("long").alias("id"),
+                      *[F.round(F.get("factors", F.lit(k)), DIGITS).alias(f"f{k + 1}") for k in range(SMALL_RANK)])
+             for t, kind, c in ((users, "user", "user_id"), (items, "item", "item_id"))]
+    return parts[0].unionAll(parts[1])
+
+
+def q_als_recommendations_all(spark, d):
+    """Lists for all users, from those factors."""
+    users, items = _small_factors(spark, d)
+    r = _r(spark, d)
+    return factors.recommend_lists(users, items, r, _items(spark, d), REC_N, ALS_MIN_COUNT, DIGITS)
+
+
+def q_als_reloaded_predictions(spark, d):
+    """Test pairs scored by the fitted model and by its factor tables, saved and
+    loaded: whether the two agree."""
+    s = _split(spark, d, SEED)
+    model = als.fit_als(_part(s, "train").drop("seed"), ALS_RANK, ALS_ITER, ALS_REG, SEED)
+    pairs = sampling.keys_only(_part(s, "test"))
+    path = scratch_path(spark, "factors")
+    factors.save_factors(*factors.model_factors(model), path)
+    loaded = factors.predict_factors(pairs, *factors.load_factors(spark, path))
+    direct = als.predict_als(model, pairs).select("user_id", "item_id", F.col("prediction").alias("_direct"))
+    return loaded.join(direct, ["user_id", "item_id"], "full").select(
+        "user_id", "item_id", F.coalesce(F.abs(F.col("prediction") - F.col("_direct")) <= 1e-6 * F.greatest(
+            F.lit(1.0), F.abs("_direct")), F.lit(False)).alias("agrees"))
+
+
 def q_als_test_errors(spark, d):
     errs = als.als_grid_errors(_r(spark, d), [(ALS_RANK, ALS_ITER)], ALS_SEEDS, ALS_REG,
                                evaluate_on="test")
@@ -541,6 +585,9 @@ QUERIES: dict[str, Query] = {
     "als_candidates": q_als_candidates,
     "als_errors_by_rank": q_als_errors_by_rank,
     "als_errors_by_iterations": q_als_errors_by_iterations,
+    "als_factor_steps": q_als_factor_steps,
+    "als_recommendations_all": q_als_recommendations_all,
+    "als_reloaded_predictions": q_als_reloaded_predictions,
     "als_test_errors": q_als_test_errors,
     "als_recommendations": q_als_recommendations,
     # Whole pair sets, the largest outputs (about 1.1M, 2.2M and 11.8M rows

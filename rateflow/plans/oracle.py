@@ -299,6 +299,39 @@ GROUP BY a.user_id, b.user_id HAVING count(*) >= {C.MIN_COMMON}""",
     }
 
 
+def _factor_ctes() -> list[str]:
+    """Alternating least squares of rank 2, by the inverse of the 2 x 2 matrix."""
+    start = ", ".join(f"{_hash('user_id', str(k))} / 2147483648.0 - 1 AS f{k + 1}" for k in range(2))
+    out = [RATINGS, f"u0 AS (SELECT user_id AS id, {start} FROM (SELECT DISTINCT user_id FROM ratings) d)"]
+    for i in range(1, C.SMALL_ITERS + 1):
+        for name, own, other, src in ((f"v{i}", "item_id", "user_id", f"u{i - 1}"), (f"u{i}", "user_id", "item_id", f"v{i}")):
+            out.append(f"""{name} AS MATERIALIZED (
+  SELECT id, (a22 * b1 - a12 * b2) / (a11 * a22 - a12 * a12) AS f1, (a11 * b2 - a12 * b1) / (a11 * a22 - a12 * a12) AS f2
+  FROM (SELECT r.{own} AS id, sum(f1 * f1) + {C.ALS_REG} * count(*) AS a11, sum(f1 * f2) AS a12,
+               sum(f2 * f2) + {C.ALS_REG} * count(*) AS a22, sum(f1 * rating) AS b1, sum(f2 * rating) AS b2
+        FROM ratings r JOIN {src} s ON s.id = r.{other} GROUP BY r.{own}) t)""")
+    return out
+
+
+def _factors() -> dict[str, str]:
+    last, d = C.SMALL_ITERS, C.DIGITS
+    return {
+        "als_factor_steps": _with(*_factor_ctes()) + " UNION ALL ".join(
+            f"SELECT '{kind}' AS kind, id, round(f1, {d}) AS f1, round(f2, {d}) AS f2 FROM {t}{last}"
+            for kind, t in (("user", "u"), ("item", "v"))),
+        "als_recommendations_all": _with(*_factor_ctes(), ITEMS, f"""scored AS (
+  SELECT u.id AS user_id, c.item_id, i.title, c.n, round(u.f1 * v.f1 + u.f2 * v.f2, {d}) AS prediction
+  FROM u{last} u CROSS JOIN (SELECT item_id, count(*) AS n FROM ratings GROUP BY item_id HAVING count(*) > {C.ALS_MIN_COUNT}) c
+  JOIN v{last} v ON v.id = c.item_id JOIN items i ON i.item_id = c.item_id
+  WHERE NOT EXISTS (SELECT 1 FROM ratings r WHERE r.user_id = u.id AND r.item_id = c.item_id))""") + f"""SELECT * FROM (
+  SELECT user_id, CAST(row_number() OVER (PARTITION BY user_id ORDER BY prediction DESC, item_id) AS INTEGER) AS rk,
+         item_id, title, prediction, n FROM scored) t WHERE rk <= {C.REC_N}""",
+        "als_reloaded_predictions": _with(RATINGS, _split(C.SEED)) + """, train AS (SELECT user_id, item_id FROM split WHERE part = 'train')
+SELECT user_id, item_id, true AS agrees FROM split WHERE part = 'test'
+  AND user_id IN (SELECT user_id FROM train) AND item_id IN (SELECT item_id FROM train)""",
+    }
+
+
 def _order_checks() -> dict[str, str]:
     head = _with(ROWS, PREV)
     return {
@@ -341,6 +374,7 @@ WHERE s.n > {C.ALS_MIN_COUNT} AND i.item_id NOT IN (SELECT item_id FROM ratings
         "user_rating_distribution": r + f"SELECT rating, count(*) AS n FROM ratings WHERE user_id = {C.USER} GROUP BY rating",
         **_order_checks(),
         **_files(),
+        **_factors(),
         "item_catalog": _with(ITEMS) + "SELECT DISTINCT item_id FROM items",
         "items_with_genres": """SELECT item_id, title, CAST(i AS INTEGER) AS genre_pos, g[i] AS genre
 FROM (SELECT p_partkey AS item_id, p_name AS title, string_split(p_name, ' ') AS g,
