@@ -70,8 +70,9 @@ def _block(rows, ids, query, exact) -> dict:
             "off": off.tobytes()}
 
 
-def _pack(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Blocks of ``row, vec_id, query, v``."""
+def rows_by_length(batches: Iterable[pa.RecordBatch], block: int, values: int, kind=None) -> Iterator[tuple[np.ndarray, ...]]:
+    """Row numbers, ids, query marks and matrices of at most ``block`` rows (fewer, if
+    they hold more than ``values`` numbers) of ``row, vec_id, query, v``."""
     for batch in batches:
         rows, ids, query = (batch.column(i).to_numpy(zero_copy_only=False) for i in range(3))
         lists = batch.column(3)
@@ -80,11 +81,18 @@ def _pack(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         starts = np.cumsum(lengths) - lengths
         for dim in np.unique(lengths):
             own = np.flatnonzero(lengths == dim)
-            size = max(TILE_QUERIES, min(BLOCK, BLOCK_VALUES // int(dim)))
+            size = max(1, min(block, values // int(dim)))
             for at in range(0, len(own), size):
                 some = own[at:at + size]
-                block = _block(rows[some], ids[some], query[some], flat[starts[some, None] + np.arange(dim)])
-                yield pa.RecordBatch.from_pylist([block], schema=_schema())
+                exact = flat[starts[some, None] + np.arange(dim)]
+                yield (rows[some].astype(np.int64), ids[some].astype(np.int64), query[some].astype(bool),
+                       exact if kind is None else exact.astype(kind))
+
+
+def _pack(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Blocks of ``row, vec_id, query, v``."""
+    for columns in rows_by_length(batches, BLOCK, BLOCK_VALUES):
+        yield pa.RecordBatch.from_pylist([_block(*columns)], schema=_schema())
 
 
 def _schema() -> pa.Schema:
@@ -217,15 +225,24 @@ def vector_blocks(vectors: DataFrame, is_query: Column) -> DataFrame:
 def nearest(vectors: DataFrame, is_query: Column, k: int = 10) -> DataFrame:
     """``query_id, rank, vec_id, score``: for each row of ``vectors`` (``vec_id,
     embedding``) that ``is_query`` marks, the ``k`` nearest other rows."""
-    spark = vectors.sparkSession
     blocks = vector_blocks(vectors, is_query)
     n_blocks, n_queries = blocks.agg(F.count(F.lit(1)), F.coalesce(F.sum("n_queries"), F.lit(0))).first()
     query_groups = max(1, -(-n_queries // GROUP_QUERIES))
-    # Groups of a few blocks; more of them while there are idle cores.
-    block_groups = max(1, -(-n_blocks // GROUP_BLOCKS), min(n_blocks, spark.sparkContext.defaultParallelism))
     dealt = (map_batches(blocks.where("n_queries > 0"), _queries, "row long, vec_id long, query boolean, v array<double>")
              .repartition(query_groups, "row"))
     queries = written(map_batches(dealt, _pack, BLOCK_DDL), "query-blocks")
+    found = group_pairs(blocks, queries, n_blocks, query_groups, _joined(k),
+                        "query long, query_id long, vec_id long, score double")
+    best = Window.partitionBy("query").orderBy("score", "vec_id")
+    return (found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
+            .select("query_id", "rank", "vec_id", "score"))
+
+
+def group_pairs(blocks: DataFrame, queries: DataFrame, n_blocks: int, query_groups: int, work, schema: str) -> DataFrame:
+    """``work(candidate blocks, query blocks)`` for every pair of a group of blocks
+    and a group of queries; both tables tell their blocks by ``block``."""
+    # Groups of a few blocks; more of them while there are idle cores.
+    block_groups = max(1, -(-n_blocks // GROUP_BLOCKS), min(n_blocks, blocks.sparkSession.sparkContext.defaultParallelism))
 
     def group(n: int) -> Column:
         return F.pmod(F.xxhash64("block"), F.lit(n)).cast("int")
@@ -234,12 +251,9 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = 10) -> DataFrame:
         return F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
 
     keys = ["block_group", "query_group"]
-    found = (blocks.withColumn("block_group", group(block_groups)).withColumn("query_group", every(query_groups)).groupBy(*keys)
-             .cogroup(queries.withColumn("query_group", group(query_groups)).withColumn("block_group", every(block_groups)).groupBy(*keys))
-             .applyInArrow(_joined(k), "query long, query_id long, vec_id long, score double"))
-    best = Window.partitionBy("query").orderBy("score", "vec_id")
-    return (found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
-            .select("query_id", "rank", "vec_id", "score"))
+    return (blocks.withColumn("block_group", group(block_groups)).withColumn("query_group", every(query_groups)).groupBy(*keys)
+            .cogroup(queries.withColumn("query_group", group(query_groups)).withColumn("block_group", every(block_groups)).groupBy(*keys))
+            .applyInArrow(work, schema))
 
 
 def q_block_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
