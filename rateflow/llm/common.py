@@ -53,12 +53,21 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def release(spark: SparkSession) -> None:
-    """Delete the scratch tables that this session's operators have written."""
+def tables_written(spark: SparkSession) -> int:
+    """How many scratch tables this session's operators have written and not released."""
+    return len(_SCRATCH.get(spark.sparkContext.applicationId, []))
+
+
+def release(spark: SparkSession, since: int = 0, keep: int = 0) -> None:
+    """Delete the scratch tables that this session's operators have written: those
+    after the first ``since``, but for the last ``keep``."""
     jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
-    for path in _SCRATCH.pop(spark.sparkContext.applicationId, []):
+    paths = _SCRATCH.get(spark.sparkContext.applicationId, [])
+    used = paths[since:len(paths) - keep]
+    for path in used:
         p = jvm.org.apache.hadoop.fs.Path(path)
         p.getFileSystem(conf).delete(p, True)
+        paths.remove(path)
 
 
 def local_table(spark: SparkSession, rows: list, ddl: str) -> DataFrame:

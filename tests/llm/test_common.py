@@ -1,7 +1,7 @@
 import pytest
 
 from rateflow.llm import common
-from rateflow.llm.common import id_filter, maybe_in, release, scratch_root, written
+from rateflow.llm.common import id_filter, maybe_in, release, scratch_root, tables_written, written
 
 
 def test_id_filter_never_misses(spark):
@@ -22,3 +22,13 @@ def test_written_tables_are_released(spark):
     release(spark)
     with pytest.raises(Exception, match="(?i)not.*exist|not found"):
         spark.read.parquet(path).count()
+
+
+def test_release_spares_older_and_newest_tables(spark):
+    old = written(spark.range(3), "old")
+    mark = tables_written(spark)
+    used, last = written(spark.range(4), "used"), written(spark.range(5), "last")
+    release(spark, since=mark, keep=1)
+    assert (old.count(), last.count(), tables_written(spark)) == (3, 5, mark + 1)
+    with pytest.raises(Exception, match="(?i)not.*exist|not found"):
+        used.count()
