@@ -1,11 +1,11 @@
 """A corpus pipeline of five stages over ``documents``.
 
 Each stage is ``(spark, docs, sf_dir) -> DataFrame``; its result is written as
-Parquet and read again as the next one's ``docs``.  All but the last keep the
-columns of ``documents``.
+Parquet and read again as the next one's ``docs``; the tables used up are deleted.
+All but the last keep the columns of ``documents``.
 
-1. language ID: rows whose language is rejected go (no letter, or a long text
-   with no clear language);
+1. language ID: rows whose language is rejected go (no letter, or no clear
+   language);
 2. exact dedup: one row of equal texts stays;
 3. MinHash near-dedup: one document of each group of similar texts stays;
 4. secret scans: every secret in a text is replaced by a mark;
@@ -20,7 +20,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from rateflow.llm import exact_dedup, language, near_dedup, packing, secrets
-from rateflow.llm.common import documents, written
+from rateflow.llm.common import documents, release, tables_written, written
 
 
 def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -56,7 +56,9 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = documents(spark, sf_dir)
+    docs, before = documents(spark, sf_dir), tables_written(spark)
     for name, stage in STAGES[:-1]:
         docs = written(stage(spark, docs, sf_dir), f"stage-{name}")
+        # The stage before, and what this one's operator has written, are used up.
+        release(spark, since=before, keep=1)
     return STAGES[-1][1](spark, docs, sf_dir)
