@@ -108,7 +108,7 @@ def file_check(spark, sf_dir: str, times: dict) -> dict:
     shift = int(one.agg(F.max("user_id")).first()[0] or 0)
     many = (one.withColumn("copy", F.explode(F.sequence(F.lit(0), F.lit(copies - 1))))
             .withColumn("user_id", F.col("user_id") + F.col("copy") * shift))
-    write_ratings(many, out, "csv", in_order=True, header=True)
+    write_ratings(many, out, "csv", order=["user_id", "item_id"], header=True)
     spark.catalog.clearCache()
     t0 = time.perf_counter()
     found = file_order(spark, out)

@@ -158,7 +158,7 @@ def _rating_file(spark, d):
     """The rating view as text files sorted by user and item, with a header line;
     five lines in eleven are spoilt."""
     path = scratch_path(spark, "rating_file")
-    write_ratings(_spoilt_lines(spark, d), path, "csv", in_order=True, header=True)
+    write_ratings(_spoilt_lines(spark, d), path, "csv", order=["user_id", "item_id"], header=True)
     return path
 
 
@@ -171,7 +171,11 @@ def q_file_order_facts(spark, d):
 
 
 def q_file_order_offenders(spark, d):
-    found = file_order(spark, _rating_file(spark, d))
+    """The offenders of a file that holds the events as rating lines, with a header."""
+    path = scratch_path(spark, "event_file")
+    rows = event_rows(spark, d).withColumn("value", F.format_string("%d,%d,3.5", "user_id", "item_id"))
+    write_ratings(rows, path, "csv", order=["line"], header=True)
+    found = file_order(spark, path)
     return (found["user_steps"].select(F.lit("step").alias("kind"), F.col("prev_user_id").alias("before"),
                                        F.col("user_id").alias("own"), "line")
             .unionAll(found["item_order"].select(F.lit("item"), "prev_item_id", "item_id", "line")))
@@ -481,6 +485,14 @@ def q_als_errors_by_iterations(spark, d):
     return mean_over_seeds(errs, ["iterations"], DIGITS)
 
 
+def q_als_factor_errors(spark, d):
+    """Test errors after each of a few steps, all seeds in one fit, that SQL can follow."""
+    s = _split(spark, d, ALS_SEEDS)
+    users, items = factors.fit_path(_part(s, "train"), SMALL_RANK, SMALL_ITERS, ALS_REG, ["seed"])
+    scored = factors.path_predictions(_part(s, "test"), users, items, ["seed"], ["rating"])
+    return mean_over_seeds(errors_of(scored, ["seed", "iteration"]), ["iteration"], DIGITS).drop("coverage")
+
+
 def _small_factors(spark, d):
     return factors.fit_path(_r(spark, d), SMALL_RANK, SMALL_ITERS, ALS_REG, keep=[SMALL_ITERS])
 
@@ -586,6 +598,7 @@ QUERIES: dict[str, Query] = {
     "als_errors_by_rank": q_als_errors_by_rank,
     "als_errors_by_iterations": q_als_errors_by_iterations,
     "als_factor_steps": q_als_factor_steps,
+    "als_factor_errors": q_als_factor_errors,
     "als_recommendations_all": q_als_recommendations_all,
     "als_reloaded_predictions": q_als_reloaded_predictions,
     "als_test_errors": q_als_test_errors,

@@ -282,7 +282,8 @@ def _files() -> dict[str, str]:
        (SELECT string_agg(printf('%.1f:%d', rating, n), ',' ORDER BY rating)
         FROM (SELECT rating, count(*) AS n FROM rows_ GROUP BY rating) v) AS rating_counts
 FROM prev"""),
-        "file_order_offenders": head + f"""SELECT 'step' AS kind, prev_user_id AS before, user_id AS own, line
+        "file_order_offenders": _with(ROWS.replace("event_id AS line", "row_number() OVER (ORDER BY event_id) + 1 AS line"), PREV)
+        + f"""SELECT 'step' AS kind, prev_user_id AS before, user_id AS own, line
 FROM prev WHERE {STEP_BAD} UNION ALL SELECT 'item', prev_item_id, item_id, line FROM prev WHERE {ITEM_BAD}""",
         "imported_ratings": shelves + "SELECT shelf, user_id, item_id, rating FROM good WHERE ok",
         "import_counts": shelves + """SELECT shelf, count(*) AS lines, count(*) FILTER (WHERE ok) AS accepted,
@@ -299,27 +300,39 @@ GROUP BY a.user_id, b.user_id HAVING count(*) >= {C.MIN_COMMON}""",
     }
 
 
-def _factor_ctes() -> list[str]:
+def _factor_ctes(src: str = "ratings", key: str = "") -> list[str]:
     """Alternating least squares of rank 2, by the inverse of the 2 x 2 matrix."""
-    start = ", ".join(f"{_hash('user_id', str(k))} / 2147483648.0 - 1 AS f{k + 1}" for k in range(2))
-    out = [RATINGS, f"u0 AS (SELECT user_id AS id, {start} FROM (SELECT DISTINCT user_id FROM ratings) d)"]
+    k, rk, on = (f"{key}, ", f"r.{key}, ", f"AND s.{key} = r.{key} ") if key else ("", "", "")
+    hashed = [*([key] if key else []), "user_id"]
+    start = ", ".join(f"{_hash(*hashed, str(n))} / 2147483648.0 - 1 AS f{n + 1}" for n in range(2))
+    out = [f"u0 AS (SELECT {k}user_id AS id, {start} FROM (SELECT DISTINCT {k}user_id FROM {src}) d)"]
     for i in range(1, C.SMALL_ITERS + 1):
-        for name, own, other, src in ((f"v{i}", "item_id", "user_id", f"u{i - 1}"), (f"u{i}", "user_id", "item_id", f"v{i}")):
+        for name, own, other, known in ((f"v{i}", "item_id", "user_id", f"u{i - 1}"), (f"u{i}", "user_id", "item_id", f"v{i}")):
             out.append(f"""{name} AS MATERIALIZED (
-  SELECT id, (a22 * b1 - a12 * b2) / (a11 * a22 - a12 * a12) AS f1, (a11 * b2 - a12 * b1) / (a11 * a22 - a12 * a12) AS f2
-  FROM (SELECT r.{own} AS id, sum(f1 * f1) + {C.ALS_REG} * count(*) AS a11, sum(f1 * f2) AS a12,
+  SELECT {k}id, (a22 * b1 - a12 * b2) / (a11 * a22 - a12 * a12) AS f1, (a11 * b2 - a12 * b1) / (a11 * a22 - a12 * a12) AS f2
+  FROM (SELECT {rk}r.{own} AS id, sum(f1 * f1) + {C.ALS_REG} * count(*) AS a11, sum(f1 * f2) AS a12,
                sum(f2 * f2) + {C.ALS_REG} * count(*) AS a22, sum(f1 * rating) AS b1, sum(f2 * rating) AS b2
-        FROM ratings r JOIN {src} s ON s.id = r.{other} GROUP BY r.{own}) t)""")
+        FROM {src} r JOIN {known} s ON s.id = r.{other} {on}GROUP BY {rk}r.{own}) t)""")
     return out
 
 
 def _factors() -> dict[str, str]:
     last, d = C.SMALL_ITERS, C.DIGITS
+    pred = " UNION ALL ".join(f"""SELECT t.seed, {i} AS iteration, t.rating, u.f1 * v.f1 + u.f2 * v.f2 AS prediction
+  FROM split t JOIN u{i} u ON u.seed = t.seed AND u.id = t.user_id JOIN v{i} v ON v.seed = t.seed AND v.id = t.item_id
+  WHERE t.part = 'test'""" for i in range(1, last + 1))
     return {
-        "als_factor_steps": _with(*_factor_ctes()) + " UNION ALL ".join(
+        "als_factor_errors": _with(
+            RATINGS, _split(C.ALS_SEEDS), "train AS (SELECT seed, user_id, item_id, rating FROM split WHERE part = 'train')",
+            *_factor_ctes("train", "seed"), f"pred AS ({pred})",
+            """e AS (SELECT seed, iteration, sqrt(avg((prediction - rating) ** 2)) AS rmse,
+         avg(abs(prediction - rating)) AS mae, count(*) AS n FROM pred GROUP BY seed, iteration)""")
+        + """SELECT CAST(iteration AS INTEGER) AS iteration, round(avg(rmse), 6) AS rmse, round(avg(mae), 6) AS mae,
+       CAST(sum(n) AS BIGINT) AS n, count(*) AS n_seeds FROM e GROUP BY iteration""",
+        "als_factor_steps": _with(RATINGS, *_factor_ctes()) + " UNION ALL ".join(
             f"SELECT '{kind}' AS kind, id, round(f1, {d}) AS f1, round(f2, {d}) AS f2 FROM {t}{last}"
             for kind, t in (("user", "u"), ("item", "v"))),
-        "als_recommendations_all": _with(*_factor_ctes(), ITEMS, f"""scored AS (
+        "als_recommendations_all": _with(RATINGS, *_factor_ctes(), ITEMS, f"""scored AS (
   SELECT u.id AS user_id, c.item_id, i.title, c.n, round(u.f1 * v.f1 + u.f2 * v.f2, {d}) AS prediction
   FROM u{last} u CROSS JOIN (SELECT item_id, count(*) AS n FROM ratings GROUP BY item_id HAVING count(*) > {C.ALS_MIN_COUNT}) c
   JOIN v{last} v ON v.id = c.item_id JOIN items i ON i.item_id = c.item_id

@@ -16,12 +16,13 @@ HEADER = "userId,movieId,rating"
 
 
 def write_ratings(ratings: DataFrame, path: str, fmt: str = "parquet", mode: str = "overwrite",
-                  in_order: bool = False, header: bool = False) -> None:
-    """Write ratings; CSV lines are ``user,item,rating`` with one decimal.
+                  order: Sequence[str] = (), header: bool = False) -> None:
+    """Write ratings; CSV lines are ``user,item,rating`` with one decimal, or what a
+    column ``value`` holds.
 
-    ``in_order`` sorts the lines by user and item over the files in the order of
-    their names (a range partitioning, no one-task sort); ``header`` puts a header
-    line before the first of them.
+    ``order`` sorts the lines by these columns over the files in the order of their
+    names (a range partitioning, no one-task sort); ``header`` puts a header line
+    before the first of them.
     """
     if fmt == "parquet":
         ratings.select("user_id", "item_id", "rating").write.mode(mode).parquet(path)
@@ -29,13 +30,12 @@ def write_ratings(ratings: DataFrame, path: str, fmt: str = "parquet", mode: str
     if fmt != "csv":
         raise ValueError(f"unsupported format {fmt!r}")
     value = F.col("value") if "value" in ratings.columns else F.format_string("%d,%d,%.1f", "user_id", "item_id", "rating")
-    lines = ratings.select("user_id", "item_id", value.alias("value"))
-    if header:
-        none = F.lit(None).cast("long")     # sorts before all ids
-        lines = lines.unionByName(ratings.sparkSession.range(1).select(
-            none.alias("user_id"), none.alias("item_id"), F.lit(HEADER).alias("value")))
-    if in_order or header:
-        lines = lines.repartitionByRange("user_id", "item_id").sortWithinPartitions("user_id", "item_id")
+    order = list(order) or (["user_id", "item_id"] if header else [])
+    lines = ratings.select(*order, value.alias("value"))
+    if header:  # without keys it sorts before all lines
+        lines = lines.unionByName(ratings.sparkSession.range(1).select(F.lit(HEADER).alias("value")), allowMissingColumns=True)
+    if order:
+        lines = lines.repartitionByRange(*order).sortWithinPartitions(*order)
     lines.select("value").write.mode(mode).text(path)
 
 

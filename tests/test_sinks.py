@@ -18,7 +18,7 @@ def lines_of(path):
 
 def test_ordered_file_with_a_header(spark, scratch):
     rows = [(u, i, (u * i) % 10 / 2 + 0.5) for u in range(40, 0, -1) for i in (5, 3, 9)]
-    write_ratings(ratings_df(spark, rows).repartition(5), f"{scratch}/r", "csv", in_order=True, header=True)
+    write_ratings(ratings_df(spark, rows).repartition(5), f"{scratch}/r", "csv", order=["user_id", "item_id"], header=True)
     assert lines_of(f"{scratch}/r") == ["userId,movieId,rating", *(f"{u},{i},{x:.1f}" for u, i, x in sorted(rows))]
 
 
