@@ -1,12 +1,16 @@
 """License scan by diagonal voting (DataFrame functions only).
 
 Every rolling word k-gram of every text is hashed and joined with the k-grams
-of the templates (a fixed list of a few hundred grams, broadcast).  A hit at word
-``i`` of a text and word ``j`` of a template votes for the diagonal ``i - j``;
-votes are summed by text, template and diagonal, diagonals of one template at
-most ``SLACK`` words apart are merged (words put in or left out shift the
-diagonal), and the merged span is verified: a base phrase needs all its words
-in place on one diagonal, a longer passage ``COVER`` of its k-grams.
+of the templates (a fixed list of a few hundred grams, broadcast); hashes that no
+template has are left out before the join (:func:`template_grams` is a fixed table,
+so its hashes are constants of the plan), and a hit's words are compared with the
+template's.  A hit at word ``i`` of a text and word ``j`` of a template votes for the
+diagonal ``i - j``; votes are summed by text, template and diagonal, diagonals of one
+template at most ``SLACK`` words apart are merged (words put in or left out shift
+the diagonal), and the merged span is verified: a base phrase needs all its words
+in place on one diagonal, a longer passage ``COVER`` of its k-grams, in rising order
+(the longest run of hits by rising words of text and template, within a stretch of
+the text that is at most ``SLACK`` words longer than the passage).
 
 Words are runs of letters and digits (every non-ASCII character is part of a
 word), A-Z in lower case.  ``score`` is the best verified share of a template,
@@ -35,16 +39,30 @@ PHRASES = [
 PASSAGES = [
     ("apache-2.0", "licensed under the apache license version 2 0 the license you may not use this file except in "
                    "compliance with the license"),
+    ("apache-2.0", "unless required by applicable law or agreed to in writing software distributed under the license "
+                   "is distributed on an as is basis without warranties or conditions of any kind either express or "
+                   "implied"),
+    ("bsd", "redistributions of source code must retain the above copyright notice this list of conditions and the "
+            "following disclaimer"),
+    ("bsd", "redistributions in binary form must reproduce the above copyright notice this list of conditions and "
+            "the following disclaimer in the documentation and or other materials provided with the distribution"),
     ("bsd", "redistribution and use in source and binary forms with or without modification are permitted provided "
             "that the following conditions are met"),
     ("cc-by", "this work is licensed under a creative commons attribution 4 0 international license"),
     ("cc-by-sa", "this work is licensed under a creative commons attribution sharealike 4 0 international license"),
     ("gpl", "this program is free software you can redistribute it and or modify it under the terms of the gnu "
             "general public license as published by the free software foundation"),
+    ("gpl", "this program is distributed in the hope that it will be useful but without any warranty without even the "
+            "implied warranty of merchantability or fitness for a particular purpose"),
+    ("gpl", "you should have received a copy of the gnu general public license along with this program"),
     ("isc", "permission to use copy modify and or distribute this software for any purpose with or without fee is "
             "hereby granted"),
     ("mit", "permission is hereby granted free of charge to any person obtaining a copy of this software and "
             "associated documentation files"),
+    ("mit", "the above copyright notice and this permission notice shall be included in all copies or substantial "
+            "portions of the software"),
+    ("mit", "the software is provided as is without warranty of any kind express or implied including but not limited "
+            "to the warranties of merchantability fitness for a particular purpose and noninfringement"),
     ("mpl-2.0", "this source code form is subject to the terms of the mozilla public license v 2 0"),
     ("unlicense", "this is free and unencumbered software released into the public domain"),
 ]
@@ -60,11 +78,16 @@ def _gram(words: Column, i: Column, k: int) -> Column:
     return F.xxhash64(F.lit(k), *[F.get(words, i + j) for j in range(k)])
 
 
-def _grams(words: Column, n_words: Column, k: int) -> Column:
-    """``(at, first, gram)`` for every place of a k-gram."""
+def _grams(words: Column, n_words: Column, k: int, known: list | None = None) -> Column:
+    """``(at, text, gram)`` for every place of a k-gram, or for those whose hash and
+    first word are ``known`` (rows of :func:`template_grams`)."""
     places = F.when(n_words >= k, F.sequence(F.lit(0), n_words - k)).otherwise(F.array().cast("array<int>"))
+    if known is not None:
+        first, grams = {r["t_text"].split(" ")[0] for r in known}, [r["t_gram"] for r in known]
+        places = F.filter(places, lambda i: F.get(words, i).isin(sorted(first)))
+        places = F.filter(places, lambda i: _gram(words, i, k).isin(grams))
     return F.transform(places, lambda i: F.struct(
-        i.alias("at"), F.get(words, i).alias("first"), _gram(words, i, k).alias("gram")))
+        i.alias("at"), F.array_join(F.slice(words, i + 1, k), " ").alias("text"), _gram(words, i, k).alias("gram")))
 
 
 def template_grams(spark: SparkSession, phrases=PHRASES, passages=PASSAGES) -> DataFrame:
@@ -77,7 +100,7 @@ def template_grams(spark: SparkSession, phrases=PHRASES, passages=PASSAGES) -> D
             for k in (PHRASE_GRAM, PASSAGE_GRAM)]
     return by_k[0].unionAll(by_k[1]).select(
         "template", "label", "base", "n_grams", F.col("g.at").alias("t_at"),
-        F.col("g.first").alias("t_first"), F.col("g.gram").alias("t_gram"))
+        F.col("g.text").alias("t_text"), F.col("g.gram").alias("t_gram"))
 
 
 def hits(docs: DataFrame) -> DataFrame:
@@ -86,17 +109,34 @@ def hits(docs: DataFrame) -> DataFrame:
                         words_of(text_of(docs)).alias("_words"))
     counted = split.withColumn("n_words", F.size("_words"))
     words, n = F.col("_words"), F.col("n_words")
-    own = F.array(F.struct(F.lit(-1).alias("at"), F.lit(None).cast("string").alias("first"),
+    own = F.array(F.struct(F.lit(-1).alias("at"), F.lit(None).cast("string").alias("text"),
                            F.lit(None).cast("long").alias("gram")))
-    exploded = counted.select("_row", "doc_id", "n_words", F.explode(F.concat(
-        own, _grams(words, n, PHRASE_GRAM), _grams(words, n, PASSAGE_GRAM))).alias("g"))
     grams = template_grams(docs.sparkSession)
-    met = (F.col("g.gram") == F.col("t_gram")) & (F.col("g.first") == F.col("t_first"))
+    fixed = grams.collect()     # the templates of this module
+    known = {base: [r for r in fixed if r["base"] == base] for base in (True, False)}
+    exploded = counted.select("_row", "doc_id", "n_words", F.explode(F.concat(
+        own, _grams(words, n, PHRASE_GRAM, known[True]), _grams(words, n, PASSAGE_GRAM, known[False]))).alias("g"))
+    met = (F.col("g.gram") == F.col("t_gram")) & (F.col("g.text") == F.col("t_text"))
     return (exploded.join(F.broadcast(grams), met, "left").where(F.col("template").isNotNull() | (F.col("g.at") < 0))
             .select("_row", "doc_id", "n_words", "template", "label", "base", "n_grams", "t_at",
                     (F.col("g.at") - F.col("t_at")).alias("diagonal")))
 
 
+def _in_order(hits: Column, n_grams: Column) -> Column:
+    """Most template places that hits ``(at, t_at)``, sorted by ``at``, run through in
+    rising order, in one stretch of the text not much longer than the template."""
+    # A run ends where the template's place does not rise or the stretch gets too long.
+    start = F.struct(F.lit(0).alias("best"), F.lit(0).alias("n"), F.lit(-1).cast("long").alias("last"), F.lit(0).cast("long").alias("since"))
+
+    def step(run: Column, hit: Column) -> Column:
+        goes_on = (hit["t_at"] > run["last"]) & (hit["at"] - run["since"] < n_grams + SLACK) & (run["n"] > 0)
+        n = F.when(goes_on, run["n"] + 1).otherwise(F.lit(1))
+        return F.struct(F.greatest(run["best"], n).alias("best"), n.alias("n"), hit["t_at"].cast("long").alias("last"),
+                        F.when(goes_on, run["since"]).otherwise(hit["at"].cast("long")).alias("since"))
+
+    return F.aggregate(hits, start, step, lambda run: run["best"])
+
+
 def spans(docs: DataFrame) -> DataFrame:
     """Merged diagonals of every text: ``_row, doc_id, n_words, template, label,
     base, start, places, cover`` (one row without template for each text)."""
@@ -109,8 +149,9 @@ def spans(docs: DataFrame) -> DataFrame:
     apart = F.coalesce((F.col("diagonal") - F.lag("diagonal").over(ordered) > SLACK) | F.col("base"), F.lit(True))
     merged = (votes.withColumn("_apart", apart.cast("int"))
               .withColumn("_span", F.sum("_apart").over(ordered)).groupBy(*key, "_span")
-              .agg(F.min("diagonal").alias("start"),
-                   F.size(F.array_distinct(F.flatten(F.collect_list("_seen")))).alias("_n")))
+              .agg(F.min("diagonal").alias("start"), F.flatten(F.collect_list(F.transform(
+                  "_seen", lambda t: F.struct((F.col("diagonal") + t).alias("at"), t.alias("t_at"))))).alias("_hits"))
+              .withColumn("_n", _in_order(F.array_sort("_hits"), F.col("n_grams"))).drop("_hits"))
     cover = F.col("_n") / F.col("n_grams")
     return (merged.withColumn("cover", F.when(F.col("template").isNotNull(), cover).otherwise(0.0))
             .where(F.col("template").isNull() | F.col("base") | (F.col("cover") >= COVER))

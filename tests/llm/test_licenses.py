@@ -37,3 +37,27 @@ def test_phrases_passages_and_slack(frame):
     assert {i: digest(r) for i, r in out.items()} == {i: base(t) for i, t in texts.items()}
     assert [out[i]["labels"] for i in range(1, 7)] == ["cc-by,reserved", "mit", "mit", "", "apache-2.0,gpl", ""]
     assert out[2]["score"] == 1.0 and 0.6 <= out[3]["score"] < 1 and out[4]["score"] == 0.0
+
+
+def test_templates_label_themselves_and_have_distinct_grams(frame):
+    out = {r["doc_id"]: r for r in license_labels(frame([(n, f"x {text} y") for n, (_, text) in enumerate(PASSAGES)])).collect()}
+    for n, (label, text) in enumerate(PASSAGES):
+        words = text.split()
+        grams = [tuple(words[i:i + 4]) for i in range(len(words) - 3)]
+        assert len(grams) == len(set(grams)) >= 4
+        assert label in out[n]["labels"].split(",") and out[n]["score"] == 1.0
+
+
+def test_scrambled_and_scattered_passages_have_no_label(frame):
+    """Pieces of five words in another order, or far apart, are no passage."""
+    texts = {}
+    for n, (_, text) in enumerate(PASSAGES):
+        words = text.split()
+        pieces = [words[i:i + 5] for i in range(0, len(words), 5)]
+        if len(pieces) > 2:
+            texts[n] = " ".join(w for p in reversed(pieces) for w in p)
+            texts[100 + n] = " and so on and on it goes for ever ".join(" ".join(p) for p in pieces)
+            texts[200 + n] = " ".join(w for p in reversed(pieces) for w in [*p, *["pad"] * 30])
+    out = {r["doc_id"]: r for r in license_labels(frame(list(texts.items()))).collect()}
+    passages = {r: x["labels"] for r, x in out.items() if set(x["labels"].split(",")) - set(x["base_labels"].split(","))}
+    assert passages == {} and len(texts) > 20
