@@ -37,18 +37,26 @@ def scratch_root(spark: SparkSession) -> str:
 
 
 _LOCAL: dict[str, str] = {}
+BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
+def written(df: DataFrame, name: str, batch_rows: int | None = None) -> DataFrame:
     """Write ``df`` once as Parquet into the shared folder and read it back.
 
     Cuts the lineage: a lost executor costs the tasks it ran, not the steps
     before.  The folder stays until :func:`release`, as the caller's lazy
-    result may still read it.
+    result may still read it.  ``batch_rows`` is the most rows that go to Python at
+    once while this job runs, for rows so large that the usual number would fill
+    a worker's memory.
     """
     spark = df.sparkSession
     path = f"{scratch_root(spark)}/rateflow-llm/{name}-{uuid.uuid4().hex}"
-    df.write.option("compression", "zstd").parquet(path)
+    usual = spark.conf.get(BATCH_ROWS)
+    spark.conf.set(BATCH_ROWS, str(batch_rows or usual))
+    try:
+        df.write.option("compression", "zstd").parquet(path)
+    finally:
+        spark.conf.set(BATCH_ROWS, usual)
     _SCRATCH.setdefault(spark.sparkContext.applicationId, []).append(path)
     return spark.read.schema(df.schema).parquet(path)
 

@@ -66,6 +66,7 @@ MAX_DEPTH = 25
 COORDINATES = 128
 LEAST = 0.62
 SPARSE = 2     # pairs per document up to which a node offers them all
+SET_ROWS = 512  # rows with full sets or signatures that go to Python at once
 
 
 def described(docs: DataFrame) -> DataFrame:
@@ -360,7 +361,7 @@ def open_rows(nodes: DataFrame, reps: DataFrame, labelled: DataFrame) -> DataFra
     """``key, id`` of the documents that have a passing pair in another
     component in their node."""
     rows = nodes.join(labelled, "id").join(reps, "id").select("key", "id", "label", "sig")
-    return written(map_batches(_gathered(rows), _open, "key long, id long"), "open")
+    return written(map_batches(_gathered(rows), _open, "key long, id long"), "open", SET_ROWS)
 
 
 def remaining_links(still: DataFrame, reps: DataFrame, labelled: DataFrame, sets: DataFrame) -> DataFrame:
@@ -426,15 +427,15 @@ def class_components(docs: DataFrame, classes: DataFrame) -> DataFrame:
     pairs = written(offered_pairs(nodes, reps).unionAll(near_stars).distinct(), "pairs")
     ids = pairs.select(F.col("a").alias("id")).unionAll(pairs.select(F.col("b").alias("id"))).distinct()
     sets_of = lambda ids: written(
-        full_sets(docs, classes.join(ids, "id").select("id", "doc_id", "digest")), "sets")
+        full_sets(docs, classes.join(ids, "id").select("id", "doc_id", "digest")), "sets", SET_ROWS)
     labelled = lambda labels: (reps.select("id").join(labels, "id", "left")
                                .select("id", F.coalesce("component", "id").alias("label")))
     sets = sets_of(ids)
-    labels = components(written(confirmed(pairs, sets), "links"))
+    labels = components(written(confirmed(pairs, sets), "links", SET_ROWS))
     # What dense nodes held back: pairs between components, whose links join these.
     dense = nodes.where(F.col("n") > 2 * SPARSE + 1).select("key", "id")
     still = open_rows(dense, reps, labelled(labels))
-    labels = _merged(labels, written(remaining_links(still, reps, labelled(labels), sets), "links"))
+    labels = _merged(labels, written(remaining_links(still, reps, labelled(labels), sets), "links", SET_ROWS))
     # What large nodes may have parted.
     if not large:
         return labels
@@ -443,7 +444,7 @@ def class_components(docs: DataFrame, classes: DataFrame) -> DataFrame:
     if still.isEmpty():
         return labels
     more = sets.unionAll(sets_of(still.select("id").distinct().join(sets.select("id"), "id", "left_anti")))
-    return _merged(labels, written(remaining_links(still, reps, own, more), "links"))
+    return _merged(labels, written(remaining_links(still, reps, own, more), "links", SET_ROWS))
 
 
 def _grouped(docs: DataFrame) -> DataFrame:
