@@ -123,3 +123,10 @@ def test_single_entity_filters_reach_the_scan(spark):
             QUERIES[name](spark, SF_SMALL).explain()
         scans = [ln for ln in buf.getvalue().splitlines() if "FileScan parquet" in ln]
         assert any(pushed in ln and "DataFilters" in ln for ln in scans), name
+
+
+def test_entry_leaves_out_corpus_queries_that_cannot_be_imported(monkeypatch):
+    import sys
+
+    monkeypatch.setitem(sys.modules, "rateflow.llm.queries", None)
+    assert set(E.queries()) == set(QUERIES) and set(E.oracle_sql()) == set(SQL)
