@@ -57,3 +57,11 @@ def test_no_ratings(spark):
     assert block_pair_sums(ratings_df(spark, []), 3).count() == 0
     seeded = ratings_df(spark, []).selectExpr("1 AS seed", "*")
     assert block_pair_sums(seeded, 3, ["seed"]).columns == ["seed", "u", "v", "dot", "s1", "s2", "n"]
+
+
+def test_null_users_have_no_pairs_and_null_ratings_no_weight(spark):
+    rows = [(u, i, None if (u, i) == (1, 2) else float((u or 0) + i)) for u in (1, 2, 3, None) for i in range(1, 5)]
+    r = ratings_df(spark, rows)
+    want = sums_from_pairs(co_ratings(r, salt_above=None))
+    got = block_pair_sums(r, 2)
+    assert rows_of(got) == rows_of(want.select(got.columns)) and got.count() == 3
