@@ -66,3 +66,37 @@ def test_null_users_have_no_pairs_and_null_ratings_no_weight(spark):
     want = sums_from_pairs(co_ratings(r, salt_above=None))
     got = block_pair_sums(r, 2)
     assert rows_of(got) == rows_of(want.select(got.columns)) and got.count() == 3
+
+
+def test_key_groups_share_one_packed_block(spark):
+    rows = [(u, i, float(1 + (u * i) % 9) / 2) for u in range(30) for i in range(40) if (u * 7 + i * 3) % 4]
+    r = ratings_df(spark, rows)
+    seeded = r.selectExpr("explode(array(3, 5, cast(null as int))) AS seed", "*").where(
+        "(user_id * item_id + coalesce(seed, 7)) % 5 > 0")
+    groups = seeded.select("seed").distinct().collect()
+    with session.scratch(spark):
+        path, schema = packed_blocks(seeded, 2, ["seed"], 1, groups)
+        blocks = spark.read.schema(schema).parquet(path).collect()
+        assert len(blocks) == 2
+        once = seeded.select("user_id", "item_id").distinct().count()
+        assert sum(_unpack(b.users, b.sizes, b.items, b.ratings).sizes.sum() for b in blocks) == once < seeded.count()
+        got = block_pair_sums(seeded, 2, ["seed"], 3)
+        assert got.schema["seed"].dataType == seeded.schema["seed"].dataType
+        for g in groups:
+            own = seeded.where(seeded.seed.eqNullSafe(g.seed)).drop("seed")
+            want = sums_from_pairs(co_ratings(own, salt_above=None), (), 3)
+            assert rows_of(got.where(got.seed.eqNullSafe(g.seed)), *want.columns) == rows_of(want)
+
+
+def test_packed_ratings_are_small_and_exact(spark):
+    rows = [(u, i * 977 + u % 5 - (3 if u == 2 else 0), float(1 + (u * i) % 10) / 2) for u in range(300) for i in range(1, 50)]
+    with session.scratch(spark):
+        path, schema = packed_blocks(ratings_df(spark, rows), 1, (), 1, [{}])
+        (b,) = spark.read.schema(schema).parquet(path).collect()
+        assert sum(len(x) for x in (b.users, b.sizes, b.items, b.ratings, b.groups)) < 4 * len(rows)
+        found = _unpack(b.users, b.sizes, b.items, b.ratings)
+        ratings = {(u, i): x for u, i, x in rows}
+        order = sorted({i for _, i, _ in rows}, key=lambda i: (sum(1 for x in rows if x[1] == i), i))
+        place = min(found.items)
+        assert {(u, order[i - place]): x for u, i, x in zip(found.users[found.owner].tolist(), found.items.tolist(),
+                                                             found.ratings.tolist())} == ratings
