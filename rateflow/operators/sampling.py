@@ -153,7 +153,8 @@ def with_split(ratings: DataFrame, seeds: int | Sequence[int] = 0,
     else:
         seeded = ratings.withColumn("seed", F.explode(F.array(*[F.lit(int(s)) for s in seeds])))
     bucket = hash_bucket(int(sum(weights)), "seed", "user_id", "item_id")
-    return seeded.withColumn("part", split_part(bucket, weights, names))
+    # A column of its own: the comparisons would hash a row again for every part.
+    return seeded.withColumn("_bucket", bucket).withColumn("part", split_part(F.col("_bucket"), weights, names)).drop("_bucket")
 
 
 def part(split: DataFrame, name: str) -> DataFrame:
