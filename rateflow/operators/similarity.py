@@ -388,14 +388,16 @@ def rank_neighbours(directed_sim: DataFrame, k: int = 200, by: Sequence[str] = (
 
 
 def top_neighbours(ratings: DataFrame, k: int = 200, min_common: int = 10,
-                   by: Sequence[str] = ()) -> DataFrame:
+                   by: Sequence[str] = (), stored: bool = True) -> DataFrame:
     """``*by, user_id, nb, sim, n, rk``: the ``k`` most similar users with at
-    least ``min_common`` co-rated items (the count filter comes first)."""
+    least ``min_common`` co-rated items (the count filter comes first).  Not
+    ``stored``, they are formed whenever the result is read."""
     if min_common < 1:
         raise ValueError("min_common must be >= 1")
     sim = user_similarity(ratings, by, min_common)
-    # Written, as it is read more than once: at most k rows a user, unlike the pairs.
-    return write_and_read(rank_neighbours(directed(sim, by), k, by), "neighbours")
+    ranked = rank_neighbours(directed(sim, by), k, by)
+    # Written, if it is read more than once: at most k rows a user, unlike the pairs.
+    return write_and_read(ranked, "neighbours") if stored else ranked
 
 
 def neighbours_for_users(ratings: DataFrame, users: DataFrame, k: int = 200,

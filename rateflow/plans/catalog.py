@@ -393,7 +393,8 @@ def q_directed_similarity(spark, d):
 
 
 def q_top_neighbours(spark, d):
-    return top_neighbours(_r(spark, d), K, MIN_COMMON)
+    # The result itself, read once: not stored.
+    return top_neighbours(_r(spark, d), K, MIN_COMMON, stored=False)
 
 
 def _knn_setup(spark, d, seeds):
@@ -430,7 +431,7 @@ def q_best_k(spark, d):
 
 
 def q_knn_recommendations(spark, d):
-    return recommend_user_knn(q_top_neighbours(spark, d), _r(spark, d), K, REC_N, digits=DIGITS)
+    return recommend_user_knn(top_neighbours(_r(spark, d), K, MIN_COMMON), _r(spark, d), K, REC_N, digits=DIGITS)
 
 
 def q_knn_recommendations_titled(spark, d):
