@@ -9,7 +9,7 @@ from conftest import ratings_df, rows_of
 from pyspark.sql import functions as F
 
 from rateflow import session
-from rateflow.operators.similarity import neighbours_for_users, top_neighbours
+from rateflow.operators.similarity import co_ratings, neighbours_for_users, top_neighbours
 from rateflow.plans.catalog import QUERIES
 
 
@@ -41,6 +41,28 @@ def test_the_view_is_formed_once(spark, tables, name):
         got.collect()
 
 
+def test_pairs_form_the_view_once(spark, tables):
+    with session.scratch(spark):
+        got = QUERIES["co_rating_pairs"](spark, tables)
+        plan = plan_of(got)
+        assert "lineitem" not in plan
+        keys = [line for line in plan.splitlines() if "Exchange hashpartitioning(item_id" in line]
+        assert len(keys) == 2 and all("_p" in line for line in keys), plan     # dealt by item and salt, no more
+        want = co_ratings(QUERIES["ratings"](spark, tables), salt_above=None).select(got.columns)
+        assert got.count() > 0 and rows_of(got) == rows_of(want)
+
+
+def test_pairs_of_a_few_hot_items_and_of_none(spark):
+    # Item 0 is hot; ratings without an item or a user pair with nothing.
+    r = ratings_df(spark, [(u, i, float(1 + u % 5)) for u in range(30) for i in (0, u % 4 + 1)]
+                   + [(None, 0, 1.0), (3, None, 2.0), (4, None, 2.0)])
+    with session.scratch(spark):
+        for salt in (7, 20, 1000):
+            got = co_ratings(r, salt_above=salt)
+            want = co_ratings(r, salt_above=None).select(got.columns)
+            assert rows_of(got) == rows_of(want) and got.where("item_id = 0").count() == 30 * 29 // 2
+
+
 def test_ratings_of_other_items_are_not_moved(spark):
     r = ratings_df(spark, [(u, i, float(1 + (u * i) % 5)) for u in range(12) for i in range(u % 3, 40, 2)])
     users = spark.createDataFrame([(1,), (4,)], "user_id long")
