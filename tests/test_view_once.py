@@ -9,7 +9,7 @@ from conftest import ratings_df, rows_of
 from pyspark.sql import functions as F
 
 from rateflow import session
-from rateflow.operators.similarity import co_ratings, neighbours_for_users, top_neighbours
+from rateflow.operators.similarity import co_ratings, neighbours_for_users, top_neighbours, user_vectors
 from rateflow.plans.catalog import QUERIES
 
 
@@ -72,3 +72,13 @@ def test_ratings_of_other_items_are_not_moved(spark):
     with session.scratch(spark):
         want = top_neighbours(r, 5, 2).join(users, "user_id", "left_semi")
         assert rows_of(got, "user_id", "nb", "n", "rk") == rows_of(want, "user_id", "nb", "n", "rk")
+
+
+def test_the_order_of_the_items_is_not_broadcast(spark):
+    # Copied to its shares it is 32 times what its size before tells.
+    r = ratings_df(spark, [(u, i, 3.0) for u in range(12) for i in range(20) if (u + i) % 3])
+    with session.scratch(spark):
+        got = user_vectors(r, (), 2)
+        joins = [line for line in plan_of(got).splitlines() if "Join" in line and "_share" in line]
+        assert len(joins) == 1 and "ShuffledHashJoin" in joins[0], joins
+        assert rows_of(got.selectExpr("user_id", "size(items) n")) == [(u, sum((u + i) % 3 > 0 for i in range(20))) for u in range(12)]
